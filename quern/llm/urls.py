@@ -76,8 +76,9 @@ def _margin(grams: Column, weights: list[float], bias: float) -> Column:
     return F.lit(bias) + total / F.sqrt(F.greatest(F.size(grams), F.lit(1)).cast("double"))
 
 
-def train(labelled: DataFrame, buckets: int = BUCKETS, ngrams: tuple[int, ...] = NGRAMS, rounds: int = 25, rate: float = 8.0, l2: float = 1e-3, max_rows: int = MAX_LABELLED) -> tuple[list[float], float]:
-    """Weights and bias of a logistic regression over a small table (url, label 0 or 1), by full gradient steps.
+def train(labelled: DataFrame, buckets: int = BUCKETS, ngrams: tuple[int, ...] = NGRAMS, rounds: int = 25, rate: float = 0.5, l2: float = 1e-4, max_rows: int = MAX_LABELLED) -> tuple[list[float], float]:
+    """Weights and bias of a logistic regression over a small table (url, label 0 or 1), by full gradient steps whose rate falls
+    in each bucket with the gradients seen there.
 
     Rows with null urls or labels are left out. Every step is one grouped sum of gradients by bucket; at most `buckets`
     sums come back. An empty table, or one of a single class, gives zero weights."""
@@ -85,19 +86,18 @@ def train(labelled: DataFrame, buckets: int = BUCKETS, ngrams: tuple[int, ...] =
     rows = labelled.filter("url is not null and label is not null").orderBy(F.xxhash64("url"), "url").limit(max_rows)
     rows, where = cut(rows.select(_grams(host, path, buckets, ngrams).alias("grams"), F.col("label").cast("double").alias("y")), "labelled")
     n, ones = rows.agg(F.count("*"), F.sum("y")).first()
-    weights, bias = [0.0] * buckets, 0.0
+    weights, squares = [0.0] * (buckets + 1), [0.0] * (buckets + 1)  # the last is the bias
     if n and 0 < ones < n:
         for _ in range(rounds):
-            error = 1 / (1 + F.exp(-_margin(F.col("grams"), weights, bias))) - F.col("y")
+            error = 1 / (1 + F.exp(-_margin(F.col("grams"), weights[:-1], weights[-1]))) - F.col("y")
             each = rows.select(error.alias("e"), F.explode(F.concat("grams", F.array(F.lit(buckets)))).alias("bucket"), F.sqrt(F.size("grams").cast("double")).alias("norm"))
             share = F.when(F.col("bucket") == buckets, F.col("e")).otherwise(F.col("e") / F.col("norm"))
-            for bucket, gradient in each.groupBy("bucket").agg(F.sum(share)).collect():
-                if bucket == buckets:
-                    bias -= rate * gradient / n
-                else:
-                    weights[bucket] -= rate * (gradient / n + l2 * weights[bucket])
+            for bucket, total in each.groupBy("bucket").agg(F.sum(share)).collect():
+                gradient = total / n + (l2 * weights[bucket] if bucket < buckets else 0.0)
+                squares[bucket] += gradient * gradient
+                weights[bucket] -= rate * gradient / (squares[bucket] ** 0.5 + 1e-12)
     remove(labelled.sparkSession, where)
-    return weights, bias
+    return weights[:-1], weights[-1]
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
