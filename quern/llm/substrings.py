@@ -23,7 +23,7 @@ from quern.llm.shared import cut, remove
 LENGTH = 200
 GRAM = 32
 #: Neighbourhoods of one gram that one task sorts; larger groups are settled by counting the hashes of their strings.
-GROUP_ROWS = 2048
+GROUP_ROWS = 32_768
 _CHUNK = 1 << 21
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
