@@ -231,7 +231,7 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, first, np.nonzero(edge == -1)[1] - 1
 
 
-_COVER = "doc_id long, hash long, start int, stop int"
+_COVER = "doc_id long, hash int, start int, stop int"
 
 
 def _covers(doc_id: pa.Array, hash_: pa.Array, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
@@ -298,19 +298,21 @@ def _slice(length: int, windows: bool):
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(doc_id, hash, start, stop): stretches of bytes, overlapping or not, that together hold every byte covered by a
-    string of `length` bytes that starts anywhere else too. hash is the text's xxhash64, a second part of the key for
+    string of `length` bytes that starts anywhere else too. hash is the text's 32-bit hash, a second part of the key for
     ids that repeat."""
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("hash"), F.col(text_col).cast("string").alias("text"))
-    found, where = cut(texts.mapInArrow(_find_anchors(length, gram), "g long, z long, high int, low int, first int, doc_id long, hash long"), "anchors")
-    again = found.groupBy("g").agg(F.count("*").alias("of_g")).filter("of_g > 1").select("g")
-    found, kept = cut(found.join(again, "g", "left_semi"), "repeated")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(F.col(text_col).cast("string")).alias("hash"), F.col(text_col).cast("string").alias("text"))
+    found, where = cut(texts.mapInArrow(_find_anchors(length, gram), "g long, z long, high int, low int, first int, doc_id long, hash int"), "anchors")
+    # counts are tables of their own, so that the joins with them have plain exchanges on both sides, which adaptive
+    # execution can split where one gram has very many anchors
+    again, _ = cut(found.groupBy("g").agg(F.count("*").alias("of_g")).filter("of_g > 1").select("g"), "grams")
+    found, _ = cut(found.join(again, "g", "left_semi"), "repeated")
     remove(spark, where)
     classes = found.groupBy("g", "z", "high", "low").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "hash", "first")).alias("one"))
     classes, _ = cut(classes, "classes")
     key = ["g", "z", "high", "low"]
     whole = found.join(classes.filter("n > 1").select(*key), key, "left_semi").select("doc_id", "hash", F.col("first").alias("start"), (F.col("first") + F.col("high") - F.col("low") + length).alias("stop"))
-    per_g = classes.groupBy("g").agg(F.count("*").alias("k")).filter("k > 1")
+    per_g, _ = cut(classes.groupBy("g").agg(F.count("*").alias("k")).filter("k > 1"), "groups")
     open_, _ = cut(classes.join(per_g, "g").select("g", "n", "k", "one.*", "high", "low"), "open")
 
     def asked(rows: DataFrame, windows: bool, schema: str) -> DataFrame:
@@ -320,11 +322,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     once = texts.filter(F.octet_length("text") >= length)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    small = asked(open_.filter(F.col("k") <= group_rows), False, "g long, n long, first int, high int, low int, doc_id long, hash long, context binary")
+    small = asked(open_.filter(F.col("k") <= group_rows), False, "g long, n long, first int, high int, low int, doc_id long, hash int, context binary")
     covers = whole.unionByName(small.repartition(parts, "g").sortWithinPartitions("g").mapInArrow(_compare(length), _COVER))
     large = open_.filter(F.col("k") > group_rows)
     if not large.isEmpty():
-        strings = asked(large, True, "g long, n long, first int, doc_id long, hash long, strings array<binary>")
+        strings = asked(large, True, "g long, n long, first int, doc_id long, hash int, strings array<binary>")
         strings, _ = cut(strings.select("g", "n", "first", "doc_id", "hash", F.posexplode("strings").alias("at", "string")), "strings")
         twice = strings.groupBy("string").agg(F.count("*").alias("times")).filter("times > 1").select("string")
         more = strings.filter("n = 1").join(twice, "string", "left_semi").select("doc_id", "hash", (F.col("first") + F.col("at")).alias("start"))
@@ -364,7 +366,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     repeat each other, one result each. Matches don't cross texts; an empty table gives an empty result."""
     spans = repeated_spans(docs, id_col, text_col, length, gram, group_rows)
     spans = spans.groupBy("doc_id", "hash").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("hash"), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(F.col(text_col).cast("string")).alias("hash"), F.col(text_col).cast("string").alias("text"))
     match = texts["doc_id"].eqNullSafe(spans["doc_id"]) & (texts["hash"] == spans["hash"])
     rows = texts.join(spans, match, "left").select(texts["doc_id"], "text", "spans")
     return rows.mapInArrow(_cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
