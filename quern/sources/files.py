@@ -48,6 +48,13 @@ def _binary(spark: SparkSession, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").load(glob)
 
 
+def list_files(spark: SparkSession, glob: str) -> DataFrame:
+    """(path, length) of the files that a glob names, also empty ones, which file scans leave out."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or []
+    return spark.createDataFrame([(f.getPath().toString(), f.getLen()) for f in found if f.isFile()], "path string, length long")
+
+
 def classify_files(spark: SparkSession, glob: str) -> DataFrame:
     """(path, length, format) by leading bytes: EMPTY, ZIP, OLE2, HTML, CSV or UNSUPPORTED."""
     head = F.col("head")
@@ -57,12 +64,15 @@ def classify_files(spark: SparkSession, glob: str) -> DataFrame:
         .when(text.startswith("<!doctype html") | text.startswith("<html") | text.startswith("<table") | text.contains("<table"), "HTML")
         .when(F.hex(head).rlike("^(..)*00"), "UNSUPPORTED").when(F.regexp_extract(text, "^[^\r\n]*", 0).rlike("[,;\t|]"), "CSV").otherwise("UNSUPPORTED")
     )
-    return _binary(spark, glob).select("path", "length", F.substring("content", 1, 1024).alias("head")).select("path", "length", kind.alias("format"))
+    heads = _binary(spark, glob).select("path", F.substring("content", 1, 1024).alias("head"))
+    return list_files(spark, glob).join(heads, "path", "left").select("path", "length", kind.alias("format"))
 
 
 def file_manifest(spark: SparkSession, glob: str) -> DataFrame:
     """(path, bytes, sha256) of every file."""
-    return _binary(spark, glob).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    hashes = _binary(spark, glob).select("path", F.sha2("content", 256).alias("sha256"))
+    empty = F.when(F.col("length") == 0, F.sha2(F.lit("").cast("binary"), 256))
+    return list_files(spark, glob).join(hashes, "path", "left").select("path", F.col("length").alias("bytes"), F.coalesce("sha256", empty).alias("sha256"))
 
 
 def same_content(manifest: DataFrame) -> DataFrame:
@@ -72,7 +82,7 @@ def same_content(manifest: DataFrame) -> DataFrame:
 
 def check_readiness(manifest: DataFrame, sources: DataFrame) -> DataFrame:
     """Per source (source_id, pattern, min_bytes): files, bytes, and ready if there are files, none empty, enough bytes."""
-    hit = sources.join(manifest, manifest["path"].rlike(sources["pattern"]), "left")
+    hit = sources.join(manifest, F.rlike(manifest["path"], sources["pattern"]), "left")
     out = hit.groupBy("source_id", "min_bytes").agg(F.count("path").alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.count_if(F.col("bytes") == 0).alias("empty_files"))
     return out.withColumn("ready", (F.col("files") > 0) & (F.col("empty_files") == 0) & (F.col("bytes") >= F.col("min_bytes")))
 
@@ -212,7 +222,7 @@ def evolve(df: DataFrame, schema: T.StructType) -> DataFrame:
 def export_mart(df: DataFrame, path: str, schema: str | None = None) -> DataFrame:
     """Writes a mart as CSV, reads it back under its schema and compares every row: manifest of files with row count."""
     spark = df.sparkSession
-    nulls = {"nullValue": "\\N", "emptyValue": "", "header": True, "escape": '"', "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    nulls = {"nullValue": "\\N", "header": True, "escape": '"', "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     df.write.mode("errorifexists").options(**nulls).csv(path)
     back = spark.read.options(**nulls).schema(schema or df.schema).csv(path)
     if not same_rows(df, back):
