@@ -100,12 +100,13 @@ def validate_files(spark: SparkSession, specs: list[dict]) -> DataFrame:
         if s["format"] == "csv":
             header = read_csv(spark, s["path"]).columns
             schema = ", ".join([*(f"`{c}` string" for c in header), "_corrupt string"])
-            rows = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").csv(s["path"])
+            rows = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").option("columnPruning", False).csv(s["path"])
+            rows = rows.withColumn("value", F.struct(*(f"`{c}`" for c in header)))
         else:
             lines = spark.read.text(s["path"]).filter("trim(value) <> ''")
             rows = lines.select(F.when(F.try_parse_json("value").isNull(), F.col("value")).alias("_corrupt"), "value")
             header = [r[0] for r in lines.select(F.explode(F.json_object_keys("value"))).distinct().limit(10_000).collect()] if s.get("columns") else []
-        counted = rows.select("_corrupt", *([] if s["format"] == "csv" else ["value"])).agg(F.count("*").alias("n"), F.count("_corrupt").alias("bad"))
+        counted = rows.agg(F.count("value").alias("n"), F.count("_corrupt").alias("bad"))
         out.append(counted.filter("bad > 0").select(path, F.lit("PARSE_FAILURE").alias("problem"), F.col("bad").cast("string").alias("detail")))
         out.append(counted.filter(F.col("n") - F.col("bad") < s.get("min_rows", 1)).select(path, F.lit("TOO_FEW_RECORDS").alias("problem"), (F.col("n") - F.col("bad")).cast("string").alias("detail")))
         if lacking := sorted(set(s.get("columns", ())) - set(header)):

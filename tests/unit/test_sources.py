@@ -78,7 +78,7 @@ def test_two_row_header(spark):
 
 
 def test_formats_manifest_and_validation(spark, tmp_path):
-    made = {"e.bin": b"", "z.zip": b"PK\x03\x04zz", "o.xls": bytes.fromhex("D0CF11E0A1B11AE1") + b"x", "h.xls": b"\xef\xbb\xbf  <HTML><table>", "c.csv": b"a,b\n1,2\n", "u.bin": b"\x01\x00\x02", "c2.csv": b"a,b\n1,2\n", "j.json": b'{"a":1}\n{bad\n'}
+    made = {"e.bin": b"", "z.zip": b"PK\x03\x04zz", "o.xls": bytes.fromhex("D0CF11E0A1B11AE1") + b"x", "h.xls": b"\xef\xbb\xbf  <HTML><table>", "c.csv": b"a,b\n1,2\n", "u.bin": b"\x01\x00\x02", "c2.csv": b"a,b\n1,2\n", "j.json": b'{"a":1}\n{bad\n', "p.csv": b"a,b\n1,2\n3,4,5\n"}
     for name, data in made.items():
         (tmp_path / name).write_bytes(data)
     got = {r.path.rsplit("/", 1)[1]: r.format for r in files.classify_files(spark, f"{tmp_path}/*").collect()}
@@ -87,9 +87,9 @@ def test_formats_manifest_and_validation(spark, tmp_path):
     assert [r.files for r in files.same_content(manifest).collect()] == [2]
     sources = spark.createDataFrame([("c", r"/c.*\.csv$", 10), ("e", r"/e\.bin$", 0), ("none", "/nothing$", 0)], "source_id string, pattern string, min_bytes int")
     assert {r.source_id: r.ready for r in files.check_readiness(manifest, sources).collect()} == {"c": True, "e": False, "none": False}
-    specs = [{"path": str(tmp_path / "c.csv"), "format": "csv", "sha256": "0", "min_rows": 2, "columns": ["a", "zz"]}, {"path": str(tmp_path / "j.json"), "format": "json", "min_rows": 1, "columns": ["a"]}]
+    specs = [{"path": str(tmp_path / "c.csv"), "format": "csv", "sha256": "0", "min_rows": 2, "columns": ["a", "zz"]}, {"path": str(tmp_path / "j.json"), "format": "json", "min_rows": 1, "columns": ["a"]}, {"path": str(tmp_path / "p.csv"), "format": "csv"}, {"path": str(tmp_path / "c2.csv"), "format": "csv", "columns": ["a", "b"]}]
     found = {(r.path.rsplit("/", 1)[1], r.problem) for r in files.validate_files(spark, specs).collect()}
-    assert found == {("c.csv", "CHECKSUM_MISMATCH"), ("c.csv", "TOO_FEW_RECORDS"), ("c.csv", "MISSING_COLUMNS"), ("j.json", "PARSE_FAILURE")}
+    assert found == {("c.csv", "CHECKSUM_MISMATCH"), ("c.csv", "TOO_FEW_RECORDS"), ("c.csv", "MISSING_COLUMNS"), ("j.json", "PARSE_FAILURE"), ("p.csv", "PARSE_FAILURE")}
 
 
 def test_gates_and_lineage(spark, tmp_path):
