@@ -104,20 +104,19 @@ def search(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np
         start[inner] = pair[np.arange(len(pair)), top.argmax(axis=1)]
     for node in np.unique(start):
         visit(node, everyone[start == node])
-    work = [(np.array([0]), everyone)]
+    work = [(0, everyone)]
     while work:
-        nodes, who = work.pop()
-        top = bound(nodes, who)
-        order = np.argsort(top.max(axis=0))
-        for j in order:  # the last pushed is popped first: the highest bound
-            use = who[top[:, j] >= kth[who]]
-            node = nodes[j]
-            if len(use) and tree.child[node, 0] >= 0:
-                work.append((tree.child[node], use))
-            elif len(use):
-                use = use[start[use] != node]
-                if len(use):
-                    visit(node, use)
+        node, who = work.pop()
+        who = who[bound(np.array([node]), who)[:, 0] >= kth[who]]  # the k-th scores may have risen since
+        if tree.child[node, 0] < 0:
+            who = who[start[who] != node]
+            if len(who):
+                visit(node, who)
+        elif len(who):
+            pair = tree.child[node]
+            top = bound(pair, who)
+            for j in np.argsort(top.max(axis=0)):  # the last is taken first: the highest bound
+                work.append((pair[j], who[top[:, j] >= kth[who]]))
     keep = (best_id != _MOST) & (best >= floor[:, None])
     who = np.nonzero(keep)[0]
     return who, best_id[keep], best[keep]
