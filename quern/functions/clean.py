@@ -88,7 +88,7 @@ def unit_name(unit: Column) -> Column:
 
 def convert_units(df: DataFrame, rules: DataFrame, element: str, unit: str, value: str, precision: int = 18, scale: int = 2) -> DataFrame:
     """Joins a small rule table (element, unit, factor, unit_to): adds converted, unit_to, unit_known, overflow."""
-    small = F.broadcast(rules.select(F.col("element").alias("_e"), F.col("unit").alias("_u"), "factor", "unit_to"))
+    small = rules.select(F.col("element").alias("_e"), F.col("unit").alias("_u"), "factor", "unit_to")
     joined = df.join(small, (F.col(element) == F.col("_e")) & (F.col(unit) == F.col("_u")), "left")
     wide = F.try_multiply(F.col(value).cast("decimal(28,8)"), F.col("factor").cast("decimal(9,4)"))
     converted = wide.try_cast(f"decimal({precision},{scale})")
