@@ -139,7 +139,7 @@ def grouped_number_parse(spark, d):
 
 
 @query("""SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS DECIMAL(18,4)) * 1000 WHEN l_returnflag = 'N' THEN CAST(l_quantity AS DECIMAL(18,4)) END) AS DOUBLE) AS converted,
- count_if(l_returnflag = 'R') AS unknown FROM lineitem GROUP BY 1, 2""")
+ count(*) FILTER (WHERE l_returnflag = 'R') AS unknown FROM lineitem GROUP BY 1, 2""")
 def unit_conversion(spark, d):
     rules = spark.createDataFrame([("A", "kt", 1000, "t"), ("N", "kt", 1, "t")], "element string, unit string, factor int, unit_to string")
     li = table(spark, d, "lineitem").withColumn("unit", F.lit("kt"))
@@ -147,7 +147,7 @@ def unit_conversion(spark, d):
     return c.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.sum("converted").cast("double").alias("converted"), F.count_if(~F.col("unit_known")).alias("unknown"))
 
 
-@query("SELECT p_size, count(*) AS n, count_if(CAST(round(p_retailprice * 100) AS BIGINT) % 10 = 0 AND p_retailprice < 1000) AS exact FROM part GROUP BY 1")
+@query("SELECT p_size, count(*) AS n, count(*) FILTER (WHERE CAST(round(p_retailprice * 100) AS BIGINT) % 10 = 0 AND p_retailprice < 1000) AS exact FROM part GROUP BY 1")
 def exact_decimal_check(spark, d):
     value, ok = clean.checked_decimal(F.col("p_retailprice").cast("decimal(12,2)"), 1, 4, 1)
     return table(spark, d, "part").select("p_size", value.alias("v"), ok.alias("ok")).groupBy("p_size").agg(F.count("*").alias("n"), F.count_if("ok").alias("exact"))
@@ -164,13 +164,13 @@ RULES = (
 _BAD = "(CASE WHEN l_quantity BETWEEN 1 AND 45 THEN 0 ELSE 1 END + CASE WHEN l_returnflag <> 'N' OR l_linestatus = 'O' THEN 0 ELSE 1 END + CASE WHEN l_discount <> 0 AND l_discount <= 0.1 THEN 0 ELSE 1 END)"
 
 
-@query("""SELECT 'quantity_range' AS rule_id, count_if(NOT l_quantity BETWEEN 1 AND 45) AS violations FROM lineitem UNION ALL SELECT 'flag_status', count_if(NOT (l_returnflag <> 'N' OR l_linestatus = 'O')) FROM lineitem
- UNION ALL SELECT 'discount_known', count_if(l_discount = 0 OR l_discount > 0.1) FROM lineitem UNION ALL SELECT 'tax_sign', count_if(NOT l_tax > 0) FROM lineitem""")
+@query("""SELECT 'quantity_range' AS rule_id, count(*) FILTER (WHERE NOT l_quantity BETWEEN 1 AND 45) AS violations FROM lineitem UNION ALL SELECT 'flag_status', count(*) FILTER (WHERE NOT (l_returnflag <> 'N' OR l_linestatus = 'O')) FROM lineitem
+ UNION ALL SELECT 'discount_known', count(*) FILTER (WHERE l_discount = 0 OR l_discount > 0.1) FROM lineitem UNION ALL SELECT 'tax_sign', count(*) FILTER (WHERE NOT l_tax > 0) FROM lineitem""")
 def rule_counts(spark, d):
     return quality.rule_counts(table(spark, d, "lineitem"), RULES)
 
 
-@query(f"SELECT l_suppkey, count(*) AS n, count_if(NOT l_tax > 0) AS warned FROM lineitem WHERE {_BAD} = 0 GROUP BY 1")
+@query(f"SELECT l_suppkey, count(*) AS n, count(*) FILTER (WHERE NOT l_tax > 0) AS warned FROM lineitem WHERE {_BAD} = 0 GROUP BY 1")
 def valid_rows(spark, d):
     valid, _ = quality.apply_rules(table(spark, d, "lineitem"), RULES)
     return valid.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.count_if(F.size("_dq_warnings") > 0).alias("warned"))
@@ -188,7 +188,7 @@ def conflict_quarantine(spark, d):
     return quality.flag_conflicts(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], "l_quantity", "l_tax > 0").select("l_orderkey", "l_linenumber", "l_quantity", "conflict")
 
 
-@query("""SELECT c_mktsegment, count(*) AS n, count_if(c_acctbal < 0) AS negative, count_if(c_acctbal < 0 AND c_mktsegment <> 'MACHINERY') AS blocked FROM customer GROUP BY 1""")
+@query("""SELECT c_mktsegment, count(*) AS n, count(*) FILTER (WHERE c_acctbal < 0) AS negative, count(*) FILTER (WHERE c_acctbal < 0 AND c_mktsegment <> 'MACHINERY') AS blocked FROM customer GROUP BY 1""")
 def sign_policy(spark, d):
     c = table(spark, d, "customer").withColumn("negative", clean.negative_flag(F.col("c_acctbal")))
     judged = quality.evaluate(c, [Rule("sign", "NOT negative OR c_mktsegment = 'MACHINERY'"), Rule("allowed", "NOT negative", action="LOG")])
@@ -418,12 +418,12 @@ def common_period_rank(spark, d):
 # --- coverage -------------------------------------------------------------------------------------------------------
 
 
-@query(f"WITH {OBS} SELECT metric, count(*) AS n_rows, count(value) AS numeric_observations, count_if(value IS NULL) AS missing_observations, count_if(value = 0) AS genuine_zero, min(year) AS first_period, max(year) AS last_period, count(DISTINCT year) AS represented_periods FROM obs GROUP BY 1")
+@query(f"WITH {OBS} SELECT metric, count(*) AS n_rows, count(value) AS numeric_observations, count(*) FILTER (WHERE value IS NULL) AS missing_observations, count(*) FILTER (WHERE value = 0) AS genuine_zero, min(year) AS first_period, max(year) AS last_period, count(DISTINCT year) AS represented_periods FROM obs GROUP BY 1")
 def coverage_overview(spark, d):
     return agg.coverage(observations(spark, d), "value", "year", ["metric"])
 
 
-@query(f"WITH {OBS} SELECT year, count(*) AS n_rows, count(value) AS numeric_observations, count_if(value IS NULL) AS missing_observations FROM obs GROUP BY 1")
+@query(f"WITH {OBS} SELECT year, count(*) AS n_rows, count(value) AS numeric_observations, count(*) FILTER (WHERE value IS NULL) AS missing_observations FROM obs GROUP BY 1")
 def period_coverage(spark, d):
     return agg.period_coverage(observations(spark, d), "value", "year")
 
@@ -486,7 +486,7 @@ def latest_common_spread(spark, d):
     return s.select(F.col("period").cast("string").alias("period"), *(r(c, 4).alias(c) for c in ("value_a", "value_b", "spread")))
 
 
-@query("SELECT l_suppkey AS label, round(CAST(count_if(l_discount = 0) AS DOUBLE) / count(*), 9) AS share FROM lineitem GROUP BY 1 ORDER BY CAST(count_if(l_discount = 0) AS DOUBLE) / count(*) DESC, 1 LIMIT 1")
+@query("SELECT l_suppkey AS label, round(CAST(count(*) FILTER (WHERE l_discount = 0) AS DOUBLE) / count(*), 9) AS share FROM lineitem GROUP BY 1 ORDER BY CAST(count(*) FILTER (WHERE l_discount = 0) AS DOUBLE) / count(*) DESC, 1 LIMIT 1")
 def max_share(spark, d):
     g = table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.count_if(F.col("l_discount") == 0).alias("part"), F.count("*").alias("whole"))
     return agg.max_share(g, "l_suppkey", "part", "whole").withColumn("share", r("share", 9))
@@ -619,7 +619,7 @@ def fact_projection(spark, d):
     return _fact(spark, d).withColumn("value", F.col("value").cast("double"))
 
 
-@query(f"""WITH {NATION} SELECT 'schema' AS "check", CAST(0 AS BIGINT) AS violations UNION ALL SELECT 'not_null:year_key', count_if(year IS NULL) FROM ny UNION ALL SELECT 'not_null:nation_key', count_if(nation IS NULL) FROM ny UNION ALL SELECT 'not_null:metric', count_if(metric IS NULL) FROM ny
+@query(f"""WITH {NATION} SELECT 'schema' AS "check", CAST(0 AS BIGINT) AS violations UNION ALL SELECT 'not_null:year_key', count(*) FILTER (WHERE year IS NULL) FROM ny UNION ALL SELECT 'not_null:nation_key', count(*) FILTER (WHERE nation IS NULL) FROM ny UNION ALL SELECT 'not_null:metric', count(*) FILTER (WHERE metric IS NULL) FROM ny
  UNION ALL SELECT 'pk', (SELECT count(*) FROM (SELECT 1 FROM ny GROUP BY nation, year, metric HAVING count(*) > 1)) UNION ALL SELECT 'fk:nation_key', (SELECT count(DISTINCT nation) FROM ny WHERE nation NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 2))""")
 def spec_validation(spark, d):
     return star.validate_table(_fact(spark, d), FACT, {"nation": table(spark, d, "nation").filter("n_regionkey <> 2")})
@@ -638,7 +638,7 @@ def safe_sum(spark, d):
     return star.safe_sum(flows, rules, ["nation", "metric"], "year").withColumn("total", F.col("total").cast("double"))
 
 
-@query("SELECT o_orderpriority, count(*) AS n_rows, count_if(o_orderkey IS NULL) AS null_keys, CAST(count(*) - count(DISTINCT o_orderkey) AS BIGINT) AS duplicate_rows, count_if(NOT o_totalprice > 50000) AS price FROM orders WHERE o_orderpriority = '2-HIGH' GROUP BY 1")
+@query("SELECT o_orderpriority, count(*) AS n_rows, count(*) FILTER (WHERE o_orderkey IS NULL) AS null_keys, CAST(count(*) - count(DISTINCT o_orderkey) AS BIGINT) AS duplicate_rows, count(*) FILTER (WHERE NOT o_totalprice > 50000) AS price FROM orders WHERE o_orderpriority = '2-HIGH' GROUP BY 1")
 def input_admission(spark, d):
     o = table(spark, d, "orders").filter("o_orderpriority = '2-HIGH'").select("o_orderkey", "o_totalprice")
     return star.admit(o, {"o_orderkey": "bigint", "o_totalprice": "double"}, ["o_orderkey"], {"price": "o_totalprice > 50000"}).withColumn("o_orderpriority", F.lit("2-HIGH"))
@@ -647,12 +647,12 @@ def input_admission(spark, d):
 # --- profiling ------------------------------------------------------------------------------------------------------
 
 
-@query("SELECT 'p_name' AS \"column\", count(*) AS n_rows, count_if(p_name IS NULL) AS nulls, CAST(0 AS BIGINT) AS \"numeric\", count(*) AS non_numeric, count(DISTINCT p_name) AS distinct_values, CAST(0 AS BIGINT) AS leading_zeros, CAST(0 AS BIGINT) AS encoding_suspects, 'text' AS inferred FROM part UNION ALL SELECT 'p_size', count(*), count_if(p_size IS NULL), count(*), 0, count(DISTINCT p_size), 0, 0, 'numeric' FROM part")
+@query("SELECT 'p_name' AS \"column\", count(*) AS n_rows, count(*) FILTER (WHERE p_name IS NULL) AS nulls, CAST(0 AS BIGINT) AS \"numeric\", count(*) AS non_numeric, count(DISTINCT p_name) AS distinct_values, CAST(0 AS BIGINT) AS leading_zeros, CAST(0 AS BIGINT) AS encoding_suspects, 'text' AS inferred FROM part UNION ALL SELECT 'p_size', count(*), count(*) FILTER (WHERE p_size IS NULL), count(*), 0, count(DISTINCT p_size), 0, 0, 'numeric' FROM part")
 def schema_profile(spark, d):
     return profile.schema_profile(table(spark, d, "part"), ["p_name", "p_size"])
 
 
-@query("SELECT c_mktsegment, 'c_acctbal' AS \"column\", CAST(0 AS BIGINT) AS nulls, CAST(0 AS BIGINT) AS empty, CAST(0 AS BIGINT) AS whitespace, CAST(0 AS BIGINT) AS markers, count_if(c_acctbal = 0) AS zeros FROM customer GROUP BY 1 UNION ALL SELECT c_mktsegment, 'c_mktsegment', 0, 0, 0, count_if(c_mktsegment = 'MACHINERY'), 0 FROM customer GROUP BY 1")
+@query("SELECT c_mktsegment, 'c_acctbal' AS \"column\", CAST(0 AS BIGINT) AS nulls, CAST(0 AS BIGINT) AS empty, CAST(0 AS BIGINT) AS whitespace, CAST(0 AS BIGINT) AS markers, count(*) FILTER (WHERE c_acctbal = 0) AS zeros FROM customer GROUP BY 1 UNION ALL SELECT c_mktsegment, 'c_mktsegment', 0, 0, 0, count(*) FILTER (WHERE c_mktsegment = 'MACHINERY'), 0 FROM customer GROUP BY 1")
 def missing_profile(spark, d):
     return profile.missing_profile(table(spark, d, "customer"), ["c_acctbal", "c_mktsegment"], ("Machinery",), ["c_mktsegment"])
 
@@ -662,13 +662,13 @@ def duplicate_profile(spark, d):
     return profile.duplicate_profile(table(spark, d, "documents"), ["text"])
 
 
-@query("SELECT CAST(0 AS BIGINT) AS missing_keys, CAST(sum(n - 1) AS BIGINT) AS duplicate_excess, count_if(n > 1) AS duplicate_keys, count_if(v > 1) AS value_conflicts FROM (SELECT count(*) AS n, count(DISTINCT l_quantity) AS v FROM lineitem GROUP BY l_orderkey, l_linenumber)")
+@query("SELECT CAST(0 AS BIGINT) AS missing_keys, CAST(sum(n - 1) AS BIGINT) AS duplicate_excess, count(*) FILTER (WHERE n > 1) AS duplicate_keys, count(*) FILTER (WHERE v > 1) AS value_conflicts FROM (SELECT count(*) AS n, count(DISTINCT l_quantity) AS v FROM lineitem GROUP BY l_orderkey, l_linenumber)")
 def key_profile(spark, d):
     return profile.key_profile(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], "l_quantity")
 
 
 @query("""WITH q AS (SELECT event_type, count(value) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1)
- SELECT event_type, q.n, CAST(0 AS BIGINT) AS parse_failures, CAST(0 AS BIGINT) AS negatives, round(q1, 6) AS q1, round(q3, 6) AS q3, count_if(value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS outliers FROM events JOIN q USING (event_type) GROUP BY ALL""")
+ SELECT event_type, q.n, CAST(0 AS BIGINT) AS parse_failures, CAST(0 AS BIGINT) AS negatives, round(q1, 6) AS q1, round(q3, 6) AS q3, count(*) FILTER (WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS outliers FROM events JOIN q USING (event_type) GROUP BY ALL""")
 def iqr_outliers(spark, d):
     p = profile.numeric_profile(table(spark, d, "events"), "value", ["event_type"])
     return p.withColumns({"q1": r("q1"), "q3": r("q3")})
@@ -679,7 +679,7 @@ def value_counts(spark, d):
     return agg.value_counts(table(spark, d, "part"), "p_brand", 10)
 
 
-@query("SELECT 'quality' AS \"column\", count(*) AS n_rows, count_if(quality IS NULL) AS nulls, round(100.0 * count_if(quality IS NULL) / count(*), 6) AS null_pct FROM documents LEFT JOIN labels USING (doc_id) UNION ALL SELECT 'toxic', count(*), count_if(toxic IS NULL), round(100.0 * count_if(toxic IS NULL) / count(*), 6) FROM documents LEFT JOIN labels USING (doc_id)")
+@query("SELECT 'quality' AS \"column\", count(*) AS n_rows, count(*) FILTER (WHERE quality IS NULL) AS nulls, round(100.0 * count(*) FILTER (WHERE quality IS NULL) / count(*), 6) AS null_pct FROM documents LEFT JOIN labels USING (doc_id) UNION ALL SELECT 'toxic', count(*), count(*) FILTER (WHERE toxic IS NULL), round(100.0 * count(*) FILTER (WHERE toxic IS NULL) / count(*), 6) FROM documents LEFT JOIN labels USING (doc_id)")
 def null_profile(spark, d):
     j = table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left")
     return agg.null_profile(j.select("quality", "toxic")).withColumn("null_pct", r("null_pct"))
@@ -700,7 +700,7 @@ def content_checksum(spark, d):
     return agg.content_checksum(table(spark, d, "lineitem"))
 
 
-@query("SELECT CAST(year(o_orderdate) AS INTEGER) AS period, CAST(('0x' || left(sha256(CAST(o_orderkey AS VARCHAR)), 2))::INTEGER % 4 AS INTEGER) AS bucket, count(*) AS n_rows, count_if(NOT o_totalprice > 1000) AS invalid FROM orders GROUP BY 1, 2")
+@query("SELECT CAST(year(o_orderdate) AS INTEGER) AS period, CAST(('0x' || left(sha256(CAST(o_orderkey AS VARCHAR)), 2))::INTEGER % 4 AS INTEGER) AS bucket, count(*) AS n_rows, count(*) FILTER (WHERE NOT o_totalprice > 1000) AS invalid FROM orders GROUP BY 1, 2")
 def partition_domain(spark, d):
     o = table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
     return agg.partition_domain(o, "year", "o_orderkey", 4, "o_totalprice > 1000")
@@ -713,12 +713,12 @@ def flag_shares(spark, d):
     return f.withColumns({c: F.col(c).cast("double") for c in ("positive_sum", "negative_sum")})
 
 
-@query("SELECT event_type AS metric, count(value) AS n, min(value) AS min, max(value) AS max, round(avg(value), 6) AS mean, round(median(value), 6) AS median, count_if(value = 0) AS zeros, count_if(value < 0) AS negatives FROM events GROUP BY 1")
+@query("SELECT event_type AS metric, count(value) AS n, min(value) AS min, max(value) AS max, round(avg(value), 6) AS mean, round(median(value), 6) AS median, count(*) FILTER (WHERE value = 0) AS zeros, count(*) FILTER (WHERE value < 0) AS negatives FROM events GROUP BY 1")
 def metric_sanity(spark, d):
     return profile.metric_sanity(table(spark, d, "events").withColumnRenamed("event_type", "metric"), "metric", "value").withColumns({c: r(c) for c in ("mean", "median")})
 
 
-@query("SELECT count(*) AS n_rows, count_if(n > 1) AS duplicate_keys, CAST(count(*) - count(*) AS BIGINT) AS null_rows FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)")
+@query("SELECT count(*) AS n_rows, count(*) FILTER (WHERE n > 1) AS duplicate_keys, CAST(count(*) - count(*) AS BIGINT) AS null_rows FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)")
 def audit(spark, d):
     a = agg.audit_table(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_orderkey"], {"q": "l_quantity > 0"})
     return a.select((F.col("n_rows") - F.col("duplicate_excess")).alias("n_rows"), "duplicate_keys", "null_rows")
@@ -729,7 +729,7 @@ def period_profile(spark, d):
     return profile.period_profile(table(spark, d, "orders").select(F.year("o_orderdate").cast("string").alias("y")).filter("y <> '1998'"), "y", 1900, 2100)
 
 
-@query("SELECT 'p_name' AS \"column\", count_if(NOT regexp_matches(p_name, '^[a-z]+ [a-z]+$')) AS violations FROM part UNION ALL SELECT 'p_brand', count_if(NOT regexp_matches(p_brand, '^Brand#[0-9]$')) FROM part")
+@query("SELECT 'p_name' AS \"column\", count(*) FILTER (WHERE NOT regexp_matches(p_name, '^[a-z]+ [a-z]+$')) AS violations FROM part UNION ALL SELECT 'p_brand', count(*) FILTER (WHERE NOT regexp_matches(p_brand, '^Brand#[0-9]$')) FROM part")
 def pattern_violations(spark, d):
     return profile.pattern_violations(table(spark, d, "part"), {"p_name": "^[a-z]+ [a-z]+$", "p_brand": "^Brand#[0-9]$"})
 
@@ -744,7 +744,7 @@ def issue_ledger(spark, d):
 # --- marts ----------------------------------------------------------------------------------------------------------
 
 
-@query(f"WITH {OBS} SELECT metric AS fact, count(*) AS n_rows, count(value) AS numeric_observations, count_if(value IS NULL) AS missing_observations, count_if(value = 0) AS genuine_zero, min(year) AS first_period, max(year) AS last_period, count(DISTINCT year) AS represented_periods, round(count(value) * 100.0 / count(*), 8) AS numeric_pct, min(year) || '-' || max(year) AS period_text FROM obs WHERE metric IN ('discount', 'tax') GROUP BY 1")
+@query(f"WITH {OBS} SELECT metric AS fact, count(*) AS n_rows, count(value) AS numeric_observations, count(*) FILTER (WHERE value IS NULL) AS missing_observations, count(*) FILTER (WHERE value = 0) AS genuine_zero, min(year) AS first_period, max(year) AS last_period, count(DISTINCT year) AS represented_periods, round(count(value) * 100.0 / count(*), 8) AS numeric_pct, min(year) || '-' || max(year) AS period_text FROM obs WHERE metric IN ('discount', 'tax') GROUP BY 1")
 def fact_overview_mart(spark, d):
     o = observations(spark, d)
     return marts.fact_overview_mart({m: o.filter(F.col("metric") == m) for m in ("discount", "tax")}, "value", "year")
