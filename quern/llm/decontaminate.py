@@ -45,21 +45,26 @@ def _grams(ids: np.ndarray, q: int) -> np.ndarray:
     return h
 
 
-def cgk(ids: np.ndarray, start: np.ndarray, stop: np.ndarray, at: list[int], seed: int) -> np.ndarray:
-    """Symbols at some steps of the CGK walk over ids[start:stop] for many windows: at every step the symbol under the
-    pointer is copied out, and a random bit of (step, symbol) says whether the pointer moves on. Windows at edit
-    distance d then mostly differ at few places of their walks. Past its end a window gives a pad."""
+def walk(ids: np.ndarray, start: np.ndarray, stop: np.ndarray, at: list[int], seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """CGK walks over ids[start:stop] for many windows: symbols under the pointer, and the pointer, at some steps.
+
+    At every step the symbol under the pointer is copied out, and a random bit of (step, symbol) says whether the
+    pointer moves on. Windows at edit distance d then mostly differ at few steps. Past its end a window gives a pad."""
     here = start.copy()
-    out = np.empty((len(start), len(at)), np.int64)
+    out, places = np.empty((len(start), len(at)), np.int64), np.empty((len(start), len(at)), np.int64)
     want = {step: n for n, step in enumerate(at)}
     last = len(ids) - 1
     for step in range(max(at) + 1):
         symbol = np.where(here < stop, ids[np.minimum(here, last)], _PAD)
         if step in want:
-            out[:, want[step]] = symbol
+            out[:, want[step]], places[:, want[step]] = symbol, here
         mixed = (symbol.astype(np.uint64) + np.uint64((seed * 1_000_003 + step) * int(_PRIMES[1]) & 0xFFFFFFFFFFFFFFFF)) * _PRIMES[0]
         here = here + ((mixed ^ (mixed >> np.uint64(32))) * _PRIMES[2] >> np.uint64(63)).astype(np.int64)
-    return out
+    return out, places
+
+
+def cgk(ids: np.ndarray, start: np.ndarray, stop: np.ndarray, at: list[int], seed: int) -> np.ndarray:
+    return walk(ids, start, stop, at, seed)[0]
 
 
 def best_alignment(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -164,8 +169,11 @@ class Index:
         begin = np.r_[0, ends[:-1]]
         pairs = []
         for t, by_class in enumerate(self.tables):
+            steps = sorted({step for at, _, _ in by_class for step in at})
+            symbols, places = walk(ids, start, stop, steps, t)  # one walk for windows of all sizes: they differ in their pads
             for (_, most, _), (at, keys, members) in zip(self.classes, by_class):
-                key = self.key(cgk(ids, start, np.minimum(stop, start + most), at, t))
+                cols = np.searchsorted(steps, at)
+                key = self.key(np.where(places[:, cols] < (start + most)[:, None], symbols[:, cols], _PAD))
                 low, high = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
                 hit = np.flatnonzero(high > low)
                 if len(hit):
