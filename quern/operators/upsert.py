@@ -4,32 +4,51 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.operators.match import join_back
+
+def _falling(df: DataFrame, c: str) -> Column | None:
+    """A column whose ascending order is c's descending order with NULLs last; None for types that have none."""
+    kind, x = df.schema[c].dataType.typeName(), F.col(f"`{c}`")
+    if kind in ("byte", "short", "integer", "long"):
+        turned = F.bitwise_not(x.cast("long"))  # unlike the minus sign, defined for the least long too
+    elif kind == "date":
+        turned = F.bitwise_not(F.unix_date(x).cast("long"))
+    elif kind in ("timestamp", "timestamp_ntz"):
+        turned = F.bitwise_not(F.unix_micros(x.cast("timestamp")))
+    elif kind == "decimal":
+        turned = -x
+    elif kind in ("double", "float"):
+        turned = F.struct(~F.isnan(x), -x)
+    elif kind == "boolean":
+        turned = ~x
+    else:
+        return None
+    return F.struct(x.isNull(), turned)
 
 
 def deduplicate(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the most recent by `order` (descending, NULLs last), ties by all other columns ascending with
-    NULLs first; nested columns count as JSON. Written as an aggregation of one struct, so that a hot key is reduced
-    before the shuffle rather than sorted in one task."""
+    NULLs first; nested columns count as JSON. One aggregation of the least row in that order, so that a hot key is
+    reduced before the shuffle rather than sorted in one task; only text as `order` needs a window."""
     rest = [c for c in df.columns if c not in keys and c not in order]
-    plain = lambda c: F.to_json(c) if df.schema[c].dataType.typeName() in ("struct", "array", "map") else F.col(c)
-    # max_by takes the greatest: recency as it is with NULL lowest, ties as a rank that falls; the tie order needs
-    # ascending columns, so ties are settled by a second pass over the rows that share the greatest recency
-    recency = F.struct(*order) if order else F.lit(0)
-    best = df.groupBy(*keys).agg(F.max(recency).alias("_best"))
-    top = join_back(df, best, keys).filter(recency.eqNullSafe(F.col("_best"))).drop("_best")
-    tie = F.struct(*(x for c in rest for x in (F.col(c).isNotNull().alias(f"n_{c}"), plain(c).alias(f"v_{c}")))) if rest else F.lit(0)
-    whole = F.struct(*df.columns)
-    return top.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min_by(whole, tie).alias("_row")).select("_row.*")
+    recency = [_falling(df, c) for c in order]
+    if any(c is None for c in recency):
+        return deduplicate_by_window(df, keys, order)
+    nested = lambda c: df.schema[c].dataType.typeName() in ("struct", "array", "map")
+    plain = [F.to_json(c) if nested(c) else F.col(f"`{c}`") for c in rest]
+    place = F.struct(*recency, *(F.struct(c.isNotNull(), c) for c in plain), F.lit(0))
+    by = [F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]
+    return df.groupBy(*by).agg(F.min_by(F.struct(*(f"`{c}`" for c in df.columns)), place).alias("_row")).select("_row.*")
 
 
 def deduplicate_by_window(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The same by row_number: for keys that are known to have few rows each."""
     rest = [c for c in df.columns if c not in keys and c not in order]
-    w = Window.partitionBy(*keys).orderBy(*(F.col(c).desc_nulls_last() for c in order), *(F.col(c).asc_nulls_first() for c in rest))
+    nested = lambda c: df.schema[c].dataType.typeName() in ("struct", "array", "map")
+    plain = [F.to_json(c) if nested(c) else F.col(f"`{c}`") for c in rest]
+    w = Window.partitionBy(*keys).orderBy(*(F.col(c).desc_nulls_last() for c in order), *(c.asc_nulls_first() for c in plain))
     return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 

@@ -54,6 +54,9 @@ def test_deduplicate_prefers_recency_then_nulls_first(spark):
     want = [(None, 1, 1, "n"), ("A", 2, 100, None), ("B", None, 0, "z")]
     assert rows(upsert.deduplicate(df, ["k"], ["ts"]), "k") == want
     assert rows(upsert.deduplicate_by_window(df, ["k"], ["ts"]), "k") == want
+    many = spark.range(400).selectExpr("id % 40 AS k", "nullif(id * 7 % 11, 3) AS a", "timestamp_micros(id * 13 % 5) AS t", "date_add(date'2024-01-01', int(id % 3)) AS d", "if(id % 17 = 0, double('NaN'), id * 5 % 4) AS x", "cast(id * 3 % 7 AS decimal(5,2)) AS p", "id % 2 = 0 AS b", "array(id % 9) AS l", "cast(id AS string) AS s")
+    for order in (["a"], ["t", "a"], ["d"], ["x", "t"], ["p"], ["b"], ["s"], []):
+        assert rows(upsert.deduplicate(many, ["k"], order).select("k", "s"), "k") == rows(upsert.deduplicate_by_window(many, ["k"], order).select("k", "s"), "k"), order
 
 
 def test_upsert(spark):
