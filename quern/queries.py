@@ -816,6 +816,141 @@ def template_price_coverage(spark, d):
     return semantic.Templates(fact).run("price_coverage", year_from=1996, year_to=1999, metric="tax")
 
 
+# --- more cleaning, branches and stores ------------------------------------------------------------------------------
+
+
+@query("""SELECT CASE WHEN c BETWEEN 7001 AND 7012 THEN CAST(c - 7000 AS INTEGER) END AS month, CASE WHEN c BETWEEN 7001 AND 7012 THEN 'monthly' WHEN c = 7021 THEN 'annual' END AS time_grain, count(*) AS n
+ FROM (SELECT 7000 + user_id % 23 AS c FROM events) GROUP BY 1, 2""")
+def decode_period(spark, d):
+    e = table(spark, d, "events").select((F.lit(7000) + F.col("user_id") % 23).cast("string").alias("code"))
+    return clean.decode_period(e, "code").groupBy("month", "time_grain").agg(F.count("*").alias("n"))
+
+
+@query("SELECT l_returnflag, CAST(CASE WHEN l_returnflag = 'R' THEN 10000 ELSE 1 END AS INTEGER) AS conversion_factor, CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS DECIMAL(28,8)) / 10000 ELSE CAST(l_quantity AS DECIMAL(28,8)) END) AS DOUBLE) AS total FROM lineitem GROUP BY 1, 2")
+def decode_ratio(spark, d):
+    x = clean.decode_ratio(table(spark, d, "lineitem").withColumn("q", F.col("l_quantity").cast("decimal(28,8)")), "l_returnflag", "q", "R")
+    return x.groupBy("l_returnflag", "conversion_factor").agg(F.sum("value_decoded").cast("double").alias("total"))
+
+
+@query("SELECT CASE WHEN n_regionkey < 3 THEN n_name END AS label, CASE WHEN n_regionkey < 3 THEN 'known' ELSE 'unknown' END AS lookup_status, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2")
+def lookup_status(spark, d):
+    n = table(spark, d, "nation").filter("n_regionkey < 3").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("label"))
+    return clean.lookup(table(spark, d, "customer"), n, "c_nationkey").groupBy("label", "lookup_status").agg(F.count("*").alias("n"))
+
+
+@query("SELECT CASE WHEN o_totalprice > 200000 THEN 'large' ELSE 'small' END AS branch, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,4))) AS DOUBLE) AS total FROM orders GROUP BY 1")
+def split_branches(spark, d):
+    a, b = reshape.split_by(table(spark, d, "orders"), "o_totalprice > 200000")
+    both = reshape.union_branches(a.withColumn("branch", F.lit("large")), b.withColumn("branch", F.lit("small")))
+    return both.groupBy("branch").agg(F.count("*").alias("n"), F.sum(money("o_totalprice")).cast("double").alias("total"))
+
+
+@query("SELECT o_orderpriority, count(*) AS n FROM orders WHERE o_orderpriority <> '2-HIGH' OR o_totalprice > 100000 GROUP BY 1")
+def replace_branch(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    new = o.filter("o_orderpriority = '2-HIGH' AND o_totalprice > 100000")
+    return reshape.replace_branch(o, new, "o_orderpriority", "2-HIGH").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem WHERE l_quantity < 3 EXCEPT SELECT l_suppkey, l_returnflag FROM lineitem WHERE l_quantity > 48")
+def lineage_missing(spark, d):
+    li = table(spark, d, "lineitem")
+    return joins.lineage_missing(li.filter("l_quantity < 3"), li.filter("l_quantity > 48"), ["l_suppkey", "l_returnflag"])
+
+
+@query("SELECT CAST(length(x) - CASE WHEN strpos(x, '.') > 0 THEN strpos(x, '.') ELSE length(x) END AS INTEGER) AS decimals, count(*) AS n FROM (SELECT rtrim(rtrim(CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR), '0'), '.') AS x FROM part) GROUP BY 1")
+def precision_histogram(spark, d):
+    text = F.regexp_replace(F.regexp_replace(F.col("p_retailprice").cast("decimal(12,2)").cast("string"), "0+$", ""), r"\.$", "")
+    return profile.precision_histogram(table(spark, d, "part").select(text.alias("v")), "v")
+
+
+@query("SELECT CAST(l_suppkey AS VARCHAR) AS file, count(*) AS n, CAST(600 AS BIGINT) AS expected FROM lineitem GROUP BY l_suppkey HAVING count(*) <> 600")
+def file_reconcile(spark, d):
+    li = table(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("_source_file"))
+    manifest = li.select(F.col("_source_file").alias("file")).distinct().withColumn("expected", F.lit(600).cast("long"))
+    return agg.file_reconcile(li, manifest)
+
+
+@query("SELECT CASE WHEN blank THEN 'structural' ELSE 'data' END AS kind, count(*) AS n FROM (SELECT user_id % 5 = 0 AND event_type <> 'click' AS blank FROM events) GROUP BY 1")
+def structural_rows(spark, d):
+    e = table(spark, d, "events").select(F.when(F.col("user_id") % 5 != 0, "x").otherwise(" \u0000").alias("a"), F.when(F.col("event_type") == "click", "y").alias("b"))
+    data, structural = quality.structural_rows(e, ["a", "b"])
+    return data.select(F.lit("data").alias("kind")).unionByName(structural.select(F.lit("structural").alias("kind"))).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("SELECT p_type, CAST(p_size AS VARCHAR) || '|' || CAST(count(*) AS VARCHAR) AS layout, count(*) AS n FROM part GROUP BY p_type, p_size")
+def layout_groups(spark, d):
+    """Parts of one type and size stand for files of one layout."""
+    h = table(spark, d, "part").select("p_type", "p_size", F.array("p_type", F.col("p_size").cast("string")).alias("header"), "p_partkey")
+    g = profile.layout_groups(h, "p_partkey", "header")
+    return g.select(F.col("columns")[0].alias("p_type"), F.concat_ws("|", F.col("columns")[1], F.size("files").cast("string")).alias("layout"), F.size("files").cast("long").alias("n"))
+
+
+@query(f"WITH {NATION} SELECT nation, year, CAST(max(value) FILTER (metric = 'amount') AS DOUBLE) AS amount, CAST(max(value) FILTER (metric = 'quantity') AS DOUBLE) AS quantity, CAST(max(value) FILTER (metric = 'quantity' AND value > 0) AS DOUBLE) AS paired_area, CAST(max(value) FILTER (metric = 'amount') AS DOUBLE) AS paired_production FROM ny GROUP BY 1, 2")
+def production_mart(spark, d):
+    wide = marts.national_mart(nation_year(spark, d), ["nation", "year"], "metric", "value", {"amount": "amount", "quantity": "quantity"})
+    m = marts.production_mart(wide, "quantity", "amount")
+    return m.select("nation", "year", *(F.col(c).cast("double").alias(c) for c in ("amount", "quantity", "paired_area", "paired_production")))
+
+
+@query(f"WITH {MONTHLY} SELECT series, CAST(month AS VARCHAR) AS month, round(price, 4) AS price FROM m WHERE series = '5-LOW' AND price > 250000")
+def price_reference_mart(spark, d):
+    m = monthly(spark, d).select("series", F.col("month").cast("string").alias("month"), r("price", 4).alias("price"), F.col("price").alias("raw"))
+    return marts.price_reference_mart(m, ["series", "month", "price"], "series = '5-LOW' AND raw > 250000")
+
+
+@query(f"WITH {NATION} SELECT nation, year, metric, additivity, CAST(value AS DOUBLE) AS value FROM ny JOIN (VALUES " + ", ".join(f"('{a}', '{f}')" for a, _, _, _, f in RULE_ROWS) + ") t(metric, additivity) USING (metric)")
+def marketing_year_mart(spark, d):
+    m = marts.marketing_year_mart(nation_year(spark, d), _rules(spark).select("metric", "additivity"), "metric")
+    return m.select("nation", "year", "metric", "additivity", F.col("value").cast("double").alias("value"))
+
+
+@query("SELECT 'lineitem' AS mart, count(DISTINCT l_suppkey) AS orphans FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) UNION ALL SELECT 'nations', count(DISTINCT s_nationkey + 990) FROM supplier")
+def mart_relationships(spark, d):
+    s = table(spark, d, "supplier")
+    shifted = s.select((F.col("s_nationkey") + 990).alias("k"))
+    return marts.mart_relationships({"lineitem": (table(spark, d, "lineitem").withColumn("k", F.col("l_suppkey").cast("long")), "k"), "nations": (shifted, "k")}, s.filter("s_acctbal > 0 AND s_suppkey < 990"), "s_suppkey")
+
+
+@query("SELECT o_orderpriority AS k, CAST(2 AS BIGINT) AS versions, count(*) AS n FROM orders WHERE year(o_orderdate) >= 1996 GROUP BY 1")
+def snapshot_noop(spark, d):
+    """Written, written again without a change, then with one: two versions."""
+    from quern.sources.store import scratch_store, write_snapshot
+
+    store = scratch_store(spark)
+    o = table(spark, d, "orders").select(F.col("o_orderpriority").alias("k"), F.year("o_orderdate").alias("y"))
+    for frame in (o, o, o.filter("y >= 1996")):
+        write_snapshot(store, "orders", frame.groupBy("k").agg(F.count("*").alias("n")))
+    return store.read("orders").withColumn("versions", F.lit(len(store.versions("orders"))).cast("long"))
+
+
+@query("SELECT 'run-' || CAST(o_orderkey % 2 AS VARCHAR) AS _ingestion_run_id, count(*) AS n FROM orders GROUP BY 1")
+def append_once(spark, d):
+    """Two runs, each delivered twice."""
+    from quern.sources.store import append_once as append
+    from quern.sources.store import scratch_store
+
+    store = scratch_store(spark)
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    for run in (0, 1, 0, 1):
+        append(store, "orders", o.filter(F.col("o_orderkey") % 2 == run), f"run-{run}", 0)
+    return store.read("orders").groupBy("_ingestion_run_id").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT user_id, event_type, CAST(CAST(max(value) AS DECIMAL(10,2)) AS DOUBLE) AS value FROM (SELECT *, rank() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) AS n FROM events WHERE value > 1) WHERE n = 1 GROUP BY 1, 2""")
+def streaming_upsert(spark, d):
+    """events as a stream of files into a table of the last valid value per user and type."""
+    from quern.sources.store import scratch_store
+    from quern.streaming.incremental import stream
+
+    store = scratch_store(spark)
+    contract = Contract("last_values", (Field("user_id", "long"), Field("event_type"), Field("value", "decimal(10,2)"), Field("ts", "timestamp")), ("user_id", "event_type"), (Rule("floor", "value > 1"),))
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    source = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*").select("user_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
+    stream(source, store, contract, "ts", f"{store.root}/progress", "events").awaitTermination()
+    return store.read("last_values").select("user_id", "event_type", F.col("value").cast("double").alias("value"))
+
+
 # --- files ----------------------------------------------------------------------------------------------------------
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +14,18 @@ from pyspark.sql import functions as F
 LINEAGE = ("_ingestion_run_id", "_ingestion_batch_id", "_ingestion_chunk_id", "_ingestion_timestamp", "_source_id", "_source_file", "_source_checksum", "_source_snapshot_id")
 
 
+def scratch_store(spark: SparkSession) -> TableStore:
+    """A store of its own in the folder that executors share (spark.checkpoint.dir), or where that is unset in a local
+    one; it goes when the application ends."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = tempfile.mkdtemp(prefix="quern-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+    store = TableStore(spark, f"{root.rstrip('/')}/store-{uuid.uuid4().hex}")
+    atexit.register(store.drop)
+    return store
+
+
 class TableStore:
     """Tables under one root: <root>/<table>/v=<n>/ and a pointer file per published version."""
 
@@ -22,6 +38,12 @@ class TableStore:
     def _fs(self):
         return self._path("x").getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def drop(self) -> None:
+        try:
+            self._fs().delete(self._path("."), True)
+        except Exception:  # the JVM may be gone already
+            pass
+
     def versions(self, table: str) -> list[int]:
         fs, at = self._fs(), self._path(table, "_published")
         return sorted(int(s.getPath().getName()) for s in fs.listStatus(at)) if fs.exists(at) else []
@@ -87,6 +109,26 @@ def append_once(store: TableStore, table: str, df: DataFrame, run_id: str, chunk
     return True
 
 
+def bronze_append(store: TableStore, table: str, df: DataFrame, **lineage) -> int:
+    """Appends source rows with the eight lineage columns; see files.bronze_lineage for their names."""
+    from quern.sources.files import bronze_lineage
+
+    return append_rows(store, table, bronze_lineage(df, **lineage))
+
+
+def upsert_table(store: TableStore, table: str, incoming: DataFrame, keys: list[str], ts: str) -> int:
+    """A version after the upsert, or the current one if the upsert would change nothing."""
+    from quern.operators.upsert import changes, upsert
+
+    now = store.current(table)
+    if now is None:
+        return store.write(table, incoming)
+    target = store.read(table, now)
+    if changes(target, incoming, keys, ts).isEmpty():
+        return now
+    return store.write(table, upsert(target, incoming, keys, ts))
+
+
 def new_artifacts(manifest: DataFrame, loaded: DataFrame) -> DataFrame:
     """Artifacts whose content (source and checksum) no earlier run has loaded."""
     return manifest.join(loaded.select("source_id", "sha256").distinct(), ["source_id", "sha256"], "left_anti").select(manifest.columns)
