@@ -117,19 +117,16 @@ def reconcile(silver: DataFrame, gold: DataFrame, key: list[str]) -> DataFrame:
     return multiset_diff(silver.select(*key), gold.select(*key))
 
 
-class AdditivityError(ValueError):
-    pass
-
-
 def safe_sum(fact: DataFrame, metrics: DataFrame, by: list[str], time: str, value: str = "value", metric: str = "metric", components: str | None = None) -> DataFrame:
     """Sums by `by` where each metric's rule allows it: NEVER_SUM only over single rows, NO_SUM_OVER_TIME only within one
-    `time`, NO_SUM_WITH_COMPONENTS only within one metric. What would break a rule is an error, never a number."""
+    `time`, NO_SUM_WITH_COMPONENTS only within one metric. What would break a rule is an error when the result is used,
+    never a number."""
     joined = fact.join(metrics.select("metric", "additivity"), fact[metric] == metrics["metric"]).drop(metrics["metric"]) if metric == "metric" else fact.join(metrics, metric)
     g = joined.groupBy(*by).agg(
         F.sum(value).alias("total"), F.count("*").alias("_n"), F.count_distinct(time).alias("_times"), F.count_distinct(metric).alias("_metrics"),
         F.count_if(F.col("additivity") == "NEVER_SUM").alias("_never"), F.count_if(F.col("additivity") == "NO_SUM_OVER_TIME").alias("_stock"), F.count_if(F.col("additivity") == "NO_SUM_WITH_COMPONENTS").alias("_whole"),
     )
     broken = ((F.col("_never") > 0) & (F.col("_n") > 1)) | ((F.col("_stock") > 0) & (F.col("_times") > 1)) | ((F.col("_whole") > 0) & (F.col("_metrics") > 1))
-    if bad := g.filter(broken).limit(3).collect():
-        raise AdditivityError(f"a sum by {by} is not allowed: {[tuple(r[c] for c in by) for r in bad]}")
-    return g.select(*by, "total")
+    where = F.concat_ws(", ", *(F.col(c).cast("string") for c in by)) if by else F.lit("all rows")
+    refused = F.raise_error(F.concat(F.lit(f"additivity: no sum by {by} of "), where)).cast(g.schema["total"].dataType)
+    return g.select(*by, F.when(broken, refused).otherwise(F.col("total")).alias("total"))
