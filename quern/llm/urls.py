@@ -104,9 +104,9 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(LABELLED, "url string, label int")
 
 
-def judge_urls(pages: DataFrame, labelled: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", threshold: float = 0.5, **training) -> DataFrame:
+def judge_urls(pages: DataFrame, labelled: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", threshold: float = 0.6, **training) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) for every row: the longest rule's verdict where one fits, otherwise
-    block if the model's probability reaches the threshold.
+    block if the model's probability reaches the threshold, which asks for more than an even chance.
 
     Null urls and urls without :// have empty host and path and are judged like any other; repeated rows and null ids
     stay; other columns are ignored; an empty table gives an empty result."""

@@ -38,7 +38,7 @@ def test_rules_against_brute_force(spark):
             host, path = parts(rows[r.page_id])
             rule, verdict = ruled(host, path)
             assert (r.host, r.path, r.rule) == (host, path, rule), rows[r.page_id]
-            assert r.verdict == verdict if rule else r.verdict == ("block" if r.score >= 0.5 else "allow")
+            assert r.verdict == verdict if rule else r.verdict == ("block" if r.score >= 0.6 else "allow")
     assert "Python" not in got._jdf.queryExecution().toString() and "Arrow" not in got._jdf.queryExecution().toString()
     assert urls.judge_urls(pages.limit(0), urls.labelled_urls(spark), rounds=1).count() == 0
 
