@@ -123,10 +123,10 @@ def safe_sum(fact: DataFrame, metrics: DataFrame, by: list[str], time: str, valu
     never a number."""
     joined = fact.join(metrics.select("metric", "additivity"), fact[metric] == metrics["metric"]).drop(metrics["metric"]) if metric == "metric" else fact.join(metrics, metric)
     g = joined.groupBy(*by).agg(
-        F.sum(value).alias("total"), F.count("*").alias("_n"), F.count_distinct(time).alias("_times"), F.count_distinct(metric).alias("_metrics"),
+        F.sum(value).alias("total"), F.count("*").alias("_n"), (F.min(time) != F.max(time)).alias("_times"), (F.min(metric) != F.max(metric)).alias("_metrics"),
         F.count_if(F.col("additivity") == "NEVER_SUM").alias("_never"), F.count_if(F.col("additivity") == "NO_SUM_OVER_TIME").alias("_stock"), F.count_if(F.col("additivity") == "NO_SUM_WITH_COMPONENTS").alias("_whole"),
     )
-    broken = ((F.col("_never") > 0) & (F.col("_n") > 1)) | ((F.col("_stock") > 0) & (F.col("_times") > 1)) | ((F.col("_whole") > 0) & (F.col("_metrics") > 1))
+    broken = ((F.col("_never") > 0) & (F.col("_n") > 1)) | ((F.col("_stock") > 0) & F.coalesce("_times", F.lit(False))) | ((F.col("_whole") > 0) & F.coalesce("_metrics", F.lit(False)))
     where = F.concat_ws(", ", *(F.col(c).cast("string") for c in by)) if by else F.lit("all rows")
     refused = F.raise_error(F.concat(F.lit(f"additivity: no sum by {by} of "), where)).cast(g.schema["total"].dataType)
     return g.select(*by, F.when(broken, refused).otherwise(F.col("total")).alias("total"))
