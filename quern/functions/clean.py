@@ -79,6 +79,7 @@ def normalized_value(value: Column, unit: Column, precision: int, scale: int) ->
 
 def unit_name(unit: Column) -> Column:
     """The unit that normalized_value leaves: 1000 MT -> tonne and so on."""
+    # fixed values: source units and the units that values in them are turned into
     names = {"1000 USD": "USD", "1000 MT": "tonne", "1000 HA": "hectare", "MT/HA": "tonne/hectare"}
     out = unit
     for source, name in names.items():
