@@ -105,12 +105,16 @@ def validate_files(spark: SparkSession, specs: list[dict]) -> DataFrame:
         else:
             lines = spark.read.text(s["path"]).filter("trim(value) <> ''")
             rows = lines.select(F.when(F.try_parse_json("value").isNull(), F.col("value")).alias("_corrupt"), "value")
-            header = [r[0] for r in lines.select(F.explode(F.json_object_keys("value"))).distinct().limit(10_000).collect()] if s.get("columns") else []
+            keys = lines.select(F.explode(F.json_object_keys("value")).alias("name")).distinct()
         counted = rows.agg(F.count("*").alias("n"), F.count_if(F.col("_corrupt").isNotNull() & (F.length("value") >= 0)).alias("bad"))  # the length makes the reader parse whole rows
         out.append(counted.filter("bad > 0").select(path, F.lit("PARSE_FAILURE").alias("problem"), F.col("bad").cast("string").alias("detail")))
         out.append(counted.filter(F.col("n") - F.col("bad") < s.get("min_rows", 1)).select(path, F.lit("TOO_FEW_RECORDS").alias("problem"), (F.col("n") - F.col("bad")).cast("string").alias("detail")))
-        if lacking := sorted(set(s.get("columns", ())) - set(header)):
-            out.append(spark.range(1).select(path, F.lit("MISSING_COLUMNS").alias("problem"), F.lit(",".join(lacking)).alias("detail")))
+        if s.get("columns"):
+            if s["format"] == "csv":
+                keys = spark.createDataFrame([(c,) for c in header], "name string")
+            lacking = spark.createDataFrame([(c,) for c in s["columns"]], "name string").join(keys, "name", "left_anti")
+            names = lacking.agg(F.array_join(F.sort_array(F.collect_list("name")), ",").alias("detail")).filter("detail <> ''")
+            out.append(names.select(path, F.lit("MISSING_COLUMNS").alias("problem"), "detail"))
     return reduce(DataFrame.unionByName, out)
 
 
