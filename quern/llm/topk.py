@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from quern.llm.shared import cut
 
-#: Rows of a leaf; rows of a shard and of a block of queries at most (what a task holds at once).
+#: Rows of a leaf; rows of a shard and of a block of queries at most: what a task holds at once. Every shard meets every
+#: block, so the rows moved fall as these grow; at 64 components the two take some 50 MB.
 LEAF = 64
-SHARD_ROWS = 16_384
-BLOCK_ROWS = 2_048
+SHARD_ROWS = 65_536
+BLOCK_ROWS = 16_384
 _MOST, _LEAST = (1 << 63) - 1, -(1 << 63)
 
 
