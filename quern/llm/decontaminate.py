@@ -1,4 +1,5 @@
-"""Benchmark decontamination: CGK embedding of item-sized windows, bit-sampling LSH, exact edit distance."""
+"""Benchmark decontamination: CGK embedding of item-sized windows, bit-sampling LSH, runs of words that every match shares,
+exact edit distance."""
 
 from __future__ import annotations
 
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 #: Edits per word of an item, at most: a similarity of 0.8.
 MAX_EDITS = 0.2
 #: Sampled positions per table, and what the number of tables is made for: the recall of windows whose embeddings
-#: differ at this share of positions.
+#: differ at this share of positions. Windows with more edits differ at more; those the tables miss are found by the
+#: runs of words that they share with the item (Index.by_runs), so that the recall of matches does not hang on these.
 SAMPLES = 4
 TARGET_RECALL = 0.99
 EMBEDDED_DISTANCE = 0.3
@@ -24,6 +26,7 @@ BLOCK_CHARS = 16_000_000
 _WORD = re.compile(r"[^\W_]+")
 _PAD = -1
 _GRAM = 4
+_POSTS = 1 << 20
 _PRIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -94,6 +97,7 @@ class Index:
     item_id: list[int]
     items: list[np.ndarray]
     grams: dict[int, np.ndarray]
+    posts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # by gram size: where each gram's items begin, items, places
     classes: list[tuple[int, int, list[int]]]  # least and greatest length, items
     tables: list[list[tuple[list[int], np.ndarray, np.ndarray]]]  # by table and class: sampled steps, sorted keys, items
     max_edits: float
@@ -102,10 +106,17 @@ class Index:
     def build(rows: list[tuple[int, list[str]]], max_edits: float, tables: int, samples: int) -> Index:
         vocabulary: dict[str, int] = {}
         items = [np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in ws], np.int64) for _, ws in rows]
-        grams: dict[int, set] = {}
-        for item in items:
-            q = max(1, min(_GRAM, len(item) // (int(max_edits * len(item)) + 1)))
-            grams.setdefault(q, set()).update(_grams(item, q).tolist())
+        held: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        for i, item in enumerate(items):
+            q = Index.gram(len(item), max_edits)
+            h = _grams(item, q)
+            held.setdefault(q, []).append((h, np.full(len(h), i), np.arange(len(h))))
+        grams, posts = {}, {}
+        for q, parts in held.items():
+            h, item, place = map(np.concatenate, zip(*parts))
+            sort = np.lexsort((place, item, h))
+            grams[q], first = np.unique(h[sort], return_index=True)
+            posts[q] = (np.r_[first, len(h)], item[sort], place[sort])
         order = sorted(range(len(items)), key=lambda i: len(items[i]))
         classes: list[tuple[int, int, list[int]]] = []
         for i in order:
@@ -127,7 +138,12 @@ class Index:
                 sort = np.argsort(key, kind="stable")
                 by_class.append((at, key[sort], m[sort]))
             made.append(by_class)
-        return Index(vocabulary, [r[0] for r in rows], items, {q: np.array(sorted(g), np.uint64) for q, g in grams.items()}, classes, made, max_edits)
+        return Index(vocabulary, [r[0] for r in rows], items, grams, posts, classes, made, max_edits)
+
+    @staticmethod
+    def gram(n: int, max_edits: float) -> int:
+        """Words of a run that an item of n words shares with every match: d edits leave one of d + 1 pieces whole."""
+        return max(1, min(_GRAM, n // (int(max_edits * n) + 1)))
 
     @staticmethod
     def key(symbols: np.ndarray) -> np.ndarray:
@@ -137,11 +153,9 @@ class Index:
             h ^= h >> np.uint64(31)
         return h
 
-    def window_starts(self, ids: np.ndarray) -> np.ndarray:
-        """Positions where a window has to be looked at. An item within the edit bound shares a run of words with its
-        window (of d + 1 pieces of an item, d edits leave one whole), so only windows near such a run count."""
-        longest = int(self.classes[-1][1] * (1 + self.max_edits)) + 1
-        edge = np.zeros(len(ids) + 1, np.int32)
+    def runs(self, ids: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """By gram size: positions where a gram of some item stands, and its number among the known ones."""
+        out = {}
         for q, known in self.grams.items():
             if len(ids) < q:
                 continue
@@ -153,21 +167,68 @@ class Index:
                 h = (h ^ ids[at + i].astype(np.uint64)) * _PRIMES[i]
                 h ^= h >> np.uint64(29)
             place = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            at = at[known[place] == h]
+            hit = known[place] == h
+            out[q] = at[hit], place[hit]
+        return out
+
+    def window_starts(self, ids: np.ndarray, runs: dict[int, tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Positions where a window has to be looked at: those near a run of words that an item has."""
+        longest = int(self.classes[-1][1] * (1 + self.max_edits)) + 1
+        edge = np.zeros(len(ids) + 1, np.int32)
+        for at, _ in runs.values():
             np.add.at(edge, np.maximum(at - longest, 0), 1)
             np.add.at(edge, at + 1, -1)
         return np.flatnonzero((np.cumsum(edge)[: len(ids)] > 0) & (ids > 0))
 
+    def _parts(self, ends: np.ndarray, runs: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The runs in parts of whole texts, cut where _POSTS places of items are passed."""
+        for q, (at, gram) in runs.items():
+            if not len(at):
+                continue
+            first = self.posts[q][0]
+            text, total = np.searchsorted(ends, at, "right"), np.cumsum((first[1:] - first[:-1])[gram]) // _POSTS
+            new = np.flatnonzero(text[1:] != text[:-1]) + 1
+            cuts = new[np.flatnonzero(np.diff(total[new], prepend=0))]
+            for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(at)]):
+                yield q, at[a:b], gram[a:b]
+
+    def by_runs(self, ids: np.ndarray, ends: np.ndarray, runs: dict[int, tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+        """(text, item, start) of every window that shares enough runs of words with an item for a match; none is lost.
+
+        A match within d edits keeps n - q + 1 - q d of the item's n - q + 1 grams, one at least, and shifts each by d
+        places at most from where the item begins."""
+        pairs = []
+        lengths = np.array([len(i) for i in self.items])
+        for q, at, gram in self._parts(ends, runs):
+            first, item_of, place_of = self.posts[q]
+            n = (first[1:] - first[:-1])[gram]
+            post = np.repeat(first[gram], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            item, begin, here = item_of[post], np.repeat(at, n) - place_of[post], np.repeat(at, n)
+            edits = (self.max_edits * lengths[item]).astype(np.int64)
+            text = np.searchsorted(ends, here, "right")
+            sort = np.lexsort((begin, item, text))
+            text, item, begin, edits = text[sort], item[sort], begin[sort], edits[sort]
+            need = np.maximum(lengths[item] - q + 1 - q * edits, 1)
+            # a match has its first gram, by begin, at most 2 d before its last: so many rows on must be the same item's
+            last = np.arange(len(item)) + need - 1
+            ok = last < len(item)
+            last = np.minimum(last, len(item) - 1)
+            ok &= (text[last] == text) & (item[last] == item) & (begin[last] <= begin + 2 * edits)
+            pairs.append(np.column_stack([text[ok], item[ok], np.maximum(begin[ok], 0)]))
+            pairs.append(np.column_stack([text[ok], item[ok], np.maximum(begin[ok] + 2 * edits[ok], 0)]))
+        return pairs
+
     def find(self, ids: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """Matches in some texts' words (0 where unknown), ends: where each text stops in ids.
         (text, item, distance, first word, word after the last), the best one for each text and item."""
-        start = self.window_starts(ids)
+        runs = self.runs(ids)
+        start = self.window_starts(ids, runs)
         if not len(start):
             return []
         text = np.searchsorted(ends, start, "right")
         stop = ends[text]
         begin = np.r_[0, ends[:-1]]
-        pairs = []
+        pairs = self.by_runs(ids, ends, runs)
         for t, by_class in enumerate(self.tables):
             steps = sorted({step for at, _, _ in by_class for step in at})
             symbols, places = walk(ids, start, stop, steps, t)  # one walk for windows of all sizes: they differ in their pads
@@ -181,8 +242,6 @@ class Index:
                     one = np.repeat(hit, n)
                     other = members[np.repeat(low[hit], n) + np.arange(len(one)) - np.repeat(np.cumsum(n) - n, n)]
                     pairs.append(np.column_stack([text[one], other, start[one]]))
-        if not pairs:
-            return []
         found = np.unique(np.concatenate(pairs), axis=0)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         new = np.flatnonzero(np.r_[True, (found[1:, 0] != found[:-1, 0]) | (found[1:, 1] != found[:-1, 1]) | (found[1:, 2] > found[:-1, 2] + 2 * self.classes[-1][1])])

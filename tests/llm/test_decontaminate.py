@@ -79,3 +79,25 @@ def test_embedding_keeps_near_windows_near():
     steps = list(range(90))
     gap = lambda x, y: np.mean([(dec.cgk(x, np.array([0]), np.array([len(x)]), steps, t) != dec.cgk(y, np.array([0]), np.array([len(y)]), steps, t)).mean() for t in range(30)])
     assert gap(a, a) == 0 and gap(a, b) < 0.3 < 0.9 < gap(a, c)
+
+
+def test_every_leak_at_the_full_bound_is_found(spark):
+    rng = random.Random(12)
+    vocabulary = ["the", "of", "and", "to"] * 10 + ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    items = [(i, text(rng, n, vocabulary)) for i, n in enumerate([9, 15, 20, 24, 38, 54, 59, 100, 120, 150] * 4)]
+    docs, want = [], set()
+    for k, item in items:
+        words = dec.words(item)
+        for i in range(4):
+            leak = list(words)  # edits spread evenly: runs are as short as they can be
+            for at in sorted(range(len(words) // 10, len(words), 5), reverse=True)[: int(0.2 * len(words))]:
+                leak[at : at + 1] = [[], ["qq"], [leak[at], "qq"]][rng.randrange(3)]
+            docs.append((4 * k + i, text(rng, rng.randrange(60), vocabulary) + " " + " ".join(leak) + " " + text(rng, rng.randrange(60), vocabulary)))
+            assert distance(words, dec.words(docs[-1][1])) <= int(0.2 * len(words))
+            want.add((4 * k + i, k))
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert want <= {(r.doc_id, r.item_id) for r in dec.contaminated(frame, bench).collect()}
+    index = dec.Index.build([(i, dec.words(t)) for i, t in items], 0.2, 0, 4)  # no tables: shared runs alone, cut into parts
+    every = [(d, k) for d, t in docs for k, i in items if distance(dec.words(i), dec.words(t)) <= int(0.2 * len(dec.words(i)))]
+    ids = [np.array([index.vocabulary.get(w, 0) for w in dec.words(t)], np.int64) for _, t in docs]
+    assert [(docs[m[0]][0], index.item_id[m[1]]) for m in index.find(np.concatenate([*ids, [0]]), np.cumsum([len(i) for i in ids]))] == every
