@@ -39,9 +39,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _KEY_BYTES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+#: Escapes with what quote() leaves bare between and around them.
+_STRETCH = re.compile(r"(?<![A-Za-z0-9_.~/+-])[A-Za-z0-9_.~/+-]*+(?:%[0-9A-Fa-f]{2}[A-Za-z0-9_.~/+-]*+)+")
+_UNIT = re.compile(r"%[0-9A-Fa-f]{2}|[^%]")
+#: Where compressed data can begin, and stretches of other bytes that are long enough for a secret.
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+_PARTS = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\x[0-9A-Fa-f]{2})+|\\U[0-9A-Fa-f]{8}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 _ESCAPE = re.compile(rb"%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f{]|&#[0-9xX]")
 _BASE64 = re.compile(rf"[A-Za-z0-9+/_-]{{{RUN},}}={{0,2}}")
+#: The same over line ends: wrapped base64, with indents.
+_WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{RUN},}}+(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]++)+={{0,2}}")
 _B64_TABLE = np.zeros(256, bool)
 _B64_TABLE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] = True
 _HEX_TABLE = np.zeros(256, bool)
@@ -83,46 +91,104 @@ class Oversize(Exception):
     pass
 
 
-def inflate(data: bytes, most: int = MAX_LAYER_BYTES) -> bytes | None:
-    """Uncompressed bytes of gzip, zlib, bzip2, xz or zstandard data; None if it is none of these."""
-    try:
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2]) % 31 == 0:
-            out = zlib.decompressobj(47).decompress(data, most + 1)
-        elif data[:3] == b"BZh":
-            out = bz2.BZ2Decompressor().decompress(data, most + 1)
-        elif data[:6] == b"\xfd7zXZ\x00":
-            out = lzma.LZMADecompressor().decompress(data, most + 1)
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            out = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data)).read(most + 1)
-        else:
-            return None
-    except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError):
+def _member(data: bytes, most: int) -> tuple[bytes, bytes] | None:
+    """Uncompressed bytes of the first member of some data, and what follows it; None if there is no member."""
+    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2]) % 31 == 0:
+        d = zlib.decompressobj(47)
+        return d.decompress(data, most + 1), d.unused_data
+    if data[:3] == b"BZh":
+        d = bz2.BZ2Decompressor()
+    elif data[:6] == b"\xfd7zXZ\x00":
+        d = lzma.LZMADecompressor()
+    elif data[:4] == b"\x28\xb5\x2f\xfd":
+        out, d = [], zstandard.ZstdDecompressor().decompressobj()
+        for at in range(0, len(data), 1 << 10):  # in pieces, as these objects take no bound; one gives 32 MiB at most
+            out.append(d.decompress(data[at : at + (1 << 10)]))
+            if d.eof or sum(map(len, out)) > most:
+                return b"".join(out), d.unused_data + data[at + (1 << 10) :] if d.eof else b""
+        return b"".join(out), b""
+    else:
         return None
-    if len(out) > most:
-        raise Oversize
-    return out
+    return d.decompress(data, most + 1), d.unused_data
+
+
+def inflate(data: bytes, most: int = MAX_LAYER_BYTES) -> bytes | None:
+    """Uncompressed bytes of gzip, zlib, bzip2, xz or zstandard data, all members; None if it is none of these. What
+    follows the last member, or a broken one, is left out."""
+    out, size = [], 0
+    while data:
+        try:
+            found = _member(data, most - size)
+        except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError):
+            found = None
+        if found is None:
+            break
+        out.append(found[0])
+        size += len(found[0])
+        if size > most:
+            raise Oversize
+        data = found[1].lstrip(b"\0")
+    return b"".join(out) if out else None
 
 
 def _text(data: bytes, most: int) -> tuple[str, bool] | None:
-    """Readable text of some bytes, and whether it had to be inflated (more than once, if need be)."""
+    """Readable text of some bytes, and whether it had to be inflated (more than once, if need be). Of inflated bytes
+    that are not all text, the readable stretches."""
     packed = False
     while (more := inflate(data, most)) is not None:
         data, packed = more, True
     try:
         text = data.decode()
+        if text and _PLAIN.fullmatch(text):
+            return text, packed
     except UnicodeDecodeError:
+        pass
+    if not packed:
         return None
-    return (text, packed) if text and _PLAIN.fullmatch(text) else None
-
-
-def _from_base64(run: str) -> bytes | None:
+    inner = [m[0].decode() for m in _PARTS.finditer(data)]
+    for m in _MAGIC.finditer(data):  # members that do not stand at the start
+        if m.start() and (found := _text(data[m.start() :], most)) and found[1]:
+            inner.append(found[0])
+            break
+    return ("\0".join(inner), True) if inner else None
+
+
+def _below(data: bytes, most: int) -> Iterator[list[tuple[str, int, int]]]:
+    """What can be read in some bytes: lists of (characters, first byte, bytes). All of it, if it is text; else its
+    readable stretches, and what compressed data inflates to, wherever that begins. An Oversize comes as one entry of
+    no characters."""
+    try:
+        text = data.decode()
+    except UnicodeDecodeError:
+        text = ""
+    if text and _PLAIN.fullmatch(text):
+        made, at = [], 0
+        for c in text:
+            made.append((c, at, n := len(c.encode())))
+            at += n
+        yield made
+    else:
+        for m in _PARTS.finditer(data):
+            yield [(chr(c), i, 1) for i, c in enumerate(m[0], m.start())]
+    for m in _MAGIC.finditer(data):
+        try:
+            found = _text(data[m.start() :], most)
+        except Oversize:
+            yield [("", m.start(), len(data) - m.start())]
+            return
+        if found and found[1]:
+            yield [(found[0], m.start(), len(data) - m.start())]
+            return
+
+
+def _from_base64(run: str) -> bytes:
+    """Bytes of as many whole base64 characters as there are; a lone last character is left out."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
+    body = body[: len(body) - (len(body) % 4 == 1)]
     try:
         return base64.b64decode(body + "=" * (-len(body) % 4))
     except (binascii.Error, ValueError):
-        return None
+        return b""
 
 
 def _unescaped(layer: Layer, pattern: re.Pattern, decode, most: int) -> Layer | None:
@@ -149,18 +215,13 @@ def _unescaped(layer: Layer, pattern: re.Pattern, decode, most: int) -> Layer |
     return Layer("".join(out), layer, pieces)
 
 
-def _percent(run: str, most: int) -> list[tuple[str, int, int]] | None:
-    data = bytes.fromhex(run.replace("%", ""))
-    try:
-        out, at = [], 0
-        for c in data.decode():
-            n = 3 * len(c.encode())
-            out.append((c, at, n))
-            at += n
-        return out
-    except UnicodeDecodeError:
-        found = _text(data, most)
-        return [(found[0], 0, len(run))] if found else None
+def _percent(run: str, most: int) -> list[tuple[str, int, int]]:
+    out, at = [], 0
+    for c in bytes.fromhex(run.replace("%", "")).decode(errors="surrogateescape"):
+        n = 3 * len(c.encode(errors="surrogateescape"))
+        out.append((c if not "\udc80" <= c <= "\udcff" else "\ufffd", at, n))  # a byte that is no text parts what is around it
+        at += n
+    return out
 
 
 def _unicode(run: str, most: int) -> list[tuple[str, int, int]] | None:
@@ -186,7 +247,7 @@ def all_spans(text: str, most: int = MAX_LAYER_BYTES) -> list[tuple[int, str, in
     """Base spans of a text and of all layers below it, the latter as the spans of the text that they come from.
 
     A worklist of layers: each is scanned, then unwrapped in every way (percent escapes, Unicode escapes, base64 runs
-    with or without compression inside) until nothing new comes out; a layer seen before at the same place is not
+    at every alignment and over line ends, compression inside them) until nothing new comes out; a layer seen before at the same place is not
     followed again. Base spans of the text itself stay, whatever the layers add."""
     found = set(base_spans(text))
     work, seen = [Layer(text)], {(text, 0)}
@@ -198,6 +259,19 @@ def all_spans(text: str, most: int = MAX_LAYER_BYTES) -> list[tuple[int, str, in
                 seen.add(key)
                 work.append(layer)
 
+    def unfold(layer: Layer, made: list[tuple[str, int, int]], outer) -> None:
+        """Takes what _below read as a layer, outer giving the span of some bytes in the text above."""
+        if not made[0][0]:
+            low, high = layer.up(*outer(*made[0][1:]))
+            found.add((low, "oversize", high))
+            return
+        pieces, length = [], 0
+        for chars, at, n in made:
+            low, high = outer(at, n)
+            pieces.append((length, low, high - low, False))
+            length += len(chars)
+        push(Layer("".join(chars for chars, _, _ in made), layer, pieces))
+
     while work:
         layer = work.pop()
         if layer.parent is not None:
@@ -206,32 +280,30 @@ def all_spans(text: str, most: int = MAX_LAYER_BYTES) -> list[tuple[int, str, in
                 found.add((low, kind, high))
         push(_guarded(layer, _PERCENT, _percent, most, found))
         push(_guarded(layer, _UNICODE, _unicode, most, found))
-        for m in _BASE64.finditer(layer.text):
-            data = _from_base64(m[0])
-            if not data:
-                continue
-            try:
-                made = _text(data, most)
-            except Oversize:
-                low, high = layer.up(*m.span())
-                found.add((low, "oversize", high))
-                continue
-            if made is None:
-                continue
-            inner, packed = made
-            if packed:
-                pieces = [(0, m.start(), m.end() - m.start(), False)]
-            else:
-                pieces, at = [], 0
-                for i, c in enumerate(inner):  # byte b of the decoded run comes from characters 4b/3 and on
-                    n = len(c.encode())
-                    low, high = at * 4 // 3, min(len(m[0]), -(-(at + n) * 4 // 3))
-                    pieces.append((i, m.start() + low, high - low, False))
-                    at += n
-                if pieces:  # the padding belongs to the last character
-                    i, low, _, _ = pieces[-1]
-                    pieces[-1] = (i, low, m.end() - low, False)
-            push(Layer(inner, layer, pieces))
+        for m in _STRETCH.finditer(layer.text):
+            units = list(_UNIT.finditer(m[0]))
+            data = b"".join(bytes.fromhex(u[0][1:]) if len(u[0]) == 3 else u[0].encode() for u in units)
+            if _MAGIC.search(data):
+                edges = [m.start() + u.start() for u in units] + [m.end()]
+                for made in _below(data, most):
+                    unfold(layer, made, lambda at, n, edges=edges: (edges[at], edges[at + n]))
+        for pattern in (_BASE64, _WRAPPED):
+            for m in pattern.finditer(layer.text):
+                whole, places = m[0], None
+                if pattern is _WRAPPED:
+                    places = [m.start() + i for i, c in enumerate(whole) if not c.isspace()]
+                    whole = "".join(whole.split())
+                body = len(whole.rstrip("="))
+                for skip in range(4):  # what stands before a run can be of the same characters
+                    data = _from_base64(whole[skip:])
+
+                    def outer(at, n, skip=skip, whole=whole, body=body, places=places, size=len(data), first=m.start()):
+                        low, high = skip + at * 4 // 3, min(body, skip - (-(at + n) * 4 // 3))
+                        high = len(whole) if at + n >= size else high  # the padding belongs to the last character
+                        return (places[low], places[high - 1] + 1) if places else (first + low, first + high)
+
+                    for made in _below(data, most):
+                        unfold(layer, made, outer)
     return sorted(found, key=lambda s: (s[0], _ORDER[s[1]], s[2]))
 
 
@@ -251,6 +323,16 @@ def _runs(flags: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     return edges[long] + 1, edges[long + 1]
 
 
+def _readable(data: bytes) -> bool:
+    """Whether _below can have anything."""
+    if _PARTS.search(data) or _MAGIC.search(data):
+        return True
+    try:
+        return bool(data and _PLAIN.fullmatch(data.decode()))
+    except UnicodeDecodeError:
+        return False
+
+
 def _suspects(raw: list[bytes]) -> np.ndarray:
     """Which texts can have any span: the others are plain beyond doubt and skip the scan."""
     joined = b"\n".join(raw)
@@ -262,12 +344,8 @@ def _suspects(raw: list[bytes]) -> np.ndarray:
     starts, ends = _runs(_B64_TABLE[codes], RUN)
     for n, s, e in zip(np.searchsorted(bounds, starts, "right").tolist(), starts.tolist(), ends.tolist()):
         if not flag[n]:
-            data = _from_base64(joined[s:e].decode())
-            if data:
-                try:
-                    flag[n] = _text(data, 1 << 16) is not None
-                except Oversize:
-                    flag[n] = True
+            run = joined[s:e].decode()
+            flag[n] = joined[e : e + 1] in (b"\r", b"\n") and e + 1 < bounds[n] or any(_readable(_from_base64(run[skip:])) for skip in range(4))
     for n in np.flatnonzero(~flag):
         low = raw[n].lower()
         flag[n] = any(k in low for k in _KEY_BYTES) or b"AKIA" in raw[n] or b"%" in low and _ESCAPE.search(low) or (b"\\" in low or b"&#" in low) and _ESCAPE.search(low) is not None

@@ -1,10 +1,13 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import zlib
 from urllib.parse import quote
 
+import zstandard
 from pyspark.sql import functions as F
 
 from quern.llm import secrets as s
@@ -51,6 +54,18 @@ def test_layers_map_to_the_outer_text():
             assert ends and len(before) + len(run.split("%")[0]) <= max(ends) <= len(before) + len(run), (run, got)
             if "%" not in run:
                 assert max(ends) == len(before) + len(run)
+    b64url, noise = lambda data: base64.urlsafe_b64encode(data).decode(), bytes(range(128, 255))
+    lines = "the quick brown fox jumps over it\n" * 3 + secret + "\n" + "and rests\n" * 9
+    layers = [quote(gzip.compress(lines.encode())), quote(zlib.compress(secret.encode())), quote(bz2.compress(lines.encode()))]
+    layers += [base64.b64encode(pack(b"nothing here") + pack(lines.encode())).decode() for pack in (gzip.compress, bz2.compress, lzma.compress, zstandard.compress)]
+    layers += [base64.encodebytes(gzip.compress(lines.encode() + noise)).decode().strip(), base64.encodebytes(lines.encode()).decode().strip().replace("\n", "\r\n ")]
+    layers += [f"{p}{base64.b64encode(d).decode()}" for p in ("a", "ab/", "x_y-", "/") for d in (lines.encode(), gzip.compress(lines.encode()))]
+    layers += [base64.b64encode(noise + lines.encode() + noise).decode(), b64url(noise + zlib.compress(lines.encode())), "%ff%FE" + "".join(f"%{c:02x}" for c in secret.encode()) + "%80"]
+    for run in layers:
+        for before, after in (("", ""), ("é ✓ text, ", " more"), ("lines\n\n", "\n\nmore")):
+            got = [(a, e) for a, k, e in spans(before + run + after) if k == "assign"]
+            assert got and all(len(before) <= a < e <= len(before + run) for a, e in got), run
+            assert s._suspects([(before + run + after).encode()])[0], run
     text = f"see {url} end"
     inner = [text[a:e] for a, k, e in spans(text) if k == "assign"]
     assert inner == ["secret%3A%20abcdefgh"]
