@@ -14,11 +14,22 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words whose ids a Python worker keeps; beyond that it starts its memory anew (results don't depend on it).
+#: Words whose ids a Python worker keeps, and their longest; beyond that it starts its memory anew (results don't
+#: depend on it).
 KEPT_WORDS = 200_000
+KEPT_CHARS = 200
 #: Python's white space that the pattern's \\s does not count.
 _ODD_SPACE = regex.compile("[\\x1c-\\x1f]")
 _SPACE = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+# Where the library's Unicode tables differ from Python's. Its pattern engine does not yet know these as
+# letters and numbers, its normal form takes these marks for letters of their own (they are newer than its tables; one
+# letter with a decomposition is too), and its lower case is newer than Python's.
+_NO_LETTER = "\u0558\u058b-\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce-\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1\uab6c-\uab6d\U000107bb-\U000107bf\U00010940-\U00010959\U00010ec5-\U00010ec7\U00010ed9-\U00010eee\U00011b0a\U00011db0-\U00011ddb\U00011df1\U00016ea0-\U00016eb8\U00016ebb-\U00016ed3\U00016ff2-\U00016ff3\U000187f8-\U000187ff\U00018cd6-\U00018cda\U00018d09-\U00018d20\U00018d80-\U00018df2\U00018e00-\U00019191\U000191a0-\U000191d2\U0001b123-\U0001b128\U0001b168\U0001d6a6\U0001df1f-\U0001df24\U0001df2b-\U0001df81\U0001df90-\U0001df96\U0001dfcd-\U0001dfff\U0001e6c0-\U0001e6de\U0001e6e0-\U0001e6e2\U0001e6e4-\U0001e6e5\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4\U0001e6fe-\U0001e6ff\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead\U000323b0-\U00033479\U0003d000-\U0003fc3f"
+_NO_NUMBER = "\U00011de0-\U00011de9\U0001246f\U00012475-\U0001247f\U00012550-\U00012686\U00016ff4-\U00016ff6"
+_NEW_MARKS = "\u07fd\u0898-\u089f\u08ca-\u08d3\u09fe\u0c3c\u0d3b-\u0d3c\u0eba\u1715\u1abf-\u1ace\u1df6-\u1dfa\ua82c\U00010d24-\U00010d27\U00010eab-\U00010eac\U00010efd-\U00010eff\U00010f46-\U00010f50\U00010f82-\U00010f85\U00011070\U0001133b\U0001145e\U00011839-\U0001183a\U00011930\U00011938\U0001193d-\U0001193e\U00011943\U000119e0\U00011a34\U00011a47\U00011a99\U00011d42\U00011d44-\U00011d45\U00011d97\U00011f41-\U00011f42\U00016ff0-\U00016ff1\U0001e08f\U0001e130-\U0001e136\U0001e2ae\U0001e2ec-\U0001e2ef\U0001e4ec-\U0001e4ef"
+_NEW_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B} | {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+_MARKS = regex.compile(f"([{_NEW_MARKS}])")
+_ODD = regex.compile(f"[{_NO_LETTER}{_NO_NUMBER}{_NEW_MARKS}{''.join(map(chr, _NEW_LOWER))}]")
 _LAST = 0x10000  # added to a word's last symbol where the vocabulary has word ends
 
 
@@ -44,7 +55,10 @@ class Bpe:
         self.specials = {t["content"]: t["id"] for t in model["added_tokens"]}
         self.token = {i: t for t, i in {**self.vocab, **self.specials}.items()}
         pattern = next(p for p in model["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
-        self.find = regex.compile(pattern.replace("\\s", _SPACE)).findall  # the only \s of the pattern is in a class
+        pattern = pattern.replace("\\s", _SPACE)  # the only \s of the pattern is in a class
+        self.find = regex.compile(pattern).findall
+        narrow = regex.sub(r"\[(\^?)([^\]]*)\]", lambda m: f"[{m[1]}[{m[2]}]--[{_NO_LETTER}{_NO_NUMBER}]]" if not m[1] else f"[[^{m[2]}]||[{_NO_LETTER}{_NO_NUMBER}]]", pattern)
+        self.find_odd = regex.compile(narrow, regex.V1).findall  # the same for texts with characters that its engine does not know
         self.spaces = regex.compile(f"[{_SPACE}]+")
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")").split if self.specials else None
         self.symbols = _byte_symbols()
@@ -140,14 +154,26 @@ class Bpe:
 
     def _word(self, word: str) -> tuple[str, str, int]:
         ids = self.encode_word(word)
-        if len(self.known) >= KEPT_WORDS:
-            self.known.clear()
-        made = self.known[word] = (" ".join(map(str, ids)), " ".join([self.token[i] for i in ids]), len(ids))
+        made = (" ".join(map(str, ids)), " ".join([self.token[i] for i in ids]), len(ids))
+        if len(word) <= KEPT_CHARS:
+            if len(self.known) >= KEPT_WORDS:
+                self.known.clear()
+            self.known[word] = made
         return made
 
     def normal(self, piece: str) -> str:
-        low = piece if piece.isascii() else unicodedata.normalize("NFC", piece)
-        return low.replace("Σ", "σ").lower()  # each character by itself, whatever its place in a word
+        if piece.isascii():
+            return piece.lower()
+        if _ODD.search(piece):
+            parts = [unicodedata.normalize("NFC", p) for p in _MARKS.split(piece)]
+            piece = "".join(parts).translate(_NEW_LOWER)
+        else:
+            piece = unicodedata.normalize("NFC", piece)
+        return piece.replace("Σ", "σ").lower()  # each character by itself, whatever its place in a word
+
+    def words(self, text: str) -> list[str]:
+        """Words of the pattern in a normal text."""
+        return (self.find if text.isascii() or not _ODD.search(text) else self.find_odd)(text)
 
     def pieces(self, text: str) -> Iterator[tuple[str, bool]]:
         """What lies between special tokens, and the special tokens themselves, which count as they stand."""
@@ -161,7 +187,7 @@ class Bpe:
             if special:
                 ids.append(self.specials[piece])
             else:
-                for w in self.find(self.spaces.sub(" ", self.normal(piece))):
+                for w in self.words(self.spaces.sub(" ", self.normal(piece))):
                     ids += self.encode_word(w)
         return ids
 
@@ -171,10 +197,12 @@ class Bpe:
 
     def _chunk(self, chunk: str) -> tuple[str, str, int]:
         """Ids of what stands between white space, which no word of the pattern crosses."""
-        words = [self.known.get(w) or self._word(w) for w in self.find(chunk)]
-        if len(self.chunks) >= KEPT_WORDS:
-            self.chunks.clear()
-        made = self.chunks[chunk] = (" ".join([w[0] for w in words]), " ".join([w[1] for w in words]), sum([w[2] for w in words]))
+        words = [self.known.get(w) or self._word(w) for w in self.words(chunk)]
+        made = (" ".join([w[0] for w in words]), " ".join([w[1] for w in words]), sum([w[2] for w in words]))
+        if len(chunk) <= KEPT_CHARS:
+            if len(self.chunks) >= KEPT_WORDS:
+                self.chunks.clear()
+            self.chunks[chunk] = made
         return made
 
     def digest(self, text: str) -> tuple[int, str, str]:

@@ -35,6 +35,18 @@ def test_same_as_the_library(model, library):
         assert model.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("form", ["{} ", "a{}\u0323\u0334b "])
+def test_every_code_point(model, library, form):
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(map(form.format, points[i : i + 512])) for i in range(0, len(points), 512)]
+    assert [model.encode(t) for t in texts] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_long_words(model, library):
+    for text in ("e" * 300_000, "\u00e9\u4e2d" * 50_000, "." * 100_000):
+        assert model.encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
 def test_table(spark, library):
     rows = [(i, t) for i, t in enumerate(texts(200))] + [(7, None), (None, "no id"), (7, "twice"), (7, "twice")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_tokens", F.lit("clash")).withColumn("ids", F.lit(0))
