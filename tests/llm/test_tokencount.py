@@ -49,6 +49,45 @@ def test_counts_add_up_to_the_library():
         assert sum(brute(text, "start")[0]) == len(coder.encode_ordinary(text))
 
 
+@pytest.mark.parametrize("text", [" " * 10_000_000, "x" + "\n" * 10_000_000 + "y", "a" * 10_000_000, "1" * 3_000_000, ("x" + "\u3000 " * 3000 + "\n") * 300])
+def test_very_long_stretches(text):
+    encoding = tc._encoding(open(PATH, "rb").read(), P.PATTERN)
+    ids = tc.encode(encoding, text)
+    assert encoding[0].decode(ids) == text
+
+
+def test_long_white_space_is_cut_where_the_pattern_cuts():
+    encoding = tc._encoding(open(PATH, "rb").read(), P.PATTERN)
+    for space in (" ", "\n", "\t \u3000", "\x1c", "\r\n"):
+        for n in (4095, 4096, 4097, 20000):
+            stretch = (space * n)[:n]
+            for text in (stretch, stretch + "word", f"a {stretch}'s b", f"1{stretch}\u00e9{stretch}", f"{stretch}.{stretch}"):
+                assert tc.encode(encoding, text) == encoding[0].encode_ordinary(text)
+
+
+@pytest.mark.parametrize("rule", tc.RULES)
+def test_fields(spark, rule):
+    rows = [(1, "Some title", "and a body\n", 3), (2, None, "", None), (None, "\u00e9", None, 12345), (2, "x" * 50, "  y", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, head string, body string, number int").withColumn("field", F.lit("clash"))
+    coder = tc._encoding(open(PATH, "rb").read(), P.PATTERN)[0]
+    for separator in ("\n", ""):
+        got = tc.field_tokens(docs, ["head", "body", "number"], PATH, P.PATTERN, separator=separator, rule=rule).collect()
+        assert [r.field for r in got] == ["head", "body", "number"] * 4
+        want = []
+        for _, *fields in rows:
+            parts = [("" if f is None else str(f)) + (separator if i < 2 else "") for i, f in enumerate(fields)]
+            owner, n, at = [i for i, p in enumerate(parts) for _ in p.encode()], [0] * 3, 0
+            for token in coder.encode_ordinary("".join(parts)):
+                size = len(coder.decode_single_token_bytes(token))
+                own = owner[at : at + size]
+                n[own[0] if rule == "start" else own[-1] if rule == "end" else max(sorted(set(own)), key=own.count)] += 1
+                at += size
+            want += n
+        assert [r.n_tokens for r in got] == want
+    with pytest.raises(ValueError):
+        tc.field_tokens(docs, [], PATH, P.PATTERN)
+
+
 def test_unknown_rule(spark):
     with pytest.raises(ValueError):
         tc.section_tokens(spark.createDataFrame([], "doc_id long, text string"), PATH, P.PATTERN, rule="none")
