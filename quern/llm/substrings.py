@@ -2,8 +2,10 @@
 
 Every string of `length` bytes has an anchor, the gram of least hash among its grams, so equal strings have equal
 anchors at equal places. Anchors are thus the only suffixes that need sorting: those whose gram occurs nowhere else are
-dropped, those whose whole neighbourhood occurs elsewhere are settled by its hash, and the rest are sorted, to the right
-and to the left of the anchor, within the group of their gram."""
+dropped, those whose whole neighbourhood occurs elsewhere are settled by its digest, and the rest are sorted, to the
+right and to the left of the anchor, within the group of their gram. A group that is too large for a task is halved:
+its strings that begin near the anchor and those that begin far from it each have bytes in common by which the halves
+part into smaller groups, down to groups of one and the same string."""
 
 from __future__ import annotations
 
@@ -14,16 +16,15 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.shared import cut, remove
+from quern.llm.shared import cut
 
 LENGTH = 200
 GRAM = 32
-#: Neighbourhoods of one gram that one task sorts; larger groups are settled by counting the hashes of their strings.
-GROUP_ROWS = 32_768
+#: Neighbourhoods that are sorted as one group at most; larger groups are halved until they are this small.
+GROUP_ROWS = 8_192
 _CHUNK = 1 << 21
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -114,22 +115,39 @@ def _pieces(raw: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
         yield at, raw[at:]
 
 
+def _find_grams(length: int, gram: int):
+    """Hashes of the anchors' grams, with how often each occurs in a piece of the input."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, part in _pieces([t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]):
+                g, n = np.unique(anchors(part, length, gram)[4], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(n)], ["g", "n"])
+
+    return run
+
+
 def _find_anchors(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
             for begin, part in _pieces(raw):
                 text, at, first, last, g = anchors(part, length, gram)
-                z = [xxhash.xxh3_64_intdigest(part[t][a:b]) for t, a, b in zip(text.tolist(), first.tolist(), (last + length).tolist())]
+                z = _digests([part[t][a:b] for t, a, b in zip(text.tolist(), first.tolist(), (last + length).tolist())])
                 rows = pa.array(text + begin)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(g), pa.array(np.array(z, np.uint64).view(np.int64)), pa.array(at - first, pa.int32()), pa.array(at - last, pa.int32()), pa.array(first, pa.int32()), batch.column(0).take(rows), batch.column(1).take(rows)],
-                    ["g", "z", "high", "low", "first", "doc_id", "hash"],
+                    [pa.array(g), pa.array(z[:, 0]), pa.array(z[:, 1]), pa.array(at - first, pa.int32()), pa.array(at - last, pa.int32()), pa.array(first, pa.int32()), batch.column(0).take(rows), batch.column(1).take(rows)],
+                    ["g", "z1", "z2", "high", "low", "first", "k1", "k2"],
                 )
 
     return run
 
 
+def _digests(data: list[bytes]) -> np.ndarray:
+    """128 bits of BLAKE2b for each, as two integers."""
+    return np.frombuffer(b"".join([hashlib.blake2b(d, digest_size=16).digest() for d in data]), np.int64).reshape(-1, 2)
+
+
 def _batcher(n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Stages of Batcher's odd-even mergesort over n (a power of two) places: pairs to compare and exchange."""
     p = 1
@@ -231,17 +249,23 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, first, np.nonzero(edge == -1)[1] - 1
 
 
-_COVER = "doc_id long, hash int, start int, stop int"
+_COVER = "k1 long, k2 int, start int, stop int"
+_CONTEXT = "g long, n long, first int, high int, low int, k1 long, k2 int, context binary"
+_HALF = f"{_CONTEXT}, least int, most int"
 
 
-def _covers(doc_id: pa.Array, hash_: pa.Array, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([doc_id, hash_, pa.array(start, pa.int32()), pa.array(stop, pa.int32())], ["doc_id", "hash", "start", "stop"])
+def _covers(k1: pa.Array, k2: pa.Array, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([k1, k2, pa.array(start, pa.int32()), pa.array(stop, pa.int32())], ["k1", "k2", "start", "stop"])
 
 
 def _compare(length: int):
     """Over contexts sorted by gram, whole groups at a time."""
 
     def settle(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        who = np.column_stack([table[c].to_numpy().astype(np.int64) for c in ("g", "k1", "k2", "first")])
+        order = np.lexsort(who.T[::-1])
+        who = who[order]  # rows that repeat under one id give the same neighbourhoods: one is enough
+        table = table.take(pa.array(order[np.r_[True, (who[1:] != who[:-1]).any(axis=1)]]))
         g = table["g"].to_numpy()
         high, low = table["high"].to_numpy().astype(np.int64), table["low"].to_numpy().astype(np.int64)
         group = np.cumsum(np.r_[0, g[1:] != g[:-1]])
@@ -251,7 +275,7 @@ def _compare(length: int):
         if len(row):
             at = (table["first"].to_numpy() + high)[row]
             rows = pa.array(row)
-            yield _covers(table["doc_id"].combine_chunks().take(rows), table["hash"].combine_chunks().take(rows), at - far, at - near + length)
+            yield _covers(table["k1"].combine_chunks().take(rows), table["k2"].combine_chunks().take(rows), at - far, at - near + length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -272,13 +296,19 @@ def _compare(length: int):
     return run
 
 
-def _slice(length: int, windows: bool):
-    """Over texts with what is asked of them: neighbourhoods of anchors; windows: hashes of their strings one by one."""
+def _slice(length: int):
+    """Over texts with what is asked of them: neighbourhoods of anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[tuple[int, int]] = set()
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
+                keys = list(zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist()))
+                new = [i for i, k in enumerate(keys) if k not in done and (done.add(k) or True)]  # rows that repeat are asked once
+                if len(done) > 100_000:
+                    done.clear()
+                batch = batch.take(pa.array(new, pa.int64()))
                 raw = batch.column("text").cast(pa.binary()).to_pylist()
                 asked = batch.column("asked")
                 row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(asked).to_numpy(zero_copy_only=False))
@@ -286,51 +316,82 @@ def _slice(length: int, windows: bool):
                 first, high, low = (flat.field(c).to_numpy() for c in ("first", "high", "low"))
                 context = [raw[r][f : f + h - o + length] for r, f, h, o in zip(row.tolist(), first.tolist(), high.tolist(), low.tolist())]
                 rows = pa.array(row)
-                ids, hashes = batch.column("doc_id").take(rows), batch.column("hash").take(rows)
-                if not windows:
-                    yield pa.RecordBatch.from_arrays([flat.field("g"), flat.field("n"), flat.field("first"), flat.field("high"), flat.field("low"), ids, hashes, pa.array(context, pa.binary())], ["g", "n", "first", "high", "low", "doc_id", "hash", "context"])
-                    continue
-                made = [[xxhash.xxh3_128_digest(c[i : i + length]) for i in range(len(c) - length + 1)] for c in context]
-                yield pa.RecordBatch.from_arrays([flat.field("g"), flat.field("n"), flat.field("first"), ids, hashes, pa.array(made, pa.list_(pa.binary()))], ["g", "n", "first", "doc_id", "hash", "strings"])
+                yield pa.RecordBatch.from_arrays([flat.field("g"), flat.field("n"), flat.field("first"), flat.field("high"), flat.field("low"), batch.column("k1").take(rows), batch.column("k2").take(rows), pa.array(context, pa.binary())], ["g", "n", "first", "high", "low", "k1", "k2", "context"])
 
     return run
 
 
+def _halve(length: int):
+    """Neighbourhoods of groups that stand for offsets from `least` to `most`, parted into those of the nearer and the
+    farther half. Strings of one half all hold the bytes from its least offset before the anchor to the end of its
+    greatest offset's string, so these bytes give the new group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for g, n, first, high, low, k1, k2, context, least, most in zip(*(c.to_pylist() for c in batch.columns)):
+                middle = (least + most) // 2
+                for a, b in ((least, middle), (middle + 1, most)):
+                    l, h = max(low, a), min(high, b)
+                    if l <= h:
+                        part = context[high - h : high + length - l]
+                        own = hashlib.blake2b(part[h - a : h + length - b], digest_size=8, key=g.to_bytes(8, "little", signed=True), salt=a.to_bytes(4, "little")).digest()
+                        rows.append((int.from_bytes(own, "little", signed=True), n, first + high - h, h, l, k1, k2, part, a, b))
+            cols = list(zip(*rows)) if rows else [()] * 10
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [f.split()[0] for f in _HALF.split(", ")])
+
+    return run
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
+    """Texts with a key of 96 bits of id and text: rows that share it are the same text, and so have the same spans."""
+    id_, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    return docs.select(F.xxhash64(id_, text).alias("k1"), F.hash(id_, text).alias("k2"), text.alias("text"), *more)
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(doc_id, hash, start, stop): stretches of bytes, overlapping or not, that together hold every byte covered by a
-    string of `length` bytes that starts anywhere else too. hash is the text's 32-bit hash, a second part of the key for
-    ids that repeat."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(F.col(text_col).cast("string")).alias("hash"), F.col(text_col).cast("string").alias("text"))
-    found, where = cut(texts.mapInArrow(_find_anchors(length, gram), "g long, z long, high int, low int, first int, doc_id long, hash int"), "anchors")
+    """(k1, k2, start, stop): stretches of bytes, overlapping or not, that together hold every byte covered by a string
+    of `length` bytes that starts anywhere else too. k1, k2: the key of the id and the text, see _keyed."""
+    texts = _keyed(docs, id_col, text_col)
     # counts are tables of their own, so that the joins with them have plain exchanges on both sides, which adaptive
     # execution can split where one gram has very many anchors
-    again, _ = cut(found.groupBy("g").agg(F.count("*").alias("of_g")).filter("of_g > 1").select("g"), "grams")
+    again, _ = cut(texts.mapInArrow(_find_grams(length, gram), "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).filter("n > 1").select("g"), "grams")
+    key = ["g", "z1", "z2", "high", "low"]
+    found = texts.mapInArrow(_find_anchors(length, gram), "g long, z1 long, z2 long, high int, low int, first int, k1 long, k2 int")
     found, _ = cut(found.join(again, "g", "left_semi"), "repeated")
-    remove(spark, where)
-    classes = found.groupBy("g", "z", "high", "low").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "hash", "first")).alias("one"))
-    classes, _ = cut(classes, "classes")
-    key = ["g", "z", "high", "low"]
-    whole = found.join(classes.filter("n > 1").select(*key), key, "left_semi").select("doc_id", "hash", F.col("first").alias("start"), (F.col("first") + F.col("high") - F.col("low") + length).alias("stop"))
+    one = [F.first(c).alias(c) for c in ("k1", "k2", "first")]  # any member, all three of one and the same
+    classes, _ = cut(found.groupBy(*key).agg(F.count("*").alias("n"), *one), "classes")
+    stretch = [F.col("first").alias("start"), (F.col("first") + F.col("high") - F.col("low") + length).alias("stop")]
+    covers = found.join(classes.filter("n > 1").select(*key), key, "left_semi").select("k1", "k2", *stretch)
     per_g, _ = cut(classes.groupBy("g").agg(F.count("*").alias("k")).filter("k > 1"), "groups")
-    open_, _ = cut(classes.join(per_g, "g").select("g", "n", "k", "one.*", "high", "low"), "open")
+    open_, _ = cut(classes.join(per_g, "g").select("g", "n", "k", "k1", "k2", "first", "high", "low"), "open")
+
+    def contexts(rows: DataFrame) -> DataFrame:
+        wanted = rows.groupBy("k1", "k2").agg(F.collect_list(F.struct("g", "n", "first", "high", "low")).alias("asked"))
+        once = texts.filter(F.octet_length("text") >= length)
+        return once.join(wanted, ["k1", "k2"]).mapInArrow(_slice(length), _CONTEXT)
 
-    def asked(rows: DataFrame, windows: bool, schema: str) -> DataFrame:
-        wanted = rows.groupBy("doc_id", "hash").agg(F.collect_list(F.struct("g", "n", "first", "high", "low")).alias("asked"))
-        match = wanted["doc_id"].eqNullSafe(once["doc_id"]) & (wanted["hash"] == once["hash"])
-        return once.join(wanted, match).select(once["doc_id"], once["hash"], "text", "asked").mapInArrow(_slice(length, windows), schema)
+    def settled(rows: DataFrame) -> DataFrame:
+        return rows.repartition("g").sortWithinPartitions("g").mapInArrow(_compare(length), _COVER)
 
-    once = texts.filter(F.octet_length("text") >= length)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    small = asked(open_.filter(F.col("k") <= group_rows), False, "g long, n long, first int, high int, low int, doc_id long, hash int, context binary")
-    covers = whole.unionByName(small.repartition(parts, "g").sortWithinPartitions("g").mapInArrow(_compare(length), _COVER))
+    covers = covers.unionByName(settled(contexts(open_.filter(F.col("k") <= group_rows))))
     large = open_.filter(F.col("k") > group_rows)
-    if not large.isEmpty():
-        strings = asked(large, True, "g long, n long, first int, doc_id long, hash int, strings array<binary>")
-        strings, _ = cut(strings.select("g", "n", "first", "doc_id", "hash", F.posexplode("strings").alias("at", "string")), "strings")
-        twice = strings.groupBy("string").agg(F.count("*").alias("times")).filter("times > 1").select("string")
-        more = strings.filter("n = 1").join(twice, "string", "left_semi").select("doc_id", "hash", (F.col("first") + F.col("at")).alias("start"))
-        covers = covers.unionByName(more.select("doc_id", "hash", "start", (F.col("start") + length).alias("stop")))
+    if large.isEmpty():
+        return covers
+    large = contexts(large).withColumns({"least": F.lit(0), "most": F.lit(length - gram)})
+    key = ["g", "least", "most", "high", "low", "context"]
+    for _ in range((length - gram).bit_length() + 1):  # the halves of one offset hold equal strings, which count as one
+        halves, _ = cut(large.mapInArrow(_halve(length), _HALF), "halves")
+        classes, _ = cut(halves.groupBy(*key).agg(F.count("*").alias("c"), F.max("n").alias("n"), *one), "parts")
+        twice = classes.filter("c > 1").select(*key)
+        covers = covers.unionByName(halves.filter("n = 1").join(twice, key, "left_semi").select("k1", "k2", *stretch))
+        per_g, _ = cut(classes.groupBy("g").agg(F.count("*").alias("k")).filter("k > 1"), "groups")
+        open_ = classes.join(per_g, "g").withColumn("n", F.greatest("n", F.least("c", F.lit(2))))
+        covers = covers.unionByName(settled(open_.filter(F.col("k") <= group_rows).selectExpr(*(f.split()[0] for f in _CONTEXT.split(", ")))))
+        large = open_.filter(F.col("k") > group_rows).selectExpr(*(f.split()[0] for f in _HALF.split(", ")))
+        if per_g.filter(F.col("k") > group_rows).isEmpty():
+            break
     return covers
 
 
@@ -363,10 +424,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     a string of `length` bytes that starts anywhere else, in the same text or another.
 
     Null and empty texts have no bytes. Rows that repeat, also under one id or a null id, are texts of their own that
-    repeat each other, one result each. Matches don't cross texts; an empty table gives an empty result."""
+    repeat each other, one result each; different texts under one id don't mix. Matches don't cross texts; an empty
+    table gives an empty result."""
     spans = repeated_spans(docs, id_col, text_col, length, gram, group_rows)
-    spans = spans.groupBy("doc_id", "hash").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(F.col(text_col).cast("string")).alias("hash"), F.col(text_col).cast("string").alias("text"))
-    match = texts["doc_id"].eqNullSafe(spans["doc_id"]) & (texts["hash"] == spans["hash"])
-    rows = texts.join(spans, match, "left").select(texts["doc_id"], "text", "spans")
+    spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    rows = _keyed(docs, id_col, text_col, F.col(id_col).cast("long").alias("doc_id")).join(spans, ["k1", "k2"], "left").select("doc_id", "text", "spans")
     return rows.mapInArrow(_cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -35,15 +35,35 @@ def made(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed,group_rows", [(1, 2048), (2, 2048), (3, 4)])
+@pytest.mark.parametrize("seed,group_rows", [(1, 2048), (2, 2048), (3, 4), (4, 1), (5, 2)])
 def test_against_brute_force(spark, seed, group_rows):
     rows = made(seed)
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("hash", F.lit("clash")).withColumn("spans", F.lit(1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("k1", F.lit("clash")).withColumn("spans", F.lit(1))
     got = sub.remove_repeats(docs, length=20, gram=6, group_rows=group_rows)
     assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     assert sorted(map(tuple, got.drop("kept").collect()), key=str) == brute(rows, 20)
 
 
+def test_texts_under_one_id_do_not_mix(spark):
+    """Two texts of one 32-bit hash, both without an id; one of them also stands under an id."""
+    rng = random.Random(2)
+    pool = ["".join(rng.choice("abcdefgh") for _ in range(256)) for _ in range(150_000)]
+    hashed = spark.createDataFrame([(t,) for t in pool], "text string").withColumn("h", F.hash("text"))
+    a, b = sorted(hashed.groupBy("h").agg(F.collect_set("text").alias("t")).filter(F.size("t") > 1).first().t)[:2]
+    rows = [(None, a), (None, b), (2, a)]
+    assert sorted(map(tuple, sub.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).drop("kept").collect()), key=str) == brute(rows, 200)
+
+
+@pytest.mark.parametrize("group_rows", [3, 16])
+def test_a_common_passage_in_texts_of_its_own(spark, group_rows):
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passages = [word(70), word(45)]
+    rows = [(i % 40, word(rng.randrange(0, 40)) + passages[i % 2][rng.randrange(0, 3) :] + word(rng.randrange(0, 40))) for i in range(90)] + [(7, passages[0])] * 20
+    got = sub.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=20, gram=6, group_rows=group_rows)
+    assert sorted(map(tuple, got.drop("kept").collect()), key=str) == brute(rows, 20)
+
+
 def test_full_length(spark):
     rng = random.Random(9)
     text = lambda n: "".join(rng.choice("etaoin shr") for _ in range(n))
