@@ -7,13 +7,11 @@ import binascii
 import bz2
 import hashlib
 import html
-import io
 import lzma
 import re
 import zlib
-from bisect import bisect_right
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +22,11 @@ from pyspark.sql import functions as F
 KINDS = ("assign", "access", "hex")
 #: Shortest base64 run that can hold a secret (12 bytes).
 RUN = 16
-#: A layer that inflates beyond this is not unfolded, to keep tasks in memory; its run is reported as kind `oversize`.
-MAX_LAYER_BYTES = 1 << 26
-_ORDER = {kind: n for n, kind in enumerate((*KINDS, "oversize"))}
+#: Uncompressed bytes that are read at once, and what is read again with the next: secrets inside inflated data may lie
+#: anywhere; encoded runs inside inflated data of more than one window are whole up to the overlap's size.
+WINDOW = 1 << 25
+OVERLAP = 1 << 20
+_ORDER = {kind: n for n, kind in enumerate(KINDS)}
 
 
 def _any_case(word: str) -> str:
@@ -41,10 +41,12 @@ _KEY_BYTES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key"
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 #: Escapes with what quote() leaves bare between and around them.
 _STRETCH = re.compile(r"(?<![A-Za-z0-9_.~/+-])[A-Za-z0-9_.~/+-]*+(?:%[0-9A-Fa-f]{2}[A-Za-z0-9_.~/+-]*+)+")
-_UNIT = re.compile(r"%[0-9A-Fa-f]{2}|[^%]")
+_XRUN = re.compile(r"(?:\\x[0-9A-Fa-f]{2}){12,}")
 #: Where compressed data can begin, and stretches of other bytes that are long enough for a secret.
 _MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 _PARTS = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
+_UTF16 = re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){12,}|(?:\x00[\t\n\r\x20-\x7e]){12,}")
+_LONG_SPACES, _SPACES = re.compile(rb" {256,}"), b" " * 255
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\x[0-9A-Fa-f]{2})+|\\U[0-9A-Fa-f]{8}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 _ESCAPE = re.compile(rb"%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f{]|&#[0-9xX]")
 _BASE64 = re.compile(rf"[A-Za-z0-9+/_-]{{{RUN},}}={{0,2}}")
@@ -54,7 +56,6 @@ _B64_TABLE = np.zeros(256, bool)
 _B64_TABLE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] = True
 _HEX_TABLE = np.zeros(256, bool)
 _HEX_TABLE[list(b"0123456789abcdef")] = True
-_PLAIN = re.compile(r"[^\x00-\x08\x0e-\x1f\x7f]*")
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -67,118 +68,105 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 
 @dataclass
 class Layer:
-    """A text and where its characters come from: pieces of (start here, start in the parent, parent length, exact).
-    In an exact piece characters map one to one; in others every character maps to the piece's whole parent span."""
+    """A text and the spans of the outermost text that its characters come from: an array of starts and one of ends,
+    two numbers where all come from one span, or nothing where it is the outermost text itself."""
 
     text: str
-    parent: Layer | None = None
-    pieces: list[tuple[int, int, int, bool]] = field(default_factory=list)
+    low: np.ndarray | int | None = None
+    high: np.ndarray | int | None = None
 
     def up(self, start: int, end: int) -> tuple[int, int]:
-        """Span in the outermost text."""
-        layer = self
-        while layer.parent is not None:
-            starts = [p[0] for p in layer.pieces]
-            at, above, length, exact = layer.pieces[bisect_right(starts, start) - 1]
-            low = above + start - at if exact else above
-            at, above, length, exact = layer.pieces[bisect_right(starts, end - 1) - 1]
-            high = above + end - at if exact else above + length
-            start, end, layer = low, high, layer.parent
-        return start, end
-
-
-class Oversize(Exception):
-    pass
-
-
-def _member(data: bytes, most: int) -> tuple[bytes, bytes] | None:
-    """Uncompressed bytes of the first member of some data, and what follows it; None if there is no member."""
-    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2]) % 31 == 0:
-        d = zlib.decompressobj(47)
-        return d.decompress(data, most + 1), d.unused_data
-    if data[:3] == b"BZh":
-        d = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        d = lzma.LZMADecompressor()
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
-        out, d = [], zstandard.ZstdDecompressor().decompressobj()
-        for at in range(0, len(data), 1 << 10):  # in pieces, as these objects take no bound; one gives 32 MiB at most
-            out.append(d.decompress(data[at : at + (1 << 10)]))
-            if d.eof or sum(map(len, out)) > most:
-                return b"".join(out), d.unused_data + data[at + (1 << 10) :] if d.eof else b""
-        return b"".join(out), b""
-    else:
-        return None
-    return d.decompress(data, most + 1), d.unused_data
-
-
-def inflate(data: bytes, most: int = MAX_LAYER_BYTES) -> bytes | None:
-    """Uncompressed bytes of gzip, zlib, bzip2, xz or zstandard data, all members; None if it is none of these. What
-    follows the last member, or a broken one, is left out."""
-    out, size = [], 0
-    while data:
-        try:
-            found = _member(data, most - size)
-        except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError):
-            found = None
-        if found is None:
-            break
-        out.append(found[0])
-        size += len(found[0])
-        if size > most:
-            raise Oversize
-        data = found[1].lstrip(b"\0")
-    return b"".join(out) if out else None
-
-
-def _text(data: bytes, most: int) -> tuple[str, bool] | None:
-    """Readable text of some bytes, and whether it had to be inflated (more than once, if need be). Of inflated bytes
-    that are not all text, the readable stretches."""
-    packed = False
-    while (more := inflate(data, most)) is not None:
-        data, packed = more, True
+        if self.low is None:
+            return start, end
+        if isinstance(self.low, int):
+            return self.low, self.high
+        return int(self.low[start]), int(self.high[end - 1])
+
+    def below(self, text: str, start: np.ndarray, end: np.ndarray) -> Layer:
+        """A layer whose characters come from stretches of this one."""
+        if self.low is None:
+            return Layer(text, start, end)
+        if isinstance(self.low, int):
+            return Layer(text, self.low, self.high)
+        return Layer(text, self.low[start], self.high[np.maximum(end, 1) - 1])
+
+
+def _unpack(data: bytes, at: int) -> Iterator[bytes | int]:
+    """Uncompressed bytes, in pieces, of the gzip, zlib, bzip2, xz or zstandard member at a place; last the place after
+    it, or after its first byte if it was broken or none."""
+    head = data[at : at + 6]
     try:
-        text = data.decode()
-        if text and _PLAIN.fullmatch(text):
-            return text, packed
-    except UnicodeDecodeError:
+        if head[:2] == b"\x1f\x8b" or head[:1] == b"\x78" and int.from_bytes(head[:2]) % 31 == 0:
+            d, piece = zlib.decompressobj(47), 1 << 20
+            while not d.eof and at < len(data):
+                yield d.decompress(data[at : at + piece], piece)
+                at += min(piece, len(data) - at)
+                while d.unconsumed_tail and not d.eof:
+                    yield d.decompress(d.unconsumed_tail, piece)
+            yield at - len(d.unused_data) if d.eof else len(data)
+            return
+        if head[:3] == b"BZh" or head == b"\xfd7zXZ\x00":
+            d, piece = bz2.BZ2Decompressor() if head[:3] == b"BZh" else lzma.LZMADecompressor(), 1 << 20
+            while not d.eof and (at < len(data) or not d.needs_input):
+                new = data[at : at + piece] if d.needs_input else b""
+                at += len(new)
+                yield d.decompress(new, piece)
+            yield at - len(d.unused_data) if d.eof else len(data)
+            return
+        if head[:4] == b"\x28\xb5\x2f\xfd":
+            d, piece = zstandard.ZstdDecompressor().decompressobj(), 1 << 10  # in small pieces, as it takes no bound; one gives 32 MiB at most
+            while not d.eof and at < len(data):
+                yield d.decompress(data[at : at + piece])
+                at += min(piece, len(data) - at)
+            yield at - len(d.unused_data) if d.eof else len(data)
+            return
+    except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError):
         pass
-    if not packed:
-        return None
-    inner = [m[0].decode() for m in _PARTS.finditer(data)]
-    for m in _MAGIC.finditer(data):  # members that do not stand at the start
-        if m.start() and (found := _text(data[m.start() :], most)) and found[1]:
-            inner.append(found[0])
-            break
-    return ("\0".join(inner), True) if inner else None
+    yield -1
 
 
-def _below(data: bytes, most: int) -> Iterator[list[tuple[str, int, int]]]:
-    """What can be read in some bytes: lists of (characters, first byte, bytes). All of it, if it is text; else its
-    readable stretches, and what compressed data inflates to, wherever that begins. An Oversize comes as one entry of
-    no characters."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        text = ""
-    if text and _PLAIN.fullmatch(text):
-        made, at = [], 0
-        for c in text:
-            made.append((c, at, n := len(c.encode())))
-            at += n
-        yield made
-    else:
-        for m in _PARTS.finditer(data):
-            yield [(chr(c), i, 1) for i, c in enumerate(m[0], m.start())]
-    for m in _MAGIC.finditer(data):
-        try:
-            found = _text(data[m.start() :], most)
-        except Oversize:
-            yield [("", m.start(), len(data) - m.start())]
-            return
-        if found and found[1]:
-            yield [(found[0], m.start(), len(data) - m.start())]
-            return
+def _inflated(data: bytes, at: int, window: int, stop: list[int]) -> Iterator[bytes]:
+    """Uncompressed bytes of the member at a place in windows that overlap, so that no secret lies across the end of
+    one; stop gets the place where the search for further members goes on."""
+    held, size, more = [], 0, False
+    for piece in _unpack(data, at):
+        if isinstance(piece, int):
+            stop.append(piece if piece > at else at + 1)
+            break
+        held.append(piece)
+        size += len(piece)
+        if size > window:
+            whole = _LONG_SPACES.sub(_SPACES, b"".join(held))
+            yield whole
+            held, more = [whole[-OVERLAP:]], True
+            size = len(held[0])
+    if size and (not more or size > OVERLAP or len(held) > 1):
+        yield b"".join(held)
+
+
+def readable(data: bytes, window: int = WINDOW) -> Iterator[tuple[str, np.ndarray | None, np.ndarray | None, int, int]]:
+    """What can be read in some bytes: (text, first byte of each character, byte after it, first byte, byte after it).
+    The readable stretches, also as UTF-16, make one text; then there is what compressed data inflates to, wherever
+    that begins, window by window; of its characters the first two are None, as they come from all of it."""
+    parts, places = [], []
+    for m in _PARTS.finditer(data):
+        parts.append(m[0])
+        places.append((m.start(), 1))
+    for m in _UTF16.finditer(data):
+        at = m.start() + (data[m.start()] == 0)
+        parts.append(data[at : m.end() : 2])
+        places.append((at, 2))
+    if parts:
+        start = np.concatenate([at + step * np.arange(len(p) + 1) for p, (at, step) in zip(parts, places)])
+        step = np.concatenate([np.full(len(p) + 1, step) for p, (_, step) in zip(parts, places)])
+        yield (b"\0".join(parts) + b"\0").decode(), start, np.minimum(start + step, len(data)), 0, len(data)
+    at = 0
+    while m := _MAGIC.search(data, at):
+        stop: list[int] = []
+        for whole in _inflated(data, m.start(), window, stop):
+            for text, _, _, _, _ in readable(whole, window):
+                yield text, None, None, m.start(), max(m.start() + 1, stop[0] if stop else len(data))
+        at = stop[0] if stop else m.start() + 1
 
 
 def _from_base64(run: str) -> bytes:
@@ -191,130 +179,150 @@ def _from_base64(run: str) -> bytes:
         return b""
 
 
-def _unescaped(layer: Layer, pattern: re.Pattern, decode, most: int) -> Layer | None:
+def _unescaped(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     """The text with every run of the pattern decoded, runs that don't decode left as they are."""
-    text, out, pieces, at, length = layer.text, [], [], 0, 0
+    text, out, at = layer.text, [], 0
+    low, high, start, end = [], [], [], []  # arrays, and what comes next in them
+
+    def plain(a: int, b: int) -> None:
+        out.append(text[a:b])
+        if b - a < 16:
+            start.extend(range(a, b)), end.extend(range(a + 1, b + 1))
+        else:
+            flush()
+            low.append(np.arange(a, b)), high.append(np.arange(a + 1, b + 1))
+
+    def flush() -> None:
+        if start:
+            low.append(np.array(start)), high.append(np.array(end))
+            start.clear(), end.clear()
+
     for m in pattern.finditer(text):
-        made = decode(m[0], most)
-        if not made:
+        if not (made := decode(m[0])):
             continue
-        if m.start() > at:
-            pieces.append((length, at, m.start() - at, True))
-            out.append(text[at : m.start()])
-            length += m.start() - at
-        for chars, start, size in made:
-            pieces.append((length, m.start() + start, size, False))
-            out.append(chars)
-            length += len(chars)
+        plain(at, m.start())
+        chars, size = made
+        out.append(chars)
+        if isinstance(size, int):  # of each character
+            start.extend(range(m.start(), m.end(), size)), end.extend(range(m.start() + size, m.end() + 1, size))
+        else:
+            edges = np.r_[0, np.cumsum(size)] + m.start()
+            start.extend(edges[:-1].tolist()), end.extend(edges[1:].tolist())
         at = m.end()
     if not out:
         return None
-    if at < len(text):
-        pieces.append((length, at, len(text) - at, True))
-        out.append(text[at:])
-    return Layer("".join(out), layer, pieces)
+    plain(at, len(text))
+    flush()
+    return layer.below("".join(out), *(np.concatenate(x) if x else np.empty(0, np.int64) for x in (low, high)))
 
 
-def _percent(run: str, most: int) -> list[tuple[str, int, int]]:
-    out, at = [], 0
-    for c in bytes.fromhex(run.replace("%", "")).decode(errors="surrogateescape"):
-        n = 3 * len(c.encode(errors="surrogateescape"))
-        out.append((c if not "\udc80" <= c <= "\udcff" else "\ufffd", at, n))  # a byte that is no text parts what is around it
-        at += n
-    return out
+def _percent(run: str) -> tuple[str, int | list[int]]:
+    data = bytes.fromhex(run.replace("%", ""))
+    if data.isascii():
+        return data.decode(), 3
+    chars = data.decode(errors="surrogateescape")
+    size = [3 * len(c.encode(errors="surrogateescape")) for c in chars]
+    return re.sub("[\udc80-\udcff]", "\ufffd", chars), size  # a byte that is no text parts what is around it
 
 
-def _unicode(run: str, most: int) -> list[tuple[str, int, int]] | None:
+def _unicode(run: str) -> tuple[str, int | list[int]] | None:
     if run[0] == "&":
         chars = html.unescape(run)
-        return [(chars, 0, len(run))] if chars != run else None
+        return (chars[:1], len(run)) if chars != run and chars else None
     if run[:3] == "\\u{" or run[1] == "U":
         code = int(run.strip("\\uU{}"), 16)
-        return [(chr(code), 0, len(run))] if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
-    size = 6 if run[1] == "u" else 4
-    units = [int(run[i + 2 : i + size], 16) for i in range(0, len(run), size)]
-    out, i = [], 0
+        return (chr(code), len(run)) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
+    if run[1] == "x":
+        return bytes.fromhex(run.replace("\\x", "")).decode("latin-1"), 4
+    chars, size, units = [], [], [int(u, 16) for u in run.split("\\u")[1:]]
+    i = 0
     while i < len(units):
         c, n = units[i], 1
         if 0xD800 <= c < 0xDC00 and i + 1 < len(units) and 0xDC00 <= units[i + 1] < 0xE000:
             c, n = 0x10000 + (c - 0xD800 << 10) + units[i + 1] - 0xDC00, 2
-        out.append((chr(c) if not 0xD800 <= c < 0xE000 else "�", i * size, n * size))
+        chars.append(chr(c) if not 0xD800 <= c < 0xE000 else "\ufffd")
+        size.append(6 * n)
         i += n
-    return out
-
-
-def all_spans(text: str, most: int = MAX_LAYER_BYTES) -> list[tuple[int, str, int]]:
+    return "".join(chars), size
+
+
+def _escaped_bytes(run: str, mark: str) -> tuple[bytes, np.ndarray]:
+    """Bytes of a stretch of ASCII with escapes (the mark and two digits), and where each begins, and the end."""
+    codes = np.frombuffer(run.encode(), np.uint8)
+    at = np.flatnonzero(codes == ord(mark[0]))
+    first = at + len(mark)
+    keep = np.ones(len(codes), bool)
+    for i in range(1, len(mark) + 2):
+        keep[at + i] = False
+    out = codes.copy()
+    digit = np.where(codes <= 57, codes & 15, (codes & 7) + 9)
+    out[at] = digit[first] * 16 + digit[first + 1]
+    return out[keep].tobytes(), np.append(np.flatnonzero(keep), len(codes))
+
+
+def _children(layer: Layer, window: int) -> Iterator[Layer]:
+    """All that one step of decoding gives."""
+    text = layer.text
+    for pattern, decode in ((_PERCENT, _percent), (_UNICODE, _unicode)):
+        if (made := _unescaped(layer, pattern, decode)) is not None:
+            yield made
+
+    def views(data: bytes, outer) -> Iterator[Layer]:
+        for inner, start, end, first, last in readable(data, window):
+            if start is None:
+                low, high = outer(np.array([first]), np.array([last]))
+                yield Layer(inner, *layer.up(int(low[0]), int(high[0])))
+            else:
+                yield layer.below(inner, *outer(start, end))
+
+    for pattern, mark in ((_STRETCH, "%"), (_XRUN, "\\x")):
+        for m in pattern.finditer(text):
+            data, edges = _escaped_bytes(m[0], mark)
+            if _MAGIC.search(data) or _UTF16.search(data):
+                yield from views(data, lambda a, b, edges=edges + m.start(): (edges[a], edges[b]))
+    for pattern in (_BASE64, _WRAPPED):
+        for m in pattern.finditer(text):
+            whole = m[0]
+            places = np.arange(m.start(), m.end())
+            if pattern is _WRAPPED:
+                places = places[[not c.isspace() for c in whole]]
+                whole = "".join(whole.split())
+            body = len(whole.rstrip("="))
+            for skip in range(4):  # what stands before a run can be of the same characters
+                data = _from_base64(whole[skip:])
+
+                def outer(a, b, skip=skip, size=len(data), places=places, body=body, count=len(whole)):
+                    high = np.minimum(body, skip - (-b * 4 // 3))
+                    high = np.where(b >= size, count, high)  # the padding belongs to the last character
+                    return places[np.minimum(skip + a * 4 // 3, body - 1)], places[high - 1] + 1
+
+                yield from views(data, outer)
+
+
+def all_spans(text: str, window: int = WINDOW) -> list[tuple[int, str, int]]:
     """Base spans of a text and of all layers below it, the latter as the spans of the text that they come from.
 
-    A worklist of layers: each is scanned, then unwrapped in every way (percent escapes, Unicode escapes, base64 runs
-    at every alignment and over line ends, compression inside them) until nothing new comes out; a layer seen before at the same place is not
-    followed again. Base spans of the text itself stay, whatever the layers add."""
+    A worklist of layers: each is scanned, then unwrapped in every way (percent and Unicode escapes, base64 runs at
+    every alignment and over line ends, compressed data wherever it begins, UTF-16) until nothing new comes out; a layer
+    seen before at the same place is not followed again. Base spans of the text itself stay, whatever the layers add.
+    What inflates beyond a window is taken window by window, OVERLAP bytes of each again in the next."""
     found = set(base_spans(text))
-    work, seen = [Layer(text)], {(text, 0)}
-
-    def push(layer: Layer | None) -> None:
-        if layer is not None and layer.text:
-            key = (layer.text, layer.up(0, 1)[0])
+    work, seen = [_children(Layer(text), window)], {(text, 0)}
+    while work:
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+        elif layer.text:
+            key = (layer.text if len(layer.text) < 64 else hashlib.blake2b(layer.text.encode(), digest_size=16).digest(), *layer.up(0, 1))
             if key not in seen:
                 seen.add(key)
-                work.append(layer)
-
-    def unfold(layer: Layer, made: list[tuple[str, int, int]], outer) -> None:
-        """Takes what _below read as a layer, outer giving the span of some bytes in the text above."""
-        if not made[0][0]:
-            low, high = layer.up(*outer(*made[0][1:]))
-            found.add((low, "oversize", high))
-            return
-        pieces, length = [], 0
-        for chars, at, n in made:
-            low, high = outer(at, n)
-            pieces.append((length, low, high - low, False))
-            length += len(chars)
-        push(Layer("".join(chars for chars, _, _ in made), layer, pieces))
-
-    while work:
-        layer = work.pop()
-        if layer.parent is not None:
-            for start, kind, end in base_spans(layer.text):
-                low, high = layer.up(start, end)
-                found.add((low, kind, high))
-        push(_guarded(layer, _PERCENT, _percent, most, found))
-        push(_guarded(layer, _UNICODE, _unicode, most, found))
-        for m in _STRETCH.finditer(layer.text):
-            units = list(_UNIT.finditer(m[0]))
-            data = b"".join(bytes.fromhex(u[0][1:]) if len(u[0]) == 3 else u[0].encode() for u in units)
-            if _MAGIC.search(data):
-                edges = [m.start() + u.start() for u in units] + [m.end()]
-                for made in _below(data, most):
-                    unfold(layer, made, lambda at, n, edges=edges: (edges[at], edges[at + n]))
-        for pattern in (_BASE64, _WRAPPED):
-            for m in pattern.finditer(layer.text):
-                whole, places = m[0], None
-                if pattern is _WRAPPED:
-                    places = [m.start() + i for i, c in enumerate(whole) if not c.isspace()]
-                    whole = "".join(whole.split())
-                body = len(whole.rstrip("="))
-                for skip in range(4):  # what stands before a run can be of the same characters
-                    data = _from_base64(whole[skip:])
-
-                    def outer(at, n, skip=skip, whole=whole, body=body, places=places, size=len(data), first=m.start()):
-                        low, high = skip + at * 4 // 3, min(body, skip - (-(at + n) * 4 // 3))
-                        high = len(whole) if at + n >= size else high  # the padding belongs to the last character
-                        return (places[low], places[high - 1] + 1) if places else (first + low, first + high)
-
-                    for made in _below(data, most):
-                        unfold(layer, made, outer)
+                for start, kind, end in base_spans(layer.text):
+                    low, high = layer.up(start, end)
+                    found.add((low, kind, high))
+                work.append(_children(layer, window))
     return sorted(found, key=lambda s: (s[0], _ORDER[s[1]], s[2]))
 
 
-def _guarded(layer: Layer, pattern: re.Pattern, decode, most: int, found: set) -> Layer | None:
-    try:
-        return _unescaped(layer, pattern, decode, most)
-    except Oversize:
-        found.add((layer.up(0, 1)[0], "oversize", layer.up(0, len(layer.text))[1]))
-        return None
-
-
 def _runs(flags: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of maximal runs of at least that length."""
     gaps = np.flatnonzero(~flags)
@@ -324,13 +332,8 @@ def _runs(flags: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _readable(data: bytes) -> bool:
-    """Whether _below can have anything."""
-    if _PARTS.search(data) or _MAGIC.search(data):
-        return True
-    try:
-        return bool(data and _PLAIN.fullmatch(data.decode()))
-    except UnicodeDecodeError:
-        return False
+    """Whether readable() can give anything."""
+    return bool(_PARTS.search(data) or _MAGIC.search(data) or _UTF16.search(data))
 
 
 def _suspects(raw: list[bytes]) -> np.ndarray:

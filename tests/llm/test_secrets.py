@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import lzma
 import re
+import time
 import zlib
 from urllib.parse import quote
 
@@ -74,13 +75,49 @@ def test_layers_map_to_the_outer_text():
     assert 0 < a < e < len(part) and b"password=hunter2secret" in base64.b64decode(part[a // 4 * 4 : -(-e // 4) * 4])
 
 
+def test_damaged_and_shifted_runs():
+    secret = b"password=hunter2secret"
+    encode = lambda data: base64.b64encode(data).decode()
+    wide = secret.decode().encode("utf-16")
+    runs = [encode(secret + b"\0"), encode(secret + b"\xe9"), encode(wide), encode(secret.decode().encode("utf-16-be")), "data/" + encode(secret), "x" + encode(secret), "%ff%70assword=hunter2secret"]
+    runs += ["".join(f"%{c:02x}" for c in wide), "".join(f"\\x{c:02x}" for c in gzip.compress(secret * 9)), "".join(f"\\x{c:02X}" for c in wide)]
+    runs += [encode(b"\x01" + gzip.compress(b"nothing at all") + b"\xff\xfe" + zlib.compress(secret * 3) + b"\x02"), encode(gzip.compress(wide)), encode(bz2.compress(zlib.compress(secret)))]
+    runs += [encode(b"x\x9cx\x9c" + zlib.compress(secret))]
+    for run in runs:
+        text = f"\u00e9 {run} z"
+        got = [(a, e) for a, k, e in spans(text) if k == "assign"]
+        assert got and all(2 <= a < e <= 2 + len(run) for a, e in got), run
+        assert s._suspects([text.encode()])[0], run
+
+
 def test_bombs_and_cycles_end():
     bomb = base64.b64encode(zlib.compress(bytes(1 << 20))).decode()
-    assert s.all_spans(bomb, most=1 << 16) == [(0, "oversize", len(bomb))]
+    assert s.all_spans(bomb, window=1 << 16) == []
     assert s.all_spans("%25" * 50 + "41") == []
     assert s.redact("a token=abcdef b", s.all_spans("a token=abcdef b")) == "a [secret] b"
 
 
+def test_inflated_data_in_windows(monkeypatch):
+    """Secrets at all places of data that is longer than a window, also with very many spaces in them."""
+    monkeypatch.setattr(s, "OVERLAP", 600)
+    for pack in (gzip.compress, bz2.compress, lzma.compress, zstandard.compress):
+        for at in (0, 900, 2980, 3990, 4095, 4096, 7000, 11970):
+            data = bytes(at) + b"token" + b" " * 200 + b"=abcdef" + bytes(12_000 - at)
+            run = base64.b64encode(pack(data)).decode()
+            assert (0, "assign", len(run)) in s.all_spans(run, window=4096), (pack, at)
+    run = base64.b64encode(gzip.compress(b"token" + b" " * 50_000 + b"=abcdef")).decode()
+    assert s.all_spans(run, window=4096) == [(0, "assign", len(run))]
+
+
+def test_long_texts_take_linear_time():
+    secret = "password=hunter2secret "
+    for unit in ("".join(f"\\u{ord(c):04x}" for c in secret), "".join(f"%{ord(c):02x}" for c in secret), "".join(f"&#{ord(c)};" for c in secret)):
+        text = unit * (2_000_000 // len(unit))
+        began = time.process_time()
+        assert len([k for _, k, _ in s.all_spans(text) if k == "assign"]) == 2_000_000 // len(unit)
+        assert time.process_time() - began < 20
+
+
 def test_table(spark):
     extra = [base64.b64encode(b"api_key: abcdefgh").decode(), quote("token=é" + "a" * 9), "plain words only " * 5000, "\\u0074oken=abcdefg"]
     rows = [(i, t) for i, t in enumerate(TEXTS + extra)] + [(3, None), (None, TEXTS[1]), (1, TEXTS[1])]
