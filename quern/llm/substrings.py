@@ -23,8 +23,9 @@ from quern.llm.shared import cut
 
 LENGTH = 200
 GRAM = 32
-#: Neighbourhoods that are sorted as one group at most; larger groups are halved until they are this small.
-GROUP_ROWS = 8_192
+#: Neighbourhoods that are sorted as one group at most; larger groups are halved until they are this small. Equal ones
+#: beyond this number are joined apart from the others.
+GROUP_ROWS = 4_096
 _CHUNK = 1 << 21
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -350,6 +351,15 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
     return docs.select(F.xxhash64(id_, text).alias("k1"), F.hash(id_, text).alias("k2"), text.alias("text"), *more)
 
 
+def _of_classes(rows: DataFrame, classes: DataFrame, count: str, key: list[str], many: int) -> DataFrame:
+    """Rows of classes with several members. Classes with very many members are few, a row of rows / many at most; they
+    are told first, which Spark does without a shuffle while their table is small, so that the other join has no hot key."""
+    hot = classes.filter(F.col(count) > many).select(*key, F.lit(True).alias("hot"))
+    told = rows.join(hot, key, "left")
+    some = classes.filter((F.col(count) > 1) & (F.col(count) <= many)).select(*key)
+    return told.filter("hot").drop("hot").unionByName(told.filter("hot is null").drop("hot").join(some, key, "left_semi"))
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(k1, k2, start, stop): stretches of bytes, overlapping or not, that together hold every byte covered by a string
     of `length` bytes that starts anywhere else too. k1, k2: the key of the id and the text, see _keyed."""
@@ -363,7 +373,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     one = [F.first(c).alias(c) for c in ("k1", "k2", "first")]  # any member, all three of one and the same
     classes, _ = cut(found.groupBy(*key).agg(F.count("*").alias("n"), *one), "classes")
     stretch = [F.col("first").alias("start"), (F.col("first") + F.col("high") - F.col("low") + length).alias("stop")]
-    covers = found.join(classes.filter("n > 1").select(*key), key, "left_semi").select("k1", "k2", *stretch)
+    covers = _of_classes(found, classes, "n", key, group_rows).select("k1", "k2", *stretch)
     per_g, _ = cut(classes.groupBy("g").agg(F.count("*").alias("k")).filter("k > 1"), "groups")
     open_, _ = cut(classes.join(per_g, "g").select("g", "n", "k", "k1", "k2", "first", "high", "low"), "open")
 
@@ -384,8 +394,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     for _ in range((length - gram).bit_length() + 1):  # the halves of one offset hold equal strings, which count as one
         halves, _ = cut(large.mapInArrow(_halve(length), _HALF), "halves")
         classes, _ = cut(halves.groupBy(*key).agg(F.count("*").alias("c"), F.max("n").alias("n"), *one), "parts")
-        twice = classes.filter("c > 1").select(*key)
-        covers = covers.unionByName(halves.filter("n = 1").join(twice, key, "left_semi").select("k1", "k2", *stretch))
+        covers = covers.unionByName(_of_classes(halves.filter("n = 1"), classes, "c", key, group_rows).select("k1", "k2", *stretch))
         per_g, _ = cut(classes.groupBy("g").agg(F.count("*").alias("k")).filter("k > 1"), "groups")
         open_ = classes.join(per_g, "g").withColumn("n", F.greatest("n", F.least("c", F.lit(2))))
         covers = covers.unionByName(settled(open_.filter(F.col("k") <= group_rows).selectExpr(*(f.split()[0] for f in _CONTEXT.split(", ")))))
