@@ -280,25 +280,55 @@ def _scan(index):
     return run
 
 
+def _blocks(benchmark: DataFrame, max_edits: float, recall: float, samples: int, block_chars: int) -> Iterator[Index]:
+    """Indexes over the different texts of the benchmark (numbered by their hash), of some block_chars characters each."""
+    items = benchmark.select(F.col("text").cast("string").alias("text")).filter("text is not null").distinct()
+    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // block_chars))
+    number = F.xxhash64("text")
+    for b in range(blocks):
+        block = [(r.number, words(r.text)) for r in items.filter(F.pmod(number, F.lit(blocks)) == b).select("text", number.alias("number")).orderBy("text").collect()]  # block_chars characters, about
+        block = [r for r in block if r[1]]
+        if block:
+            yield Index.build(block, max_edits, tables_for(recall, samples=samples), samples)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_edits: float = MAX_EDITS, recall: float = TARGET_RECALL, samples: int = SAMPLES, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id, distance, similarity, first_word, last_word, start, stop): for every document and benchmark
     item that a stretch of the whole document comes within max_edits edits per word of, the closest such stretch.
 
     Words are runs of letters and digits, lower-cased; an edit inserts, drops or changes one. Positions: words, and
     characters of the text (of its lower-cased form where that has another length). Items without words and null texts
-    match nothing; repeated documents and items give a row each; an empty table on either side gives no rows."""
+    match nothing; repeated documents and items, and those without ids, give a row each; an empty table on either side
+    gives no rows. Items of one text are searched once; the corpus is read once for each block of the benchmark."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_chars))
-    number = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     out = None
-    for b in range(blocks):
-        block = [(r.item_id, words(r.text)) for r in items.filter(number == b).orderBy("item_id", "text").collect()]  # block_chars characters, about
-        block = [r for r in block if r[1]]
-        if block:
-            index = Index.build(block, max_edits, tables_for(recall, samples=samples), samples)
-            found = rows.mapInArrow(_scan(spark.sparkContext.broadcast(index)), _SCHEMA)
-            out = found if out is None else out.unionByName(found)
-    return out if out is not None else spark.createDataFrame([], _SCHEMA)
+    for index in _blocks(benchmark, max_edits, recall, samples, block_chars):
+        found = rows.mapInArrow(_scan(spark.sparkContext.broadcast(index)), _SCHEMA)
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        return spark.createDataFrame([], _SCHEMA)
+    ids = benchmark.select(F.xxhash64(F.col("text").cast("string")).alias("number"), F.col("item_id").cast("long").alias("item_id"))
+    return out.withColumnRenamed("item_id", "number").join(ids, "number").select(*(f.split()[0] for f in _SCHEMA.split(", ")))
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", max_edits: float = MAX_EDITS, recall: float = TARGET_RECALL, samples: int = SAMPLES, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """docs, columns as they are, without the rows that hold a benchmark item as contaminated() has it; every row is
+    judged by its own text, whatever its id. Null texts stay."""
+    for index in _blocks(benchmark, max_edits, recall, samples, block_chars):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            x: Index = shared.value
+            get = x.vocabulary.get
+            for whole in batches:
+                for at in range(0, whole.num_rows, 512):
+                    batch = whole.slice(at, 512)
+                    ids = [np.array([get(w, 0) for w in words(t or "")], np.int64) for t in batch.column(batch.schema.names.index(text_col)).to_pylist()]
+                    keep = np.ones(len(ids), bool)
+                    keep[[t for t, *_ in x.find(np.concatenate([*ids, np.zeros(1, np.int64)]), np.cumsum([len(i) for i in ids]))]] = False
+                    yield batch.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

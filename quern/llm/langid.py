@@ -17,8 +17,9 @@ NGRAMS = (1, 2, 3)
 BUCKETS = 1 << 15
 #: Labelled documents per language that the classifier is fitted on, at most. Document frequencies cover all of them.
 FIT_ROWS = 400
-#: Different labels at most; more are refused, so that what is broadcast stays small.
-MAX_LANGS = 10_000
+#: Different labels at most, so that the weights fit a task (67 MB at 256 labels, three times while fitting); tables
+#: with more are refused with an error, as these are no languages.
+MAX_LANGS = 256
 UNKNOWN = "und"
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
@@ -139,8 +140,9 @@ class Model:
 def train(labelled: DataFrame, buckets: int = BUCKETS, ngrams: tuple[int, ...] = NGRAMS, fit_rows: int = FIT_ROWS) -> Model:
     """Fits a model on (doc_id, text, lang); rows with null text or lang are left out.
 
-    Document frequencies come from all rows. The classifier is fitted on at most fit_rows documents of each language,
-    drawn by the hash of the id, a fifth of them kept back for the temperature; whole texts throughout."""
+    Document frequencies come from all rows. The classifier is fitted on at most fit_rows different documents of each
+    language, drawn by a hash of id and text, so that ids that many documents share, or none, leave none out; a fifth of
+    them is kept back for the temperature; whole texts throughout. Over MAX_LANGS labels are an error."""
     rows = labelled.filter("text is not null and lang is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     found = rows.select("text").mapInArrow(_frequencies(buckets, ngrams), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # one row per bucket at most
     counts = {r.bucket: r.n for r in found}
@@ -148,14 +150,12 @@ def train(labelled: DataFrame, buckets: int = BUCKETS, ngrams: tuple[int, ...] =
     idf = np.full(buckets, np.log(1 + total), np.float64)
     idf[list(counts)] = [np.log((1 + total) / (1 + n)) for n in counts.values()]
     idf += 1
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("size")).limit(MAX_LANGS + 1).collect()
+    rows = rows.withColumn("draw", F.pmod(F.xxhash64("doc_id", "text", F.lit("fit")), F.lit(1 << 52)))
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("draw").alias("size")).limit(MAX_LANGS + 1).collect()
     if len(sizes) > MAX_LANGS:
         raise ValueError(f"over {MAX_LANGS} different labels: these are no languages")
     sizes = labelled.sparkSession.createDataFrame(sizes, "lang string, size long")
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)).alias("draw")
-    drawn = rows.join(F.broadcast(sizes), "lang").select("lang", draw, "text", "size").filter(F.col("draw") < F.col("size") ** -1 * (1.5 * fit_rows + 50) * (1 << 30))
-    order = F.row_number().over(Window.partitionBy("lang").orderBy("draw", F.length("text"), F.xxhash64("text")))
-    sample = drawn.withColumn("order", order).filter(F.col("order") <= fit_rows).select("lang", "order", "text")
+    sample = draw_sample(rows, sizes, fit_rows)
     features = sample.mapInArrow(_features(idf, ngrams), "lang string, order int, index array<int>, value array<float>")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -176,6 +176,15 @@ def train(labelled: DataFrame, buckets: int = BUCKETS, ngrams: tuple[int, ...] =
     return Model([r.lang for r in made], idf, weights, made[0].temperature if made else 1.0, ngrams)
 
 
+def draw_sample(rows: DataFrame, sizes: DataFrame, fit_rows: int) -> DataFrame:
+    """(lang, order, text): the fit_rows different documents of the smallest draws of each language. Before they are
+    sorted, draws that are too large beyond doubt go (rows: with a column draw; sizes: how many draws each has, about)."""
+    most = (1.5 * fit_rows + 50) * (1 << 52) / F.greatest(F.col("size"), F.lit(1))
+    drawn = rows.join(F.broadcast(sizes), "lang").filter(F.col("draw") < most).dropDuplicates(["lang", "draw"])  # MAX_LANGS rows
+    order = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    return drawn.select("lang", "draw", "text").withColumn("order", order).filter(F.col("order") <= fit_rows).select("lang", "order", "text")
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) for every row, from the text alone: the language of the highest probability, and that
     probability after calibration. Null texts, and texts without a letter, are `und` with score 0, as is everything
@@ -198,3 +207,17 @@ def language_of_documents(docs: DataFrame, **training) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): trained on the documents that are not held out, predicted for all."""
     model = train(docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"), **training)
     return predict(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, least: float, **training) -> DataFrame:
+    """docs, columns as they are, without the rows whose language is `und` or has a score under `least`. Every row is
+    judged by its own text, whatever its id; the model is that of language_of_documents."""
+    model = train(docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"), **training)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [shared.value.predict(t) for t in batch.column(batch.schema.names.index("text")).to_pylist()]
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in made], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
