@@ -23,9 +23,10 @@ from quern.llm.shared import cut
 
 LENGTH = 200
 GRAM = 32
-#: Neighbourhoods that are sorted as one group at most; larger groups are halved until they are this small. Equal ones
-#: beyond this number are joined apart from the others.
-GROUP_ROWS = 4_096
+#: Neighbourhoods that are sorted as one group at most; larger groups are halved until they are this small.
+GROUP_ROWS = 8_192
+#: Rows of one key that a join keeps together, about; more are dealt out.
+JOIN_ROWS = 4_096
 _CHUNK = 1 << 21
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -351,13 +352,14 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
     return docs.select(F.xxhash64(id_, text).alias("k1"), F.hash(id_, text).alias("k2"), text.alias("text"), *more)
 
 
-def _of_classes(rows: DataFrame, classes: DataFrame, count: str, key: list[str], many: int) -> DataFrame:
-    """Rows of classes with several members. Classes with very many members are few, a row of rows / many at most; they
-    are told first, which Spark does without a shuffle while their table is small, so that the other join has no hot key."""
-    hot = classes.filter(F.col(count) > many).select(*key, F.lit(True).alias("hot"))
-    told = rows.join(hot, key, "left")
-    some = classes.filter((F.col(count) > 1) & (F.col(count) <= many)).select(*key)
-    return told.filter("hot").drop("hot").unionByName(told.filter("hot is null").drop("hot").join(some, key, "left_semi"))
+def _among(rows: DataFrame, counted: DataFrame, count: str, key: list[str]) -> DataFrame:
+    """Rows whose key counts more than once. Keys of very many rows are few; they are looked up first, without a shuffle
+    while their table is small, and dealt out over several keys of the join, so that none is hot."""
+    salts = F.ceil(F.col(count) / JOIN_ROWS)
+    hot, _ = cut(counted.filter(F.col(count) > JOIN_ROWS).select(*key, salts.alias("salts")), "hot")
+    salt = F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("k1", "k2", "first"), F.col("salts"))).alias("salt")
+    wanted = counted.filter(F.col(count) > 1).select(*key, F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"))
+    return rows.join(hot, key, "left").select(*(F.col(c) for c in rows.columns), salt.cast("long").alias("salt")).join(wanted, [*key, "salt"], "left_semi").drop("salt")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -366,14 +368,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = _keyed(docs, id_col, text_col)
     # counts are tables of their own, so that the joins with them have plain exchanges on both sides, which adaptive
     # execution can split where one gram has very many anchors
-    again, _ = cut(texts.mapInArrow(_find_grams(length, gram), "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).filter("n > 1").select("g"), "grams")
+    again, _ = cut(texts.mapInArrow(_find_grams(length, gram), "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).filter("n > 1"), "grams")
     key = ["g", "z1", "z2", "high", "low"]
     found = texts.mapInArrow(_find_anchors(length, gram), "g long, z1 long, z2 long, high int, low int, first int, k1 long, k2 int")
-    found, _ = cut(found.join(again, "g", "left_semi"), "repeated")
+    found, _ = cut(_among(found, again, "n", ["g"]), "repeated")
     one = [F.first(c).alias(c) for c in ("k1", "k2", "first")]  # any member, all three of one and the same
     classes, _ = cut(found.groupBy(*key).agg(F.count("*").alias("n"), *one), "classes")
     stretch = [F.col("first").alias("start"), (F.col("first") + F.col("high") - F.col("low") + length).alias("stop")]
-    covers = _of_classes(found, classes, "n", key, group_rows).select("k1", "k2", *stretch)
+    covers = _among(found, classes, "n", key).select("k1", "k2", *stretch)
     per_g, _ = cut(classes.groupBy("g").agg(F.count("*").alias("k")).filter("k > 1"), "groups")
     open_, _ = cut(classes.join(per_g, "g").select("g", "n", "k", "k1", "k2", "first", "high", "low"), "open")
 
@@ -394,7 +396,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     for _ in range((length - gram).bit_length() + 1):  # the halves of one offset hold equal strings, which count as one
         halves, _ = cut(large.mapInArrow(_halve(length), _HALF), "halves")
         classes, _ = cut(halves.groupBy(*key).agg(F.count("*").alias("c"), F.max("n").alias("n"), *one), "parts")
-        covers = covers.unionByName(_of_classes(halves.filter("n = 1"), classes, "c", key, group_rows).select("k1", "k2", *stretch))
+        covers = covers.unionByName(_among(halves.filter("n = 1"), classes, "c", key).select("k1", "k2", *stretch))
         per_g, _ = cut(classes.groupBy("g").agg(F.count("*").alias("k")).filter("k > 1"), "groups")
         open_ = classes.join(per_g, "g").withColumn("n", F.greatest("n", F.least("c", F.lit(2))))
         covers = covers.unionByName(settled(open_.filter(F.col("k") <= group_rows).selectExpr(*(f.split()[0] for f in _CONTEXT.split(", ")))))

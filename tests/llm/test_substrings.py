@@ -35,6 +35,14 @@ def made(seed):
     return rows
 
 
+@pytest.mark.parametrize("join_rows", [3])
+def test_hot_keys(spark, monkeypatch, join_rows):
+    monkeypatch.setattr(sub, "JOIN_ROWS", join_rows)
+    rows = made(9)
+    got = sub.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), length=20, gram=6, group_rows=5)
+    assert sorted(map(tuple, got.drop("kept").collect()), key=str) == brute(rows, 20)
+
+
 @pytest.mark.parametrize("seed,group_rows", [(1, 2048), (2, 2048), (3, 4), (4, 1), (5, 2)])
 def test_against_brute_force(spark, seed, group_rows):
     rows = made(seed)
