@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -29,7 +30,7 @@ def test_rules_against_brute_force(spark):
     rows = [f"{rng.choice(['http://', 'https://', '', '://', 'a://b://'])}{rng.choice(hosts)}{rng.choice(['', '/', '/en/', '/en', '/es/1', '/fr/x?y#z', '?q/en/', '#f', '//en/', '/EN/1'])}" for _ in range(400)]
     rows += [None, "", "no scheme", "https://", "http://a.com/" + "x" * 20000, "http://a.net/\nes/"]
     pages = spark.createDataFrame([(i, u) for i, u in enumerate(rows)] + [(None, rows[0]), (1, rows[1])], "page_id long, url string").withColumn("host", F.lit(3)).withColumn("verdict", F.lit("clash"))
-    got = urls.judge_urls(pages, urls.labelled_urls(spark), rounds=2)
+    got = urls.judge_urls(pages, urls.labelled_urls(spark), rounds=2, threshold=0.6)
     assert got.columns == ["page_id", "host", "path", "rule", "verdict", "score"]
     found = got.collect()
     assert len(found) == len(rows) + 2
@@ -51,3 +52,55 @@ def test_model_tells_hosts_it_has_not_seen(spark):
     assert sum(verdict[i] == "block" for i in range(5)) >= 4 and sum(verdict[i] == "allow" for i in range(5, 10)) >= 4
     none = urls.judge_urls(pages, urls.labelled_urls(spark).limit(0)).select("score").distinct().collect()
     assert [r.score for r in none] == [0.5]
+
+
+def left_out(spark):
+    host = urls.url_parts(F.col("url"))[0]
+    return urls.labelled_urls(spark).withColumn("out", F.crc32(host.cast("binary")) % 4 == 0)
+
+
+def test_hosts_left_out_of_the_training(spark):
+    rows = left_out(spark).filter("out").collect()
+    pages = spark.createDataFrame([(i, r.url, r.label) for i, r in enumerate(rows)], "page_id long, url string, label int")
+    got = {r.page_id: r.verdict for r in urls.judge_urls(pages, urls.labelled_urls(spark), rules=()).collect()}
+    hit = sum(r.label == 1 and got[i] == "block" for i, r in enumerate(rows))
+    assert len(rows) > 150 and hit / sum(v == "block" for v in got.values()) > 0.9 and hit / sum(r.label for r in rows) > 0.8
+    by_path = [i for i, r in enumerate(rows) if r.label and not any(w in parts(r.url)[0] for w in urls.UNWANTED)]
+    assert len(by_path) > 20 and sum(got[i] == "block" for i in by_path) / len(by_path) > 0.7
+
+
+def test_training_against_brute_force(spark):
+    """N-grams, gradient steps and scores, one url and one weight at a time."""
+    buckets, rounds = 64, 3
+    rows = left_out(spark).orderBy(F.xxhash64("url")).limit(60).collect()
+    labelled = spark.createDataFrame([(r.url, r.label) for r in rows], "url string, label int")
+    weights, bias, threshold = urls.train(labelled, buckets=buckets, rounds=rounds)
+
+    def grams(url):
+        found = []
+        for mark, text in zip("hp", parts(url)):
+            text = "\x02" + text + "\x03"
+            found += [(mark, text[i : i + n]) for n in (3, 4) for i in range(max(1, len(text) - n + 1))]
+        return found
+
+    flat = sorted({g for r in rows for g in grams(r.url)})
+    number = {(r.m, r.g): r.b for r in spark.createDataFrame(flat, "m string, g string").withColumn("b", F.pmod(F.xxhash64("m", "g"), F.lit(buckets))).collect()}
+    sets = [sorted({number[g] for g in grams(r.url)}) for r in rows]
+    use = [i for i, r in enumerate(rows) if not r.out]
+    w, sq = [0.0] * (buckets + 1), [0.0] * (buckets + 1)
+    score = lambda s: 1 / (1 + math.exp(-(w[-1] + sum(w[b] for b in s) / math.sqrt(len(s)))))
+    for _ in range(rounds):
+        g = [0.0] * (buckets + 1)
+        for i in use:
+            e = score(sets[i]) - rows[i].label
+            for b in sets[i]:
+                g[b] += e / math.sqrt(len(sets[i]))
+            g[-1] += e
+        for b in {b for i in use for b in sets[i]} | {buckets}:
+            step = g[b] / len(use) + (1e-4 * w[b] if b < buckets else 0)
+            sq[b] += step * step
+            w[b] -= 0.5 * step / (math.sqrt(sq[b]) + 1e-12)
+    assert all(math.isclose(a, b, abs_tol=1e-6) for a, b in zip([*weights, bias], w)) and 0 < threshold < 1
+    pages = spark.createDataFrame([(i, r.url) for i, r in enumerate(rows)], "page_id long, url string")
+    for r in urls.judge_urls(pages, labelled, rules=(), buckets=buckets, rounds=rounds).collect():
+        assert math.isclose(r.score, score(sets[r.page_id]), abs_tol=2e-6) and (r.verdict == "block") == (r.score >= threshold)
