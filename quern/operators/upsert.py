@@ -68,7 +68,18 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], ts: str, ign
     return t.join(i, on, "full_outer").select(*cols)
 
 
+def judged(target: DataFrame, incoming: DataFrame, keys: list[str], ts: str, ignore: tuple[str, ...] = ("_processed_at",)) -> DataFrame:
+    """Incoming rows with what an upsert would do: _take, whether it would write the row, and _part, the matched row's
+    part (NULL for a new key), if the target has that column."""
+    compared = [c for c in incoming.columns if c in target.columns and c not in keys and c not in ignore]
+    t = target.select(*(F.col(f"`{c}`").alias(f"t_{c}") for c in dict.fromkeys([*keys, *compared, ts])), *([F.col("_part")] if "_part" in target.columns else [F.lit("").alias("_part")]))
+    on = reduce(lambda a, b: a & b, (F.col(f"`{k}`") == F.col(f"t_{k}") for k in keys))
+    differs = reduce(lambda a, b: a | b, (~F.col(f"`{c}`").eqNullSafe(F.col(f"t_{c}")) for c in compared), F.lit(False))
+    fresh = F.coalesce(F.col(f"`{ts}`") >= F.col(f"t_{ts}"), F.col(f"t_{ts}").isNull())
+    take = F.col("_part").isNull() | fresh & differs
+    return incoming.join(t, on, "left").select(*(F.col(f"`{c}`") for c in incoming.columns), F.coalesce(take, F.lit(False)).alias("_take"), "_part")
+
+
 def changes(target: DataFrame, incoming: DataFrame, keys: list[str], ts: str, ignore: tuple[str, ...] = ("_processed_at",)) -> DataFrame:
     """Incoming rows that an upsert would write: empty means that no version need be made."""
-    after = upsert(target, incoming, keys, ts, ignore).select(*target.columns)
-    return after.exceptAll(target)
+    return judged(target, incoming, keys, ts, ignore).filter("_take").drop("_take", "_part")

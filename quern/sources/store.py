@@ -1,4 +1,5 @@
-"""Versioned parquet tables: immutable version folders and a pointer, reached only through Spark and Hadoop paths."""
+"""Versioned parquet tables: a version is a list of part folders that are written once, so an append writes its own rows
+only, and an upsert or a clean-up only the parts that it touches. Reached through Spark and Hadoop paths."""
 
 from __future__ import annotations
 
@@ -8,17 +9,19 @@ import tempfile
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LINEAGE = ("_ingestion_run_id", "_ingestion_batch_id", "_ingestion_chunk_id", "_ingestion_timestamp", "_source_id", "_source_file", "_source_checksum", "_source_snapshot_id")
 
 
 def scratch_store(spark: SparkSession) -> TableStore:
-    """A store of its own in the folder that executors share (spark.checkpoint.dir), or where that is unset in a local
-    one; it goes when the application ends."""
+    """A store of its own in the folder that executors share (spark.checkpoint.dir), or where that is unset, in a local
+    session, in a local one; it goes when the application ends."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="quern-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
     store = TableStore(spark, f"{root.rstrip('/')}/store-{uuid.uuid4().hex}")
@@ -27,7 +30,7 @@ def scratch_store(spark: SparkSession) -> TableStore:
 
 
 class TableStore:
-    """Tables under one root: <root>/<table>/v=<n>/ and a pointer file per published version."""
+    """Tables under one root: <root>/<table>/part-<id>/, and per published version a file that lists its parts."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -51,31 +54,63 @@ class TableStore:
     def current(self, table: str) -> int | None:
         return max(self.versions(table), default=None)
 
-    def read(self, table: str, version: int | None = None) -> DataFrame:
-        """A pinned version, or the newest published one."""
+    def parts(self, table: str, version: int | None = None) -> list[str]:
+        """Names of the parts of a pinned version, or of the newest published one."""
         v = version if version is not None else self.current(table)
         if v is None or v not in self.versions(table):
             raise LookupError(f"{table} has no version {v}")
-        return self.spark.read.parquet(f"{self.root}/{table}/v={v}")
+        source = self._fs().open(self._path(table, "_published", str(v)))
+        try:
+            return bytes(source.readAllBytes()).decode().split()
+        finally:
+            source.close()
+
+    def read_parts(self, table: str, parts: list[str]) -> DataFrame:
+        paths = [f"{self.root}/{table}/{p}" for p in parts]
+        return self.spark.read.option("mergeSchema", len(paths) > 1).option("basePath", paths[0] if len(paths) == 1 else f"{self.root}/{table}").parquet(*paths)
+
+    def read(self, table: str, version: int | None = None) -> DataFrame:
+        return self.read_parts(table, self.parts(table, version))
 
-    def publish(self, table: str, version: int) -> None:
-        """Moves the pointer: readers see a version only when all of it is written."""
-        fs = self._fs()
+    def publish(self, table: str, version: int, parts: list[str]) -> None:
+        """Lists the parts of a version in one step: readers see it only when all of it is written."""
+        fs, at = self._fs(), self._path(table, "_published", str(version))
         fs.mkdirs(self._path(table, "_published"))
-        if not fs.createNewFile(self._path(table, "_published", str(version))):
+        draft = self._path(table, f"_draft-{uuid.uuid4().hex}")
+        out = fs.create(draft)
+        out.write(bytearray("\n".join(parts).encode()))
+        out.close()
+        if fs.exists(at) or not fs.rename(draft, at):
             raise FileExistsError(f"{table} version {version} is published already")
 
+    def write_part(self, table: str, df: DataFrame, partitions: tuple[str, ...] = ()) -> str:
+        part = f"part-{uuid.uuid4().hex}"
+        df.write.partitionBy(*partitions).parquet(f"{self.root}/{table}/{part}")
+        return part
+
     def write(self, table: str, df: DataFrame, partitions: tuple[str, ...] = ()) -> int:
-        """Writes a new version and points to it; df may read the version before."""
-        v = (self.current(table) or 0) + 1
-        df.write.mode("overwrite").partitionBy(*partitions).parquet(f"{self.root}/{table}/v={v}")
-        self.publish(table, v)
+        """A new version of df alone; df may read the version before."""
+        return self.replace(table, [], [self.write_part(table, df, partitions)], keep=False)
+
+    def replace(self, table: str, gone: list[str], new: list[str], keep: bool = True) -> int:
+        """A version without some parts of the current one (without all of them unless keep) and with new ones."""
+        now = self.current(table)
+        old = self.parts(table, now) if now is not None and keep else []
+        v = (now or 0) + 1
+        self.publish(table, v, [p for p in old if p not in gone] + new)
         return v
 
+    def part_of(self) -> Column:
+        """The part that a row of read() comes from."""
+        return F.regexp_extract("_metadata.file_path", "/(part-[0-9a-f]{32})/", 1)
+
 
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
-    """Equal as multisets, column by column and NULL by NULL."""
-    return a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    """Equal as multisets, column by column and NULL by NULL: one grouped count of both, one side's rows counting down."""
+    if a.columns != b.columns:
+        return False
+    both = a.withColumn("_d", F.lit(1)).unionByName(b.withColumn("_d", F.lit(-1)))
+    return both.groupBy(*(f"`{c}`" for c in a.columns)).agg(F.sum("_d").alias("_n")).filter("_n <> 0").isEmpty()
 
 
 def write_snapshot(store: TableStore, table: str, df: DataFrame, partitions: tuple[str, ...] = ()) -> int:
@@ -90,11 +125,13 @@ def write_snapshot(store: TableStore, table: str, df: DataFrame, partitions: tup
 
 
 def append_rows(store: TableStore, table: str, df: DataFrame) -> int:
-    return store.write(table, store.read(table).unionByName(df, allowMissingColumns=True) if store.current(table) is not None else df)
+    """A version with one part more; columns that one side lacks are NULL there."""
+    return store.replace(table, [], [store.write_part(table, df)])
 
 
 def append_once(store: TableStore, table: str, df: DataFrame, run_id: str, chunk_id: int) -> bool:
-    """Appends a chunk known by (run, chunk) unless it is there already; other content under that name is an error."""
+    """Appends a chunk known by (run, chunk) unless it is there already; other content under that name is an error.
+    Only the chunk's own rows are compared and written."""
     chunk = df.withColumns({"_ingestion_run_id": F.lit(run_id), "_ingestion_chunk_id": F.lit(chunk_id).cast("long")})
     if store.current(table) is not None:
         there = store.read(table).filter((F.col("_ingestion_run_id") == run_id) & (F.col("_ingestion_chunk_id") == chunk_id))
@@ -102,10 +139,10 @@ def append_once(store: TableStore, table: str, df: DataFrame, run_id: str, chunk
             if same_rows(there.select(*chunk.columns), chunk):
                 return False
             raise ValueError(f"chunk {chunk_id} of run {run_id} is there with other rows")
-    v = append_rows(store, table, chunk)
-    back = store.read(table, v).filter((F.col("_ingestion_run_id") == run_id) & (F.col("_ingestion_chunk_id") == chunk_id))
-    if not same_rows(back.select(*chunk.columns), chunk):
+    part = store.write_part(table, chunk)
+    if not same_rows(store.read_parts(table, [part]).select(*chunk.columns), chunk):
         raise IOError("the chunk does not read back as written")
+    store.replace(table, [], [part])
     return True
 
 
@@ -116,17 +153,23 @@ def bronze_append(store: TableStore, table: str, df: DataFrame, **lineage) -> in
     return append_rows(store, table, bronze_lineage(df, **lineage))
 
 
-def upsert_table(store: TableStore, table: str, incoming: DataFrame, keys: list[str], ts: str) -> int:
-    """A version after the upsert, or the current one if the upsert would change nothing."""
-    from quern.operators.upsert import changes, upsert
+def upsert_table(store: TableStore, table: str, incoming: DataFrame, keys: list[str], ts: str, partitions: tuple[str, ...] = ()) -> int:
+    """A version after the upsert, or the current one if the upsert would change nothing. Parts that hold a row to be
+    replaced are written anew, others stay; rows of new keys make part of the same new part."""
+    from quern.operators.upsert import judged, upsert
 
     now = store.current(table)
     if now is None:
-        return store.write(table, incoming)
+        return store.write(table, incoming, partitions)
     target = store.read(table, now)
-    if changes(target, incoming, keys, ts).isEmpty():
+    verdict = judged(target.withColumn("_part", store.part_of()), incoming, keys, ts)
+    plan = store.read_parts("_plans", [store.write_part("_plans", verdict)])
+    touched = [r._part for r in plan.filter("_take AND _part IS NOT NULL").select("_part").distinct().collect()]  # of the version's parts
+    rows = plan.filter(F.col("_take") | F.col("_part").isin(touched)).drop("_part", "_take")
+    if not touched and rows.isEmpty():
         return now
-    return store.write(table, upsert(target, incoming, keys, ts))
+    made = upsert(store.read_parts(table, touched), rows, keys, ts) if touched else rows
+    return store.replace(table, touched, [store.write_part(table, made, partitions)])
 
 
 def new_artifacts(manifest: DataFrame, loaded: DataFrame) -> DataFrame:
@@ -141,8 +184,17 @@ def verify_run(df: DataFrame, run_id: str, rows: int) -> DataFrame:
 
 
 def cleanup_run(store: TableStore, table: str, run_id: str) -> int:
-    """A version without the rows of one failed run."""
-    return store.write(table, store.read(table).filter(~F.col("_ingestion_run_id").eqNullSafe(run_id)))
+    """A version without the rows of one failed run: parts without such rows stay as they are."""
+    mine = F.col("_ingestion_run_id").eqNullSafe(run_id)
+    hit = [r.part for r in store.read(table).filter(mine).select(store.part_of().alias("part")).distinct().collect()]  # of the version's parts
+    if not hit:
+        return store.current(table)
+    return store.replace(table, hit, [store.write_part(table, store.read_parts(table, hit).filter(~mine))])
+
+
+def compact(store: TableStore, table: str, partitions: tuple[str, ...] = ()) -> int:
+    """A version of the same rows in one part."""
+    return store.write(table, store.read(table), partitions)
 
 
 def read_incremental(df: DataFrame, run_id: str | None = None, watermark=None, ts: str = "_ingestion_timestamp") -> DataFrame:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quern.operators.quality import apply_rules, merge_quarantine, route_quarantine
-from quern.operators.upsert import deduplicate, upsert
+from quern.operators.upsert import deduplicate
 from quern.plans.contract import Contract, normalize
-from quern.sources.store import TableStore
+from quern.sources.store import TableStore, append_rows, upsert_table
 
 
 def apply_batch(store: TableStore, contract: Contract, batch: DataFrame, run_id: str, ts: str, quarantine: str = "quarantine") -> dict:
@@ -29,17 +29,26 @@ def apply_batch(store: TableStore, contract: Contract, batch: DataFrame, run_id:
         n_bad = bad.count()
         letters = route_quarantine(bad, contract.dataset, run_id, list(contract.keys), names)
         if n_bad:
-            store.write(quarantine, merge_quarantine(store.read(quarantine), letters) if store.current(quarantine) is not None else letters)
+            upsert_quarantine(store, quarantine, letters)
         if n - n_bad:
-            now = store.current(contract.dataset)
-            store.write(contract.dataset, upsert(store.read(contract.dataset), survivors, list(contract.keys), ts) if now is not None else survivors, contract.partitions)
-        done = spark.createDataFrame([(run_id, n, n_bad)], "run_id string, n_rows long, n_quarantined long")
-        store.write(runs, store.read(runs).unionByName(done) if store.current(runs) is not None else done)
+            upsert_table(store, contract.dataset, survivors, list(contract.keys), ts, contract.partitions)
+        append_rows(store, runs, spark.createDataFrame([(run_id, n, n_bad)], "run_id string, n_rows long, n_quarantined long"))
         return {"run_id": run_id, "skipped": False, "n_rows": n, "n_quarantined": n_bad}
     finally:
         rows.unpersist()
 
 
+def upsert_quarantine(store: TableStore, table: str, letters: DataFrame) -> None:
+    """Dead letters of known ids are merged in the parts that hold them; the others are a part of their own."""
+    if store.current(table) is None:
+        store.write(table, letters)
+        return
+    known = store.read(table).withColumn("_part", store.part_of()).join(letters.select("id"), "id", "left_semi")
+    touched = [r._part for r in known.select("_part").distinct().collect()]  # of the version's parts
+    made = merge_quarantine(store.read_parts(table, touched), letters) if touched else letters
+    store.replace(table, touched, [store.write_part(table, made)])
+
+
 def stream(source: DataFrame, store: TableStore, contract: Contract, ts: str, checkpoint: str, name: str) -> StreamingQuery:
     """Runs apply_batch over what a streaming source has now; the batch number is the run identity."""
 

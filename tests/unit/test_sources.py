@@ -46,6 +46,33 @@ def test_append_once_and_cleanup(spark, tables):
     assert rows(tables.read("b").select("_ingestion_run_id")) == [("r2",)]
 
 
+def test_only_touched_parts_are_written(spark, tables):
+    frame = lambda *r: spark.createDataFrame(list(r), "k int, v string, ts int, _ingestion_run_id string")
+    store.append_rows(tables, "t", frame((1, "a", 1, "r1"), (2, "b", 1, "r1")))
+    store.append_rows(tables, "t", frame((3, "c", 1, "r2"), (4, None, 1, "r2")))
+    one, two = tables.parts("t")
+    assert store.upsert_table(tables, "t", frame((1, "a", 1, "r1"), (3, "old", 0, "r2")), ["k"], "ts") == 2  # nothing fresher
+    assert store.upsert_table(tables, "t", frame((3, "new", 2, "r3"), (1, "old", 0, "r3"), (9, "z", 1, "r3")), ["k"], "ts") == 3
+    assert tables.parts("t")[0] == one and two not in tables.parts("t") and len(tables.parts("t")) == 2
+    assert rows(tables.read("t").select("k", "v", "ts")) == [(1, "a", 1), (2, "b", 1), (3, "new", 2), (4, None, 1), (9, "z", 1)]
+    assert store.upsert_table(tables, "t", frame((7, "q", 1, "r4")), ["k"], "ts") == 4 and len(tables.parts("t")) == 3
+    store.append_rows(tables, "t", spark.createDataFrame([(8, 5)], "k int, more int"))
+    assert tables.read("t").filter("k = 8").select("v", "more").first() == (None, 5)
+    kept = tables.parts("t")
+    store.cleanup_run(tables, "t", "r4")
+    assert set(kept) - set(tables.parts("t")) == {kept[2]} and tables.read("t").filter("k = 7").isEmpty()
+    assert store.cleanup_run(tables, "t", "none such") == tables.current("t")
+    before = rows(tables.read("t"))
+    store.compact(tables, "t")
+    assert rows(tables.read("t")) == before and len(tables.parts("t")) == 1 and tables.read("t", 2).count() == 4
+
+
+def test_same_rows(spark):
+    a = spark.createDataFrame([(1, None), (1, None), (None, "x")], "k int, v string")
+    assert store.same_rows(a, a.orderBy("k")) and not store.same_rows(a, a.limit(2)) and not store.same_rows(a, a.distinct())
+    assert not store.same_rows(a, a.withColumnRenamed("v", "w"))
+
+
 def test_incremental(spark):
     df = spark.createDataFrame([("r1", dt.datetime(2024, 1, 1)), ("r2", dt.datetime(2024, 1, 3))], "_ingestion_run_id string, _ingestion_timestamp timestamp")
     assert store.read_incremental(df, "r1").count() == 1 and store.read_incremental(df, None, "2024-01-02").count() == 1 and store.read_incremental(df, "r1", "2024-01-02").count() == 0
