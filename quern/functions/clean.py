@@ -153,8 +153,8 @@ def date_key(date: Column) -> Column:
 
 
 def sanitize(name: str) -> str:
-    """Lower-case name of letters, digits and single underscores; col_ in front of a digit."""
-    made = re.sub(r"_+", "_", re.sub(r"[^0-9a-zA-Z]", "_", name)).lower()
+    """Lower-case name of letters, digits and single underscores, without white space around it; col_ in front of a digit."""
+    made = re.sub(r"_+", "_", re.sub(r"[^0-9a-zA-Z]", "_", name.strip())).lower()
     return f"col_{made}" if made[:1].isdigit() else made
 
 

@@ -97,10 +97,15 @@ def bounded(df: DataFrame, n: int) -> DataFrame:
 
 
 def check_calendar(dim: DataFrame, date: str = "date_key") -> DataFrame:
-    """Rows of a date dimension whose parts don't follow from the key: to be empty."""
+    """Rows of a date dimension whose parts don't follow from the key: to be empty. Year, month and weekday are to be
+    there; quarter, month_start and is_leap_year are checked if they are."""
     d = F.to_date(F.col(date).cast("string"), "yyyyMMdd")
-    wrong = (F.col("year_key") != F.year(d)) | (F.col("month_key") != F.year(d) * 100 + F.month(d)) | (F.col("iso_weekday") != F.weekday(d) + 1)
-    return dim.filter(d.isNull() | F.coalesce(wrong, F.lit(True)))
+    year = F.year(d)
+    parts = {"year_key": year, "month_key": year * 100 + F.month(d), "iso_weekday": F.weekday(d) + 1}
+    more = {"quarter": F.quarter(d), "month_start": F.trunc(d, "month"), "is_leap_year": (year % 4 == 0) & (year % 100 != 0) | (year % 400 == 0)}
+    parts |= {c: v for c, v in more.items() if c in dim.columns}
+    right = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(v) for c, v in parts.items()))
+    return dim.filter(d.isNull() | ~right)
 
 
 def validate_params(params: dict, allowed: dict[str, tuple]) -> dict:

@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.operators.aggregates import duplicates
+
+
+def _one_row_each(df: DataFrame, grain: list[str]) -> None:
+    if found := duplicates(df, grain).limit(3).collect():
+        raise ValueError(f"rows repeat at the grain {grain}: {[tuple(r) for r in found]}")
+
 
 def calendar_yoy(df: DataFrame, group: list[str], year: str, value: str) -> DataFrame:
-    """Adds previous_value and yoy_pct from exactly the year before; a repeated (group, year) is an error in the data
-    that duplicates() shows, so here it would repeat rows rather than pick one."""
+    """Adds previous_value and yoy_pct from exactly the year before; a repeated (group, year) is an error."""
+    _one_row_each(df, [*group, year])
     before = df.select(*group, (F.col(year) + 1).alias(year), F.col(value).alias("previous_value"))
     pct = F.when(F.col("previous_value") > 0, (F.col(value).cast("double") / F.nullif(F.col("previous_value").cast("double"), F.lit(0.0)) - 1) * 100)
     return df.join(before, [*group, year], "left").withColumn("yoy_pct", pct)
@@ -17,7 +24,8 @@ def calendar_yoy(df: DataFrame, group: list[str], year: str, value: str) -> Data
 def dense_calendar(df: DataFrame, by: list[str], period: str, grain: str = "month") -> DataFrame:
     """Every month (or day) between a series' first and last row, with observed_row; absent rows have NULL values.
 
-    period is a date, the first of its month for the month grain."""
+    period is a date, the first of its month for the month grain; a repeated (by, period) is an error."""
+    _one_row_each(df, [*by, period])
     step = F.expr("INTERVAL 1 MONTH" if grain == "month" else "INTERVAL 1 DAY")
     spine = df.groupBy(*by).agg(F.min(period).alias("_a"), F.max(period).alias("_b")).select(*by, F.explode(F.sequence("_a", "_b", step)).alias(period))
     return spine.join(df.withColumn("observed_row", F.lit(True)), [*by, period], "left").fillna({"observed_row": False})

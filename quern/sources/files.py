@@ -45,14 +45,22 @@ def flatten_two_row_header(grid: DataFrame, number: str, name_row: int, unit_row
 
 
 def _binary(spark: SparkSession, glob: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(glob)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(glob)
 
 
 def list_files(spark: SparkSession, glob: str) -> DataFrame:
-    """(path, length) of the files that a glob names, also empty ones, which file scans leave out."""
+    """(path, length) of the files that a glob names, of folders all files below them; also empty ones, which file scans
+    leave out. Names that begin with _ or . are left out, as scans do."""
     at = spark._jvm.org.apache.hadoop.fs.Path(glob)
-    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or []
-    return spark.createDataFrame([(f.getPath().toString(), f.getLen()) for f in found if f.isFile()], "path string, length long")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for hit in fs.globStatus(at) or []:
+        below = fs.listFiles(hit.getPath(), True)
+        while below.hasNext():
+            f = below.next()
+            if f.getPath().getName()[0] not in "_.":
+                found.append((f.getPath().toString(), f.getLen()))
+    return spark.createDataFrame(found, "path string, length long")
 
 
 def classify_files(spark: SparkSession, glob: str) -> DataFrame:
@@ -154,7 +162,7 @@ class _FirstTable(HTMLParser):
         if self.cell is not None:
             if not self.rows:
                 self.rows.append([])
-            self.rows[-1] += [" ".join("".join(self.cell).split())] * min(self.span, 1000)
+            self.rows[-1] += [" ".join("".join(self.cell).split())] * min(self.span, 1000)  # a page cannot ask for more
             self.cell = None
 
 
