@@ -48,15 +48,31 @@ COLUMNS = {"year_from": ("year", ">="), "year_to": ("year", "<="), "product": ("
 
 
 class Templates:
-    """Named query templates over one observation table (year, geography, product, metric, unit, value, source, scope).
-    Parameters are checked against an allow list and filter the fact below every aggregation."""
+    """Named query templates over one observation table (year, geography, product, metric, unit, value, source, scope;
+    for trade partner, for prices reference_period). Parameters are checked against an allow list and filter the fact
+    below every join and aggregation.
 
-    def __init__(self, fact: DataFrame, most: int = 5000):
-        self.fact, self.most = fact, most
+    dims: tables by name, geography (geography, geography_label, level), product (product, product_label), metric (metric,
+    metric_code, metric_unit) and source (source, source_label), one row per key; a template joins those that it shows and
+    that are given. roles: metric codes in the order of semantic relations, by template."""
+
+    def __init__(self, fact: DataFrame, most: int = 5000, dims: dict[str, DataFrame] | None = None, roles: dict[str, dict[str, str]] | None = None):
+        self.fact, self.most, self.dims = fact, most, dims or {}
+        self.roles = {"fao_production": PRODUCTION, "sua": BALANCE, "trade": TRADE} | (roles or {})
 
     def _filtered(self, params: dict) -> DataFrame:
         return self.fact.filter(param_filter(validate_params(params, PARAMS), COLUMNS))
 
+    def _with(self, f: DataFrame, *names: str) -> DataFrame:
+        """f joined with the dimensions of these names; rows without a member go, as facts have one."""
+        for name in names:
+            if name in self.dims:
+                f = f.join(self.dims[name], name)
+        return f
+
+    def _shown(self, *names: str) -> list[str]:
+        return [c for name in names if name in self.dims for c in self.dims[name].columns if c != name]
+
     def run(self, name: str, **params) -> DataFrame:
         if name not in self.NAMES:
             raise LookupError(f"there is no template {name}")
@@ -72,41 +88,64 @@ class Templates:
         return agg.period_coverage(f, "value", "year").orderBy("year")
 
     def nso_catalogue(self, f):
-        return agg.catalogue(f, ["geography", "metric", "unit"], "value", "year")
+        """What there is by source, scope and level, and for how many places."""
+        keys = ["source", "scope", "metric", *(["level"] if "geography" in self.dims else []), "unit"]
+        g = self._with(f, "geography").groupBy(*keys)
+        return g.agg(*_span("year"), F.count_distinct("geography").alias("geographies")).orderBy(*keys)
 
     def nso_scope_catalogue(self, f):
-        return agg.catalogue(f, ["scope", "geography", "metric", "unit"], "value", "year")
+        keys = ["geography", *self._shown("geography"), "source", "scope", "metric", "unit"]
+        return self._with(f, "geography").groupBy(*keys).agg(*_span("year")).orderBy(*keys)
 
     def nso_observations(self, f):
-        return f.orderBy("year", "geography", "product", "metric")
+        return self._with(f, "geography").orderBy("geography", "metric", "product", "year")
 
     def fao_production(self, f):
-        return f.select("year", "geography", "product", "metric", "value").orderBy("year", "geography", "product", "metric")
+        """Area, production and yield of each place and product, with their labels."""
+        wide = production_yield(f, ["geography", "product", "year"], names=self.roles["fao_production"])
+        return self._with(wide, "geography", "product").orderBy("geography", "product", "year")
 
     def sua(self, f):
-        return f.groupBy("year", "geography", "product").agg(F.count("*").alias("components"), F.count("value").alias("numeric_components"))
+        return supported_balance(f, ["geography", "product", "year"], names=self.roles["sua"]).orderBy("year", "geography", "product")
 
     def psd(self, f):
-        return f.select("year", "geography", "product", "metric", "unit", "value")
+        """Observations with their metric's own code and unit."""
+        shown = self._shown("metric") or ["unit"]
+        return self._with(f, "metric").select("year", "geography", "product", "metric", *shown, "value", F.when(F.col("value").isNull(), "source_null").alias("missing_reason")).orderBy("metric", "year", "geography", "product")
 
     def price_observations(self, f):
-        return f.filter("value IS NOT NULL").select("year", "product", "unit", "value")
+        reference = F.col("reference_period") if "reference_period" in f.columns else F.lit(None).cast("int").alias("reference_period")
+        return self._with(f, "product").select(F.col("year").alias("period"), reference, "product", *self._shown("product"), "unit", "value", F.when(F.col("value").isNull(), "source_null").alias("missing_reason")).orderBy("period", "product")
 
     def price_coverage(self, f):
-        return agg.catalogue(f, ["product", "unit"], "value", "year").orderBy(F.desc("observations"), "product")
+        keys = ["product", *self._shown("product"), "unit"]
+        g = self._with(f, "product").groupBy(*keys)
+        return g.agg(F.min("year").alias("first_period"), F.max("year").alias("last_period"), F.count("*").alias("observations"), F.count("value").alias("numeric_observations"), F.count_distinct("year").alias("represented_periods")).orderBy(F.desc("observations"), "product")
 
     def trade(self, f):
-        return f.groupBy("year", "geography", "product", "metric").agg(F.sum("value").alias("value"))
+        """Quantities, values and unit values by partner, with what was present, and the partner's labels."""
+        place = "partner" if "partner" in f.columns else "geography"
+        keys = list(dict.fromkeys(["geography", place, "product", "year"]))
+        wide = reported_unit_values(f, keys, names=self.roles["trade"])
+        if "geography" in self.dims:
+            wide = wide.join(self.dims["geography"].toDF(*(place if c == "geography" else f"partner_{c}" for c in self.dims["geography"].columns)), place)
+        return wide.orderBy("year", *keys[:-1])
 
     def context_profile(self, f):
-        return agg.category_profile(f, ["source", "scope"])
+        keys = ["source", *self._shown("source"), "scope"]
+        return agg.category_profile(self._with(f, "source"), keys).orderBy(*keys)
 
     def subject_products(self, f):
-        return agg.subject_products(f, "product", "value", "year", "metric").orderBy("product")
+        made = agg.subject_products(f, "product", "value", "year", "metric")
+        return self._with(made, "product").orderBy("product")
 
     NAMES = ("catalogue", "fact_overview", "period_coverage", "nso_catalogue", "nso_observations", "nso_scope_catalogue", "fao_production", "sua", "psd", "price_observations", "price_coverage", "trade", "context_profile", "subject_products")
 
 
+def _span(period: str) -> list:
+    return [F.min(period).alias("first_year"), F.max(period).alias("last_year"), F.count("*").alias("observations"), F.count("value").alias("numeric_observations")]
+
+
 def publications(batches: DataFrame) -> DataFrame:
     """Published table versions, newest first."""
     return batches.groupBy("table").agg(F.max("version").alias("version")).orderBy("table")

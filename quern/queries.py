@@ -809,7 +809,7 @@ def newest_sample(spark, d):
     return agg.sample_newest(o, "day", 20, ["o_orderkey"]).withColumn("day", F.col("day").cast("string"))
 
 
-@query(f"WITH {NATION} SELECT n_name AS product, metric AS unit, min(year) AS first_period, max(year) AS last_period, count(*) AS observations, count(value) AS numeric_observations FROM ny JOIN nation ON nation = n_nationkey WHERE year BETWEEN 1996 AND 1999 AND metric = 'tax' GROUP BY 1, 2")
+@query(f"WITH {NATION} SELECT n_name AS product, metric AS unit, min(year) AS first_period, max(year) AS last_period, count(*) AS observations, count(value) AS numeric_observations, count(DISTINCT year) AS represented_periods FROM ny JOIN nation ON nation = n_nationkey WHERE year BETWEEN 1996 AND 1999 AND metric = 'tax' GROUP BY 1, 2")
 def template_price_coverage(spark, d):
     n = table(spark, d, "nation").select(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("product"))
     fact = nation_year(spark, d).join(n, "nation").withColumns({"geography": F.col("product"), "unit": F.col("metric"), "source": F.lit("s"), "scope": F.lit("all")})

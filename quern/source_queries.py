@@ -265,3 +265,100 @@ def mart_sample_check(spark, d):
 def source_observations(spark, d):
     n = table(spark, d, "nation").select(F.col("n_nationkey").alias("nation"), "n_name")
     return semantic.source_observations(nation_year(spark, d), n, "nation").select("year", "metric", F.col("value").cast("double").alias("value"), "n_name")
+
+
+# --- templates ------------------------------------------------------------------------------------------------------
+
+_FACT = f"""{NATION}, f AS (SELECT year, 'n' || nation AS geography, 'p' || CAST(nation % 3 AS VARCHAR) AS product, metric, 'u' AS unit, value, CASE WHEN metric = 'tax' THEN 's1' ELSE 's2' END AS source, CASE WHEN nation < 10 THEN 'a' ELSE 'b' END AS scope FROM ny),
+ g AS (SELECT 'n' || n_nationkey AS geography, n_name AS geography_label, r_name AS level FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+_WIDE = "SELECT geography, product, year, " + ", ".join(f"CAST(max(value) FILTER (metric = '{m}') AS DOUBLE) AS {m}, count(*) FILTER (metric = '{m}') AS present_{m}" for m in ("quantity", "amount", "discount", "tax")) + " FROM f GROUP BY 1, 2, 3"
+
+
+def _templates(spark: SparkSession, d: str) -> semantic.Templates:
+    """nation_year as an observation table with dimensions of nations, products, metrics and sources."""
+    nation = F.col("nation")
+    fact = nation_year(spark, d).select(
+        "year", F.concat(F.lit("n"), nation.cast("string")).alias("geography"), F.concat(F.lit("p"), (nation % 3).cast("string")).alias("product"), "metric", F.lit("u").alias("unit"), "value",
+        F.when(F.col("metric") == "tax", "s1").otherwise("s2").alias("source"), F.when(nation < 10, "a").otherwise("b").alias("scope"),
+    )
+    places = table(spark, d, "nation").join(table(spark, d, "region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
+    dims = {
+        "geography": places.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("geography"), F.col("n_name").alias("geography_label"), F.col("r_name").alias("level")),
+        "product": spark.createDataFrame([(f"p{i}", f"product {i}") for i in range(3)], "product string, product_label string"),
+        "metric": spark.createDataFrame([(m, m.upper(), "u") for m in ("quantity", "amount", "discount", "tax")], "metric string, metric_code string, metric_unit string"),
+        "source": spark.createDataFrame([("s1", "first"), ("s2", "second")], "source string, source_label string"),
+    }
+    names = {m: m for m in ("quantity", "amount", "discount", "tax")}
+    roles = {"fao_production": {m: m for m in ("quantity", "amount", "tax")}, "sua": names, "trade": names}
+    return semantic.Templates(fact, 1_000_000, dims, roles)
+
+
+def _doubles(df: DataFrame) -> DataFrame:
+    return df.select(*(F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name) for f in df.schema))
+
+
+@query(f"WITH {_FACT} SELECT source, geography, product, metric, unit, min(year) AS first_period, max(year) AS last_period, count(*) AS observations, count(value) AS numeric_observations FROM f GROUP BY 1, 2, 3, 4, 5")
+def template_catalogue(spark, d):
+    return _templates(spark, d).run("catalogue")
+
+
+@query(f"WITH {_FACT} SELECT count(*) AS n_rows, count(value) AS numeric_observations, count(*) - count(value) AS missing_observations, count(*) FILTER (value = 0) AS genuine_zero, min(year) AS first_period, max(year) AS last_period, count(DISTINCT year) AS represented_periods FROM f")
+def template_fact_overview(spark, d):
+    return _templates(spark, d).run("fact_overview")
+
+
+@query(f"WITH {_FACT} SELECT year, count(*) AS n_rows, count(value) AS numeric_observations, count(*) - count(value) AS missing_observations FROM f WHERE year >= 1994 GROUP BY 1")
+def template_period_coverage(spark, d):
+    return _templates(spark, d).run("period_coverage", year_from=1994)
+
+
+@query(f"WITH {_FACT} SELECT source, scope, metric, level, unit, min(year) AS first_year, max(year) AS last_year, count(*) AS observations, count(value) AS numeric_observations, count(DISTINCT f.geography) AS geographies FROM f JOIN g ON f.geography = g.geography GROUP BY 1, 2, 3, 4, 5")
+def template_nso_catalogue(spark, d):
+    return _templates(spark, d).run("nso_catalogue")
+
+
+@query(f"WITH {_FACT} SELECT f.geography, geography_label, level, source, scope, metric, unit, min(year) AS first_year, max(year) AS last_year, count(*) AS observations, count(value) AS numeric_observations FROM f JOIN g ON f.geography = g.geography GROUP BY ALL")
+def template_nso_scope_catalogue(spark, d):
+    return _templates(spark, d).run("nso_scope_catalogue")
+
+
+@query(f"WITH {_FACT} SELECT f.geography, geography_label, level, year, product, metric, unit, CAST(value AS DOUBLE) AS value, source, scope FROM f JOIN g ON f.geography = g.geography WHERE metric IN ('tax', 'discount')")
+def template_nso_observations(spark, d):
+    return _doubles(_templates(spark, d).run("nso_observations", metric=["tax", "discount"]))
+
+
+@query(f"WITH {_FACT}, w AS ({_WIDE}) SELECT w.geography, product, year, quantity, present_quantity, amount, present_amount, tax, present_tax, round(1000 * amount / nullif(quantity, 0), 2) AS computed_yield_kg_ha, geography_label, level, 'product ' || substr(product, 2) AS product_label FROM w JOIN g ON w.geography = g.geography")
+def template_production(spark, d):
+    made = _templates(spark, d).run("fao_production")
+    return _doubles(made).withColumn("computed_yield_kg_ha", F.round("computed_yield_kg_ha", 2))
+
+
+@query(f"WITH {_FACT} {_WIDE}")
+def template_balance(spark, d):
+    return _doubles(_templates(spark, d).run("sua"))
+
+
+@query(f"WITH {_FACT} SELECT year, geography, product, metric, upper(metric) AS metric_code, 'u' AS metric_unit, CAST(value AS DOUBLE) AS value, CASE WHEN value IS NULL THEN 'source_null' END AS missing_reason FROM f WHERE product = 'p1'")
+def template_supply(spark, d):
+    return _doubles(_templates(spark, d).run("psd", product="p1"))
+
+
+@query(f"WITH {_FACT} SELECT year AS period, CAST(NULL AS INTEGER) AS reference_period, product, 'product ' || substr(product, 2) AS product_label, unit, CAST(value AS DOUBLE) AS value, CASE WHEN value IS NULL THEN 'source_null' END AS missing_reason FROM f WHERE metric = 'amount'")
+def template_price_observations(spark, d):
+    return _doubles(_templates(spark, d).run("price_observations", metric="amount"))
+
+
+@query(f"WITH {_FACT}, w AS ({_WIDE}) SELECT w.*, round(amount / nullif(quantity, 0), 6) AS import_unit_value, round(tax / nullif(discount, 0), 6) AS export_unit_value, geography_label AS partner_geography_label, level AS partner_level FROM w JOIN g ON w.geography = g.geography")
+def template_trade(spark, d):
+    made = _doubles(_templates(spark, d).run("trade"))
+    return made.withColumns({f"{c}_unit_value": F.round(f"{c}_unit_value", 6) for c in ("import", "export")})
+
+
+@query(f"WITH {_FACT} SELECT source, CASE WHEN source = 's1' THEN 'first' ELSE 'second' END AS source_label, scope, count(*) AS observations FROM f GROUP BY ALL")
+def template_context_profile(spark, d):
+    return _templates(spark, d).run("context_profile")
+
+
+@query(f"WITH {_FACT} SELECT product, 'product ' || substr(product, 2) AS product_label, count(*) AS observations, count(value) AS numeric_observations, min(year) AS first_period, max(year) AS last_period, string_agg(DISTINCT metric, ',' ORDER BY metric) AS metric_codes FROM f GROUP BY 1")
+def template_subject_products(spark, d):
+    return _templates(spark, d).run("subject_products").withColumn("metric_codes", F.array_join("metric_codes", ","))
