@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or where that is unset (tests) a new local one."""
+    """The folder that all executors share: spark.checkpoint.dir, or where that is unset, in a local session (tests), a new
+    local one. A cluster without the setting is an error, as executors would write to disks of their own."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="quern-")
         atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
@@ -60,7 +63,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternates large-star and small-star steps until the edges stay as they are. Each step groups with partial
     aggregation and joins on the node, so that hubs are pre-aggregated and split by adaptive execution. Nodes without
-    edges are not listed; loops and nulls are ignored; an empty input gives an empty result."""
+    edges are not listed; loops and nulls are ignored; an empty input gives an empty result. Rounds grow with the logarithm
+    of a component's size; more than max_rounds, which no real graph takes, are an error."""
     spark = edges.sparkSession
     now, path = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
     before = _digest(now)
