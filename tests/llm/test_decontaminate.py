@@ -101,3 +101,33 @@ def test_every_leak_at_the_full_bound_is_found(spark):
     every = [(d, k) for d, t in docs for k, i in items if distance(dec.words(i), dec.words(t)) <= int(0.2 * len(dec.words(i)))]
     ids = [np.array([index.vocabulary.get(w, 0) for w in dec.words(t)], np.int64) for _, t in docs]
     assert [(docs[m[0]][0], index.item_id[m[1]]) for m in index.find(np.concatenate([*ids, [0]]), np.cumsum([len(i) for i in ids]))] == every
+
+
+def test_recall_at_every_length_and_edit_rate():
+    """Items of 10 to 500 words, each in a document with the most edits allowed and with fewer: all are found."""
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    for n in (10, 30, 100, 300, 500):
+        items = [(i, [rng.choice(vocabulary) for _ in range(n)]) for i in range(20)]
+        index = dec.Index.build(items, 0.2, dec.tables_for(), dec.SAMPLES)
+        for edits in (0.05, 0.1, 0.15, 0.2):
+            docs = [text(rng, rng.randrange(1, 50), vocabulary).split() + edited(rng, words, int(edits * n), vocabulary) + text(rng, rng.randrange(1, 50), vocabulary).split() for _, words in items]
+            ids = [np.array([index.vocabulary.get(w, 0) for w in d], np.int64) for d in docs]
+            got = index.find(np.concatenate([*ids, np.zeros(1, np.int64)]), np.cumsum([len(i) for i in ids]))
+            assert len({t for t, i, *_ in got if t == i}) >= 0.99 * len(items), (n, edits)
+
+
+def test_repeated_items_and_clean_documents(spark):
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    item = text(rng, 20, vocabulary)
+    bench = spark.createDataFrame([(1, item), (2, item), (None, item), (3, None), (4, "")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x " + item), (1, text(rng, 30, vocabulary)), (None, item), (None, None), (5, "")], "doc_id long, text string").withColumn("item_id", F.lit("clash"))
+    got = [(r.doc_id, r.item_id, r.distance) for r in dec.contaminated(docs, bench).collect()]
+    assert sorted(got, key=str) == sorted([(d, i, 0) for d in (1, None) for i in (1, 2, None)], key=str)
+    for block_chars in (dec.BLOCK_CHARS, 10):
+        clean = dec.clean_documents(docs, bench, block_chars=block_chars)
+        assert clean.columns == docs.columns
+        kept = clean.collect()
+        assert len(kept) == 3 and item not in {r.text for r in kept}
+    assert dec.clean_documents(docs, bench.limit(0)).count() == 5
