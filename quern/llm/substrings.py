@@ -27,7 +27,7 @@ GRAM = 32
 GROUP_ROWS = 8_192
 #: Rows of one key that a join keeps together, about; more are dealt out.
 JOIN_ROWS = 4_096
-_CHUNK = 1 << 21
+_CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -106,6 +106,18 @@ def anchors(raw: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
     return text, at - offset, first - offset, last - offset, hashes[at].view(np.int64)
 
 
+def anchors_of(raw: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """anchors(); one long text is taken in slices, so that memory does not grow with it."""
+    if len(raw) > 1 or not raw or len(raw[0]) <= _CHUNK:
+        return anchors(raw, length, gram)
+    found = [anchors([raw[0][s : s + _CHUNK + length - 1]], length, gram) for s in range(0, len(raw[0]) - length + 1, _CHUNK)]
+    base = np.repeat(np.arange(len(found)) * _CHUNK, [len(f[0]) for f in found])
+    at, first, last = (np.concatenate([f[i] for f in found]) + base for i in (1, 2, 3))
+    new = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])  # one anchor on both sides of a cut is one again
+    ends = np.r_[new[1:] - 1, len(at) - 1]
+    return np.zeros(len(new), np.int64), at[new], first[new], last[ends], np.concatenate([f[4] for f in found])[new]
+
+
 def _pieces(raw: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
     at, size = 0, 0
     for i, r in enumerate(raw):
@@ -123,7 +135,7 @@ def _find_grams(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, part in _pieces([t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]):
-                g, n = np.unique(anchors(part, length, gram)[4], return_counts=True)
+                g, n = np.unique(anchors_of(part, length, gram)[4], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(n)], ["g", "n"])
 
     return run
@@ -134,7 +146,7 @@ def _find_anchors(length: int, gram: int):
         for batch in batches:
             raw = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
             for begin, part in _pieces(raw):
-                text, at, first, last, g = anchors(part, length, gram)
+                text, at, first, last, g = anchors_of(part, length, gram)
                 z = _digests([part[t][a:b] for t, a, b in zip(text.tolist(), first.tolist(), (last + length).tolist())])
                 rows = pa.array(text + begin)
                 yield pa.RecordBatch.from_arrays(

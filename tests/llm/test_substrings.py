@@ -72,6 +72,16 @@ def test_a_common_passage_in_texts_of_its_own(spark, group_rows):
     assert sorted(map(tuple, got.drop("kept").collect()), key=str) == brute(rows, 20)
 
 
+def test_long_texts_in_slices(monkeypatch):
+    rng = random.Random(1)
+    text = "".join(rng.choice("abc") for _ in range(5000)).encode() + b"a" * 900
+    whole = sub.anchors([text], 20, 6)
+    for chunk in (64, 100, 777, 5880, 5881):
+        monkeypatch.setattr(sub, "_CHUNK", chunk)
+        for a, b in zip(whole, sub.anchors_of([text], 20, 6), strict=True):
+            assert (a == b).all()
+
+
 def test_full_length(spark):
     rng = random.Random(9)
     text = lambda n: "".join(rng.choice("etaoin shr") for _ in range(n))
