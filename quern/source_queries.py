@@ -12,7 +12,7 @@ from quern.functions import clean, keys
 from quern.operators import aggregates as agg
 from quern.operators import joins, quality, reshape
 from quern.plans import marts, semantic, star
-from quern.queries import NATION, OBS, money, nation_year, observations, query, table
+from quern.queries import NATION, agrees, nation_year, query, table
 from quern.sources import files
 from quern.sources import store as st
 
@@ -327,10 +327,10 @@ def template_nso_observations(spark, d):
     return _doubles(_templates(spark, d).run("nso_observations", metric=["tax", "discount"]))
 
 
-@query(f"WITH {_FACT}, w AS ({_WIDE}) SELECT w.geography, product, year, quantity, present_quantity, amount, present_amount, tax, present_tax, round(1000 * amount / nullif(quantity, 0), 2) AS computed_yield_kg_ha, geography_label, level, 'product ' || substr(product, 2) AS product_label FROM w JOIN g ON w.geography = g.geography")
+@query(f"WITH {_FACT}, w AS ({_WIDE}) SELECT w.geography, product, year, quantity, present_quantity, amount, present_amount, tax, present_tax, CASE WHEN quantity > 0 AND amount IS NOT NULL THEN true END AS yield_agrees, geography_label, level, 'product ' || substr(product, 2) AS product_label FROM w JOIN g ON w.geography = g.geography")
 def template_production(spark, d):
     made = _templates(spark, d).run("fao_production")
-    return _doubles(made).withColumn("computed_yield_kg_ha", F.round("computed_yield_kg_ha", 2))
+    return _doubles(made).withColumn("yield_agrees", agrees("computed_yield_kg_ha", "amount", "quantity", 1000)).drop("computed_yield_kg_ha")
 
 
 @query(f"WITH {_FACT} {_WIDE}")
@@ -348,10 +348,10 @@ def template_price_observations(spark, d):
     return _doubles(_templates(spark, d).run("price_observations", metric="amount"))
 
 
-@query(f"WITH {_FACT}, w AS ({_WIDE}) SELECT w.*, round(amount / nullif(quantity, 0), 6) AS import_unit_value, round(tax / nullif(discount, 0), 6) AS export_unit_value, geography_label AS partner_geography_label, level AS partner_level FROM w JOIN g ON w.geography = g.geography")
+@query(f"WITH {_FACT}, w AS ({_WIDE}) SELECT w.*, CASE WHEN quantity > 0 AND amount IS NOT NULL THEN true END AS import_agrees, CASE WHEN discount > 0 AND tax IS NOT NULL THEN true END AS export_agrees, geography_label AS partner_geography_label, level AS partner_level FROM w JOIN g ON w.geography = g.geography")
 def template_trade(spark, d):
     made = _doubles(_templates(spark, d).run("trade"))
-    return made.withColumns({f"{c}_unit_value": F.round(f"{c}_unit_value", 6) for c in ("import", "export")})
+    return made.withColumns({"import_agrees": agrees("import_unit_value", "amount", "quantity"), "export_agrees": agrees("export_unit_value", "tax", "discount")}).drop("import_unit_value", "export_unit_value")
 
 
 @query(f"WITH {_FACT} SELECT source, CASE WHEN source = 's1' THEN 'first' ELSE 'second' END AS source_label, scope, count(*) AS observations FROM f GROUP BY ALL")
