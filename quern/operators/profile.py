@@ -45,6 +45,14 @@ def missing_profile(df: DataFrame, cols: list[str], tokens: tuple[str, ...] = ()
     )
 
 
+def token_profile(df: DataFrame, cols: list[str], tokens: tuple[str, ...], by: list[str] = ()) -> DataFrame:
+    """(group, column, token, n): how often each column is one of the tokens that stand for a missing value, in any case and
+    with white space around; tokens that don't occur have no row."""
+    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.lower(F.trim(F.col(c).cast("string"))).alias("token")) for c in cols))).alias("c")
+    found = df.select(*by, cells).select(*by, "c.*").filter(F.col("token").isin([t.lower() for t in tokens]))
+    return found.groupBy(*by, "column", "token").agg(F.count("*").alias("n"))
+
+
 def duplicate_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """One row: rows beyond the first of their kind, and rows that have a twin."""
     g = duplicates(df, cols or df.columns)
@@ -87,6 +95,15 @@ def period_profile(df: DataFrame, period: str, low: int, high: int) -> DataFrame
     return row.withColumn("absent", (F.col("last") - F.col("first") + 1 - F.col("represented")).cast("long"))
 
 
+def missing_months(df: DataFrame, by: list[str], date: str) -> DataFrame:
+    """(group, month) of the months without a row between a group's first and last; a group's months are made from its two
+    bounds, not from its rows."""
+    month = F.trunc(date, "month")
+    seen = df.filter(F.col(date).isNotNull()).select(*by, month.alias("month")).distinct()
+    spine = seen.groupBy(*by).agg(F.min("month").alias("a"), F.max("month").alias("b")).select(*by, F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 MONTH"))).alias("month"))
+    return spine.join(seen, [*by, "month"], "left_anti")
+
+
 def pattern_violations(df: DataFrame, patterns: dict[str, str]) -> DataFrame:
     """(column, violations) of identifiers that don't fit their pattern."""
     row = df.agg(*(F.count_if(F.col(c).isNotNull() & ~F.col(c).cast("string").rlike(p)).alias(c) for c, p in patterns.items()))

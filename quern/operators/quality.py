@@ -41,6 +41,14 @@ def rule_counts(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     return counts.unpivot([], [r.rule_id for r in rules], "rule_id", "violations")
 
 
+def published_counts(df: DataFrame, value: str, rules: Iterable[Rule] = (), release: str | None = None) -> DataFrame:
+    """Counts of a published table by release (if it has such a column): rows, missing values, zeros, and violations of
+    each rule; one pass."""
+    v = F.col(value)
+    bad = [F.count_if(~F.coalesce(F.expr(r.predicate), F.lit(False))).alias(r.rule_id) for r in rules]
+    return df.groupBy(*([release] if release else [])).agg(F.count("*").alias("n_rows"), F.count_if(v.isNull()).alias("missing_values"), F.count_if(v == 0).alias("zeros"), *bad)
+
+
 def key_hash(keys: list[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*(F.col(k).cast("string").alias(k) for k in keys)), {"ignoreNullFields": "false"}), 256)
 

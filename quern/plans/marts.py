@@ -64,9 +64,12 @@ def bilateral_trade_mart(wide: DataFrame, quantity: str, amount: str) -> DataFra
     return wide.withColumns({"unit_value": row_ratio(F.col(amount), F.col(quantity)), "paired_quantity": F.when(ok, F.col(quantity)), "paired_amount": F.when(ok, F.col(amount))})
 
 
-def verify_mart(df: DataFrame, grain: list[str], presence: dict[str, str] | None = None, ratios: dict[str, tuple[str, str, int]] | None = None, dense: tuple[list[str], str] | None = None) -> DataFrame:
+def verify_mart(df: DataFrame, grain: list[str], presence: dict[str, str] | None = None, ratios: dict[str, tuple[str, str, int]] | None = None, dense: tuple[list[str], str] | None = None, bounds: tuple | None = None, series: dict[str, tuple[str, list[str], str, str]] | None = None, ordered: list[str] = ()) -> DataFrame:
     """(check, violations): the grain is unique; a value without a present cell; a ratio column {name: (numerator,
-    denominator, factor)} that is not what its columns give; (series, month) with a month left out."""
+    denominator, factor)} that is not what its columns give; (series, month) with a month left out; bounds (period, first,
+    last) that a row lies outside of, or that no row reaches; series {column: (kind, by, period, value)} of kind change,
+    volatility or gap that computing anew does not confirm; ordered: two periods of a series (all but the last column)
+    that number alike, so that its order is not total."""
     out = [agg.duplicates(df, grain).agg(F.count("*").alias("violations")).select(F.lit("grain").alias("check"), "violations")]
     counts = [F.count_if(F.col(v).isNotNull() & (F.col(p) == 0)).alias(f"presence:{v}") for v, p in (presence or {}).items()]
     counts += [F.count_if(~F.col(r).eqNullSafe(row_ratio(F.col(n), F.col(d), f))).alias(f"ratio:{r}") for r, (n, d, f) in (ratios or {}).items()]
@@ -75,6 +78,18 @@ def verify_mart(df: DataFrame, grain: list[str], presence: dict[str, str] | None
         out.append(row.unpivot([], row.columns, "check", "violations"))
     if dense:
         out.append(ts.calendar_gaps(df, *dense).agg(F.coalesce(F.sum("absent"), F.lit(0)).alias("violations")).select(F.lit("dense").alias("check"), "violations"))
+    if bounds:
+        period, first, last = bounds
+        p = F.col(period)
+        outside = F.count_if(~F.coalesce(p.between(first, last), F.lit(False))) + F.when(F.min(p) == F.lit(first), 0).otherwise(1) + F.when(F.max(p) == F.lit(last), 0).otherwise(1)
+        out.append(df.agg(outside.cast("long").alias("violations")).select(F.lit(f"bounds:{period}").alias("check"), "violations"))
+    for column, (kind, by, period, value) in (series or {}).items():
+        again = {"change": ts.pct_change, "volatility": ts.log_volatility}[kind](df.withColumn("_was", F.col(column)).drop("change_pct", "volatility_12"), by, period, value) if kind != "gap" else ts.observation_gap(df.withColumn("_was", F.col(column)).drop("gap_days"), by, period)
+        new = {"change": "change_pct", "volatility": "volatility_12", "gap": "gap_days"}[kind]
+        close = F.col("_was").eqNullSafe(F.col(new)) | (F.abs(F.col("_was") - F.col(new)) <= 1e-9 * F.greatest(F.abs(F.col(new)), F.lit(1.0)))
+        out.append(again.agg(F.count_if(~F.coalesce(close, F.lit(False))).alias("violations")).select(F.lit(f"{kind}:{column}").alias("check"), "violations"))
+    if ordered:
+        out.append(agg.duplicates(df, list(ordered)).agg(F.count("*").alias("violations")).select(F.lit("order").alias("check"), "violations"))
     return reduce(DataFrame.unionByName, out)
 
 

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from quern.functions import clean, keys
 from quern.operators import aggregates as agg
-from quern.operators import joins, quality, reshape
+from quern.operators import joins, profile, quality, reshape
 from quern.plans import marts, semantic, star
-from quern.queries import NATION, agrees, nation_year, query, table
+from quern.plans.contract import Rule
+from quern.queries import DENSE, NATION, agrees, monthly, nation_year, query, table
 from quern.sources import files
 from quern.sources import store as st
 
@@ -267,6 +268,36 @@ def source_observations(spark, d):
     return semantic.source_observations(nation_year(spark, d), n, "nation").select("year", "metric", F.col("value").cast("double").alias("value"), "n_name")
 
 
+@query("SELECT o_orderstatus, count(*) AS n_rows, count(*) FILTER (o_orderkey % 6 = 0) AS missing_values, count(*) FILTER (o_orderkey % 6 <> 0 AND o_orderkey % 5 = 0) AS zeros, count(*) FILTER (o_orderkey % 6 = 0 OR o_orderkey % 5 = 0 OR NOT o_totalprice > 50000) AS price FROM orders GROUP BY 1")
+def published_counts(spark, d):
+    """Prices of orders, some missing and some zero, by status."""
+    price = F.when(F.col("o_orderkey") % 6 == 0, None).when(F.col("o_orderkey") % 5 == 0, 0.0).otherwise(F.col("o_totalprice"))
+    return quality.published_counts(table(spark, d, "orders").withColumn("price", price), "price", [Rule("price", "price > 50000")], "o_orderstatus")
+
+
+@query("SELECT c_mktsegment, 'code' AS \"column\", t AS token, count(*) AS n FROM (SELECT c_mktsegment, CASE c_custkey % 5 WHEN 0 THEN 'n/a' WHEN 1 THEN 'none' END AS t FROM customer) WHERE t IS NOT NULL GROUP BY 1, 3")
+def token_profile(spark, d):
+    code = F.when(F.col("c_custkey") % 5 == 0, " N/A").when(F.col("c_custkey") % 5 == 1, "None").otherwise(F.col("c_name"))
+    return profile.token_profile(table(spark, d, "customer").select("c_mktsegment", code.alias("code"), "c_name"), ["code", "c_name"], ("n/a", "none", "-"), ["c_mktsegment"])
+
+
+@query(f"WITH {DENSE} SELECT series, CAST(month AS VARCHAR) AS month FROM dn WHERE NOT observed_row")
+def missing_months(spark, d):
+    return profile.missing_months(monthly(spark, d), ["series"], "month").select("series", F.col("month").cast("string").alias("month"))
+
+
+@query("""SELECT 'grain' AS "check", CAST(0 AS BIGINT) AS violations UNION ALL SELECT 'dense', 0 UNION ALL SELECT 'bounds:month', 0 UNION ALL SELECT 'change:change_pct', 0 UNION ALL SELECT 'volatility:volatility_12', 0 UNION ALL SELECT 'order', 0
+ UNION ALL SELECT 'change:bad_pct', (SELECT count(DISTINCT (o_orderpriority, month(o_orderdate), year(o_orderdate))) FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders) AND o_orderpriority = '2-HIGH')""")
+def series_mart_verifier(spark, d):
+    """The benchmark mart confirms itself; a copy of its change, wrong in one year of one series, does not."""
+    mart = marts.benchmark_mart(monthly(spark, d), ["series"], "month", "price")
+    span = mart.agg(F.min("month"), F.max("month"), F.max(F.year("month"))).first()
+    bad = (F.year("month") == span[2]) & (F.col("series") == "2-HIGH")
+    mart = mart.withColumn("bad_pct", F.when(bad, F.coalesce("change_pct", F.lit(0.0)) + 1).otherwise(F.col("change_pct")))
+    kinds = {"change_pct": "change", "volatility_12": "volatility", "bad_pct": "change"}
+    return marts.verify_mart(mart, ["series", "month"], dense=(["series"], "month"), bounds=("month", span[0], span[1]), series={c: (kind, ["series"], "month", "price") for c, kind in kinds.items()}, ordered=["series", "month"])
+
+
 # --- templates ------------------------------------------------------------------------------------------------------
 
 _FACT = f"""{NATION}, f AS (SELECT year, 'n' || nation AS geography, 'p' || CAST(nation % 3 AS VARCHAR) AS product, metric, 'u' AS unit, value, CASE WHEN metric = 'tax' THEN 's1' ELSE 's2' END AS source, CASE WHEN nation < 10 THEN 'a' ELSE 'b' END AS scope FROM ny),
