@@ -14,6 +14,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm.shared import slices
+
 #: Words whose ids a Python worker keeps, and their longest; beyond that it starts its memory anew (results don't
 #: depend on it).
 KEPT_WORDS = 200_000
@@ -237,7 +239,7 @@ def encode_ids(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(spec.value)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [bpe.encode(t or "") for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(map(bpe.decode, ids), pa.string())], ["doc_id", "ids", "decoded"])
 
@@ -252,7 +254,7 @@ def encode_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(spec.value)
-        for batch in batches:
+        for batch in slices(batches):
             made = [bpe.digest(t or "") for t in batch.column(1).to_pylist()]
             n, ids, decoded = zip(*made) if made else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])

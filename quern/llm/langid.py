@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.shared import cut, doc_bucket
+from quern.llm.shared import cut, doc_bucket, slices
 
 NGRAMS = (1, 2, 3)
 BUCKETS = 1 << 15
@@ -47,7 +47,7 @@ def has_letter(text: str) -> bool:
 def _frequencies(buckets: int, ngrams: tuple[int, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(buckets, np.int64), 0
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 df += gram_counts(text, buckets, ngrams) > 0
                 n += 1
@@ -192,7 +192,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             made = [shared.value.predict(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())], ["doc_id", "lang_pred", "score"])
 
@@ -216,7 +216,7 @@ def keep_identified(docs: DataFrame, least: float, **training) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             made = [shared.value.predict(t) for t in batch.column(batch.schema.names.index("text")).to_pylist()]
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in made], pa.bool_()))
 

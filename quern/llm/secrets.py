@@ -19,6 +19,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm.shared import slices
+
 KINDS = ("assign", "access", "hex")
 #: Shortest base64 run that can hold a secret (12 bytes).
 RUN = 16
@@ -404,7 +406,7 @@ def redact_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs, columns and rows as they are, with all secrets in text_col replaced by a mark; null texts stay null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             at = batch.schema.names.index(text_col)
             raw = [t or b"" for t in batch.column(at).cast(pa.binary()).to_pylist()]
             flags = np.concatenate([_suspects(raw[i : i + 256]) for i in range(0, len(raw), 256)]) if raw else []

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.shared import cut
+from quern.llm.shared import cut, slices
 
 LENGTH = 200
 GRAM = 32
@@ -133,7 +133,7 @@ def _find_grams(length: int, gram: int):
     """Hashes of the anchors' grams, with how often each occurs in a piece of the input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for _, part in _pieces([t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]):
                 g, n = np.unique(anchors_of(part, length, gram)[4], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(n)], ["g", "n"])
@@ -143,7 +143,7 @@ def _find_grams(length: int, gram: int):
 
 def _find_anchors(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             raw = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
             for begin, part in _pieces(raw):
                 text, at, first, last, g = anchors_of(part, length, gram)
@@ -427,7 +427,7 @@ def union_of(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for text, spans in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2)):
             text, removed, n = text or b"", 0, 0
