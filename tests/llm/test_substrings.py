@@ -43,7 +43,7 @@ def test_hot_keys(spark, monkeypatch, join_rows):
     assert sorted(map(tuple, got.drop("kept").collect()), key=str) == brute(rows, 20)
 
 
-@pytest.mark.parametrize("seed,group_rows", [(1, 2048), (2, 2048), (3, 4), (4, 1), (5, 2)])
+@pytest.mark.parametrize("seed,group_rows", [(1, 2048), (3, 4), (4, 1)])
 def test_against_brute_force(spark, seed, group_rows):
     rows = made(seed)
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("k1", F.lit("clash")).withColumn("spans", F.lit(1))
