@@ -366,12 +366,13 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
 
 def _among(rows: DataFrame, counted: DataFrame, count: str, key: list[str]) -> DataFrame:
     """Rows whose key counts more than once. Keys of very many rows are few; they are looked up first, without a shuffle
-    while their table is small, and dealt out over several keys of the join, so that none is hot."""
+    while their table is small, and dealt out over several keys of the join, so that none is hot. The join is by merging
+    at every size, as the counted keys grow with the input."""
     salts = F.ceil(F.col(count) / JOIN_ROWS)
     hot, _ = cut(counted.filter(F.col(count) > JOIN_ROWS).select(*key, salts.alias("salts")), "hot")
     salt = F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("k1", "k2", "first"), F.col("salts"))).alias("salt")
     wanted = counted.filter(F.col(count) > 1).select(*key, F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"))
-    return rows.join(hot, key, "left").select(*(F.col(c) for c in rows.columns), salt.cast("long").alias("salt")).join(wanted, [*key, "salt"], "left_semi").drop("salt")
+    return rows.join(hot, key, "left").select(*(F.col(c) for c in rows.columns), salt.cast("long").alias("salt")).join(wanted.hint("merge"), [*key, "salt"], "left_semi").drop("salt")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, group_rows: int = GROUP_ROWS) -> DataFrame:
