@@ -400,11 +400,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def settled(rows: DataFrame) -> DataFrame:
         return rows.repartition("g").sortWithinPartitions("g").mapInArrow(_compare(length), _COVER)
 
-    covers = covers.unionByName(settled(contexts(open_.filter(F.col("k") <= group_rows))))
-    large = open_.filter(F.col("k") > group_rows)
-    if large.isEmpty():
-        return covers
-    large = contexts(large).withColumns({"least": F.lit(0), "most": F.lit(length - gram)})
+    large = F.col("k") > group_rows
+    if open_.filter(large).isEmpty():
+        return covers.unionByName(settled(contexts(open_)))
+    # the texts are joined once for both kinds of groups; those of large ones carry their n below zero
+    both, _ = cut(contexts(open_.withColumn("n", F.when(large, -F.col("n")).otherwise(F.col("n")))), "contexts")
+    covers = covers.unionByName(settled(both.filter("n > 0")))
+    large = both.filter("n < 0").withColumn("n", -F.col("n")).withColumns({"least": F.lit(0), "most": F.lit(length - gram)})
     key = ["g", "least", "most", "high", "low", "context"]
     for _ in range((length - gram).bit_length() + 1):  # the halves of one offset hold equal strings, which count as one
         halves, _ = cut(large.mapInArrow(_halve(length), _HALF), "halves")
