@@ -242,6 +242,9 @@ class Index:
                     one = np.repeat(hit, n)
                     other = members[np.repeat(low[hit], n) + np.arange(len(one)) - np.repeat(np.cumsum(n) - n, n)]
                     pairs.append(np.column_stack([text[one], other, start[one]]))
+        pairs = [p for p in pairs if len(p)]
+        if not pairs:  # runs of words are shared, but nowhere as many as a match has
+            return []
         found = np.unique(np.concatenate(pairs), axis=0)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         new = np.flatnonzero(np.r_[True, (found[1:, 0] != found[:-1, 0]) | (found[1:, 1] != found[:-1, 1]) | (found[1:, 2] > found[:-1, 2] + 2 * self.classes[-1][1])])

@@ -12,6 +12,8 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,6 @@ ASSIGN = re.compile(rf"""({_KEYS})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _KEY_BYTES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
-_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 #: Escapes with what quote() leaves bare between and around them.
 _STRETCH = re.compile(r"(?<![A-Za-z0-9_.~/+-])[A-Za-z0-9_.~/+-]*+(?:%[0-9A-Fa-f]{2}[A-Za-z0-9_.~/+-]*+)+")
 _XRUN = re.compile(r"(?:\\x[0-9A-Fa-f]{2}){12,}")
@@ -48,6 +49,9 @@ _XRUN = re.compile(r"(?:\\x[0-9A-Fa-f]{2}){12,}")
 _MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 _PARTS = re.compile(rb"[\t\n\r\x20-\x7e]{12,}")
 _UTF16 = re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){12,}|(?:\x00[\t\n\r\x20-\x7e]){12,}")
+_WIDE = re.compile(rb"\x00[\t\n\r\x20-\x7e]\x00")
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[9, 10, 13, *range(32, 127)]] = True
 _LONG_SPACES, _SPACES = re.compile(rb" {256,}"), b" " * 255
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\x[0-9A-Fa-f]{2})+|\\U[0-9A-Fa-f]{8}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 _ESCAPE = re.compile(rb"%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f{]|&#[0-9xX]")
@@ -56,6 +60,10 @@ _BASE64 = re.compile(rf"[A-Za-z0-9+/_-]{{{RUN},}}={{0,2}}")
 _WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{RUN},}}+(?:\r?\n[ \t]*+[A-Za-z0-9+/_-]++)+={{0,2}}")
 _B64_TABLE = np.zeros(256, bool)
 _B64_TABLE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] = True
+#: Hexadecimal digits in either case and their values.
+_DIGIT, _VALUE, _LOST = np.zeros(256, bool), np.zeros(256, np.uint8), re.compile("[\udc80-\udcff]")
+for _n, _c in enumerate(b"0123456789abcdef"):
+    _DIGIT[[_c, ord(chr(_c).upper())]], _VALUE[[_c, ord(chr(_c).upper())]] = True, _n
 _HEX_TABLE = np.zeros(256, bool)
 _HEX_TABLE[list(b"0123456789abcdef")] = True
 
@@ -93,6 +101,15 @@ class Layer:
         return Layer(text, self.low[start], self.high[np.maximum(end, 1) - 1])
 
 
+@dataclass
+class Inflated:
+    """Uncompressed bytes, all of which come from one span of the outermost text."""
+
+    data: bytes
+    low: int
+    high: int
+
+
 def _unpack(data: bytes, at: int) -> Iterator[bytes | int]:
     """Uncompressed bytes, in pieces, of the gzip, zlib, bzip2, xz or zstandard member at a place; last the place after
     it, or after its first byte if it was broken or none."""
@@ -127,48 +144,66 @@ def _unpack(data: bytes, at: int) -> Iterator[bytes | int]:
     yield -1
 
 
-def _inflated(data: bytes, at: int, window: int, stop: list[int]) -> Iterator[bytes]:
+def _inflated(data: bytes, at: int, window: int) -> Iterator[tuple[bytes, int]]:
     """Uncompressed bytes of the member at a place in windows that overlap, so that no secret lies across the end of
-    one; stop gets the place where the search for further members goes on."""
-    held, size, more = [], 0, False
+    one, each with 0; the last, which may be empty, with the place where the search for further members goes on."""
+    held, size, more, stop = [], 0, False, at + 1
     for piece in _unpack(data, at):
         if isinstance(piece, int):
-            stop.append(piece if piece > at else at + 1)
+            stop = max(piece, stop)
             break
         held.append(piece)
         size += len(piece)
         if size > window:
             whole = _LONG_SPACES.sub(_SPACES, b"".join(held))
-            yield whole
+            yield whole, 0
             held, more = [whole[-OVERLAP:]], True
             size = len(held[0])
-    if size and (not more or size > OVERLAP or len(held) > 1):
-        yield b"".join(held)
-
-
-def readable(data: bytes, window: int = WINDOW) -> Iterator[tuple[str, np.ndarray | None, np.ndarray | None, int, int]]:
-    """What can be read in some bytes: (text, first byte of each character, byte after it, first byte, byte after it).
-    The readable stretches, also as UTF-16, make one text; then there is what compressed data inflates to, wherever
-    that begins, window by window; of its characters the first two are None, as they come from all of it."""
+    del data  # a chain of many layers holds none but the last
+    yield b"".join(held) if size and (not more or size > OVERLAP or len(held) > 1) else b"", stop
+
+
+def _members(data: bytes, window: int) -> Iterator[tuple[bytes, int, int]]:
+    """What compressed data inflates to, wherever it begins, window by window: (bytes, first byte of the member, byte
+    after it, or after all of the data where its end isn't known yet)."""
+    found = _MAGIC.search(data)
+    while found:
+        first = found.start()
+        found = None
+        for whole, stop in _inflated(data, first, window):
+            size = len(data)
+            if stop:
+                found = _MAGIC.search(data, stop)
+                if not found:
+                    data = b""
+            if whole:
+                yield whole, first, max(first + 1, stop or size)
+
+
+def _plain(data: bytes) -> bool:
+    """Whether _PARTS has a match, told in a few passes of numpy."""
+    run = _PLAIN[np.frombuffer(data, np.uint8)]
+    for step in (1, 2, 4, 4):  # runs of 2, 4, 8 and 12
+        run = run[:-step] & run[step:]
+    return bool(run.any())
+
+
+def readable(data: bytes) -> tuple[str, np.ndarray, np.ndarray] | None:
+    """The readable stretches of some bytes, also as UTF-16, as one text: (text, first byte of each character, byte
+    after it); None if there are none."""
     parts, places = [], []
-    for m in _PARTS.finditer(data):
+    for m in _PARTS.finditer(data) if _plain(data) else ():
         parts.append(m[0])
         places.append((m.start(), 1))
-    for m in _UTF16.finditer(data):
+    for m in _UTF16.finditer(data) if _WIDE.search(data) else ():
         at = m.start() + (data[m.start()] == 0)
         parts.append(data[at : m.end() : 2])
         places.append((at, 2))
-    if parts:
-        start = np.concatenate([at + step * np.arange(len(p) + 1) for p, (at, step) in zip(parts, places)])
-        step = np.concatenate([np.full(len(p) + 1, step) for p, (_, step) in zip(parts, places)])
-        yield (b"\0".join(parts) + b"\0").decode(), start, np.minimum(start + step, len(data)), 0, len(data)
-    at = 0
-    while m := _MAGIC.search(data, at):
-        stop: list[int] = []
-        for whole in _inflated(data, m.start(), window, stop):
-            for text, _, _, _, _ in readable(whole, window):
-                yield text, None, None, m.start(), max(m.start() + 1, stop[0] if stop else len(data))
-        at = stop[0] if stop else m.start() + 1
+    if not parts:
+        return None
+    start = np.concatenate([at + step * np.arange(len(p) + 1) for p, (at, step) in zip(parts, places)])
+    step = np.concatenate([np.full(len(p) + 1, step) for p, (_, step) in zip(parts, places)])
+    return (b"\0".join(parts) + b"\0").decode(), start, np.minimum(start + step, len(data))
 
 
 def _from_base64(run: str) -> bytes:
@@ -208,8 +243,8 @@ def _unescaped(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
         if isinstance(size, int):  # of each character
             start.extend(range(m.start(), m.end(), size)), end.extend(range(m.start() + size, m.end() + 1, size))
         else:
-            edges = np.r_[0, np.cumsum(size)] + m.start()
-            start.extend(edges[:-1].tolist()), end.extend(edges[1:].tolist())
+            edges = list(accumulate(size, initial=m.start()))
+            start.extend(edges[:-1]), end.extend(edges[1:])
         at = m.end()
     if not out:
         return None
@@ -218,13 +253,26 @@ def _unescaped(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     return layer.below("".join(out), *(np.concatenate(x) if x else np.empty(0, np.int64) for x in (low, high)))
 
 
-def _percent(run: str) -> tuple[str, int | list[int]]:
-    data = bytes.fromhex(run.replace("%", ""))
-    if data.isascii():
-        return data.decode(), 3
-    chars = data.decode(errors="surrogateescape")
-    size = [3 * len(c.encode(errors="surrogateescape")) for c in chars]
-    return re.sub("[\udc80-\udcff]", "\ufffd", chars), size  # a byte that is no text parts what is around it
+def _percents(layer: Layer) -> Layer | None:
+    """The text with every percent escape decoded, in one pass over its bytes; None if it has none. A byte that is no
+    text becomes U+FFFD, which parts what is around it."""
+    codes = np.frombuffer(layer.text.encode(errors="replace"), np.uint8)
+    padded = np.append(codes, np.zeros(2, np.uint8))
+    at = np.flatnonzero((codes == 37) & _DIGIT[padded[1:-1]] & _DIGIT[padded[2:]])
+    if not len(at):
+        return None
+    data, keep = codes.copy(), np.ones(len(codes), bool)
+    data[at] = _VALUE[codes[at + 1]] * 16 + _VALUE[codes[at + 2]]
+    keep[at + 1] = keep[at + 2] = False
+    text = data[keep].tobytes().decode(errors="surrogateescape")
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    lost = (points >= 0xDC80) & (points <= 0xDCFF)
+    sizes = np.where(lost, 1, 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000))
+    byte = np.append(np.flatnonzero(keep), len(codes))[np.r_[0, np.cumsum(sizes)]]
+    place = np.append(np.cumsum((codes & 0xC0) != 0x80) - 1, len(layer.text))[byte]
+    if lost.any():
+        text = _LOST.sub("\ufffd", text)
+    return layer.below(text, place[:-1], place[1:])
 
 
 def _unicode(run: str) -> tuple[str, int | list[int]] | None:
@@ -236,6 +284,9 @@ def _unicode(run: str) -> tuple[str, int | list[int]] | None:
         return (chr(code), len(run)) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
     if run[1] == "x":
         return bytes.fromhex(run.replace("\\x", "")).decode("latin-1"), 4
+    if len(run) == 6:
+        code = int(run[2:], 16)
+        return chr(code) if not 0xD800 <= code < 0xE000 else "\ufffd", 6
     chars, size, units = [], [], [int(u, 16) for u in run.split("\\u")[1:]]
     i = 0
     while i < len(units):
@@ -262,25 +313,27 @@ def _escaped_bytes(run: str, mark: str) -> tuple[bytes, np.ndarray]:
     return out[keep].tobytes(), np.append(np.flatnonzero(keep), len(codes))
 
 
-def _children(layer: Layer, window: int) -> Iterator[Layer]:
+def _children(layer: Layer, window: int) -> Iterator[Layer | Inflated]:
     """All that one step of decoding gives."""
     text = layer.text
-    for pattern, decode in ((_PERCENT, _percent), (_UNICODE, _unicode)):
-        if (made := _unescaped(layer, pattern, decode)) is not None:
+    for made in (_percents(layer) if "%" in text else None, _unescaped(layer, _UNICODE, _unicode) if "\\" in text or "&#" in text else None):
+        if made is not None:
             yield made
 
-    def views(data: bytes, outer) -> Iterator[Layer]:
-        for inner, start, end, first, last in readable(data, window):
-            if start is None:
-                low, high = outer(np.array([first]), np.array([last]))
-                yield Layer(inner, *layer.up(int(low[0]), int(high[0])))
-            else:
-                yield layer.below(inner, *outer(start, end))
+    def views(data: bytes, outer) -> Iterator[Layer | Inflated]:
+        if plain := readable(data):
+            yield layer.below(plain[0], *outer(*plain[1:]))
+        for inner, first, last in _members(data, window):
+            low, high = outer(np.array([first]), np.array([last]))
+            yield Inflated(inner, *layer.up(int(low[0]), int(high[0])))
 
     for pattern, mark in ((_STRETCH, "%"), (_XRUN, "\\x")):
-        for m in pattern.finditer(text):
-            data, edges = _escaped_bytes(m[0], mark)
+        for m in pattern.finditer(text) if mark in text else ():
+            if m.end() - m.start() < 8:  # five bytes at most, which hold no secret in any form
+                continue
+            data = unquote_to_bytes(m[0]) if mark == "%" else bytes.fromhex(m[0].replace(mark, ""))
             if _MAGIC.search(data) or _UTF16.search(data):
+                data, edges = _escaped_bytes(m[0], mark)
                 yield from views(data, lambda a, b, edges=edges + m.start(): (edges[a], edges[b]))
     for pattern in (_BASE64, _WRAPPED):
         for m in pattern.finditer(text):
@@ -301,27 +354,49 @@ def _children(layer: Layer, window: int) -> Iterator[Layer]:
                 yield from views(data, outer)
 
 
+def _below(inflated: Inflated, window: int) -> Iterator[Layer | Inflated]:
+    """What can be read in uncompressed bytes, and what they inflate to in turn."""
+    data, low, high = inflated.data, inflated.low, inflated.high
+    del inflated
+    if plain := readable(data):
+        yield Layer(plain[0], low, high)
+    del plain
+    members = _members(data, window)
+    del data
+    for inner, _, _ in members:
+        yield Inflated(inner, low, high)
+
+
 def all_spans(text: str, window: int = WINDOW) -> list[tuple[int, str, int]]:
     """Base spans of a text and of all layers below it, the latter as the spans of the text that they come from.
 
     A worklist of layers: each is scanned, then unwrapped in every way (percent and Unicode escapes, base64 runs at
-    every alignment and over line ends, compressed data wherever it begins, UTF-16) until nothing new comes out; a layer
-    seen before at the same place is not followed again. Base spans of the text itself stay, whatever the layers add.
-    What inflates beyond a window is taken window by window, OVERLAP bytes of each again in the next."""
+    every alignment and over line ends, compressed data wherever it begins, UTF-16) until nothing new comes out. Layers
+    of characters and of bytes are known by digest and place, and one seen before at the same place is not followed
+    again, so that data which inflates to itself comes to an end; nesting can be of any depth. Base spans of the text
+    itself stay, whatever the layers add. What inflates beyond a window is taken window by window, OVERLAP bytes of each
+    again in the next."""
     found = set(base_spans(text))
-    work, seen = [_children(Layer(text), window)], {(text, 0)}
+    work, seen = [_children(Layer(text), window)], set()
     while work:
         layer = next(work[-1], None)
         if layer is None:
             work.pop()
-        elif layer.text:
-            key = (layer.text if len(layer.text) < 64 else hashlib.blake2b(layer.text.encode(), digest_size=16).digest(), *layer.up(0, 1))
-            if key not in seen:
-                seen.add(key)
-                for start, kind, end in base_spans(layer.text):
-                    low, high = layer.up(start, end)
-                    found.add((low, kind, high))
-                work.append(_children(layer, window))
+            continue
+        if isinstance(layer, Inflated):
+            key = (hashlib.blake2b(layer.data, digest_size=16).digest(), layer.low, layer.high)
+            new = key not in seen and _below(layer, window)
+        else:
+            key = (layer.text if len(layer.text) < 64 else hashlib.blake2b(layer.text.encode(), digest_size=16).digest(), *layer.up(0, 1)) if layer.text else ()
+            new = layer.text and key not in seen and _children(layer, window)
+        if not new:
+            continue
+        seen.add(key)
+        if isinstance(layer, Layer):
+            for start, kind, end in base_spans(layer.text):
+                low, high = layer.up(start, end)
+                found.add((low, kind, high))
+        work.append(new)
     return sorted(found, key=lambda s: (s[0], _ORDER[s[1]], s[2]))
 
 
@@ -335,7 +410,7 @@ def _runs(flags: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _readable(data: bytes) -> bool:
     """Whether readable() can give anything."""
-    return bool(_PARTS.search(data) or _MAGIC.search(data) or _UTF16.search(data))
+    return bool(_PARTS.search(data) or _MAGIC.search(data) or _WIDE.search(data) and _UTF16.search(data))
 
 
 def _suspects(raw: list[bytes]) -> np.ndarray:

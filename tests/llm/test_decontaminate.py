@@ -131,3 +131,15 @@ def test_repeated_items_and_clean_documents(spark):
         kept = clean.collect()
         assert len(kept) == 3 and item not in {r.text for r in kept}
     assert dec.clean_documents(docs, bench.limit(0)).count() == 5
+
+
+def test_shared_runs_without_a_match(spark):
+    rng = random.Random(11)
+    names = [f"w{i}" for i in range(3000)]
+    for n in (10, 15, 30, 60, 300):
+        items = [(n, text(rng, n, names))]
+        item = items[0][1].split()
+        docs = spark.createDataFrame([(1, " ".join(rng.sample(names, 30) + item[3:8] + rng.sample(names, 30)))], "doc_id long, text string")
+        bench = spark.createDataFrame(items, "item_id long, text string")
+        assert dec.contaminated(docs, bench).count() == (n == 10 and distance(item, dec.words(docs.first().text)) <= 2)
+        assert dec.clean_documents(docs, bench).count() == 1

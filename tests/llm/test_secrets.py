@@ -134,3 +134,51 @@ def test_table(spark):
     clean = s.redact_documents(docs)
     assert clean.columns == docs.columns and clean.filter("text like '%hunter2%'").count() == 0 and clean.filter("text is null").count() == 1
     assert s.secret_digests(docs.limit(0)).count() == 0
+
+
+def test_deep_and_endless_nesting_ends():
+    data = b"password=hunter2secret"
+    for _ in range(5000):
+        data = gzip.compress(data, 1, mtime=0)
+    run = base64.b64encode(data).decode()
+    assert any(k == "assign" for _, k, _ in spans(f"see {run} there"))
+    layer = s.Inflated(b"x", 3, 9)
+    seen = []
+
+    def endless(inflated, window):  # data that inflates to itself
+        seen.append(inflated)
+        yield layer
+
+    whole, s._below = s._below, endless
+    try:
+        inner = base64.b64encode(gzip.compress(b"x" * 40)).decode()
+        s.all_spans(inner)
+    finally:
+        s._below = whole
+    assert 0 < len(seen) < 20
+
+
+def test_many_escapes_take_linear_time():
+    began = time.perf_counter()
+    for text in ("%41 " * 2_500_000, "\\u0041 " * 500_000):
+        assert s.all_spans(text) == []
+    assert time.perf_counter() - began < 20
+    for text in ("é%C3%A9%ff ✓%e2%9c%93%2", "%", "%4", "a%41%e2%9ctoken=abcdefg%80é", "%F0%9F%98%80x"):
+        got = s._percents(s.Layer(text))
+        at, chars, low, high = 0, [], [], []
+        while at < len(text):  # escape by escape
+            run = re.match("(?:%[0-9A-Fa-f]{2})+", text[at:])
+            if not run:
+                chars.append(text[at]), low.append(at), high.append(at + 1)
+                at += 1
+                continue
+            place = at
+            for c in bytes.fromhex(run[0].replace("%", "")).decode(errors="surrogateescape"):
+                n = 3 * len(c.encode(errors="surrogateescape"))
+                chars.append("�" if "\udc80" <= c <= "\udcff" else c), low.append(place), high.append(place + n)
+                place += n
+            at = place
+        if got is None:
+            assert "".join(chars) == text
+        else:
+            assert (got.text, got.low.tolist(), got.high.tolist()) == ("".join(chars), low, high)
