@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import bpe, decontaminate, langid, lm, secrets, simhash, substrings, tokencount, topk, urls
+from quern.llm import bpe, capfilters, decontaminate, langid, lm, secrets, simhash, substrings, tokencount, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,9 +56,16 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.embedding_top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capfilters.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_decontaminate, op2_language_id, op3_simhash_near_dedup, op4_secret_scan, op5_class_lm_score, op6_url_filter, op7_suffix_dedup, op8_section_token_counts, op9_bpe_encode_decode, op10_exact_top_k)
+    for f in (
+        op1_decontaminate, op2_language_id, op3_simhash_near_dedup, op4_secret_scan, op5_class_lm_score, op6_url_filter, op7_suffix_dedup, op8_section_token_counts, op9_bpe_encode_decode, op10_exact_top_k,
+        op11_embedding_near_dedup,
+    )
 }
 
 #: SQL for what SQL can express: exact search is the only one of the ten.
