@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import bpe, capfilters, decontaminate, langid, lm, secrets, simhash, substrings, tokencount, topk, urls
+from quern.llm import bpe, capfilters, decontaminate, langid, lm, periodic, secrets, simhash, substrings, tokencount, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,11 +60,15 @@ def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capfilters.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_language_id, op3_simhash_near_dedup, op4_secret_scan, op5_class_lm_score, op6_url_filter, op7_suffix_dedup, op8_section_token_counts, op9_bpe_encode_decode, op10_exact_top_k,
-        op11_embedding_near_dedup,
+        op11_embedding_near_dedup, op12_periodic_runs,
     )
 }
 
