@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import bpe, capfilters, decontaminate, langid, lm, periodic, secrets, simhash, substrings, tokencount, topk, urls
+from quern.llm import alignment, bpe, capfilters, decontaminate, langid, lm, periodic, secrets, simhash, substrings, tokencount, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,15 +64,20 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_digests(_table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one, two = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.aligned_documents(_table(spark, sf_dir, "documents"), one, two, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_language_id, op3_simhash_near_dedup, op4_secret_scan, op5_class_lm_score, op6_url_filter, op7_suffix_dedup, op8_section_token_counts, op9_bpe_encode_decode, op10_exact_top_k,
-        op11_embedding_near_dedup, op12_periodic_runs,
+        op11_embedding_near_dedup, op12_periodic_runs, op13_token_alignment,
     )
 }
 
-#: SQL for what SQL can express: exact search is the only one of the ten.
+#: SQL for what SQL can express: exact search is the only one.
 ORACLES: dict[str, str] = {
     "op10_exact_top_k": """WITH v AS (
   SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
