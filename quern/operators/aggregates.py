@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.operators.match import join_back
+from quern.operators.quantiles import exact_quantiles
+
 
 def paired_ratio(df: DataFrame, by: list[str], num: str, den: str, factor: int = 1) -> DataFrame:
     """factor * sum(num) / sum(den) over the rows that have both and a positive denominator; no average of ratios."""
@@ -153,9 +156,12 @@ def max_share(df: DataFrame, label: str, part: str, whole: str) -> DataFrame:
 
 
 def describe_by(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Count, mean, deviation, bounds and exact quartiles of each group, of any size."""
     v = F.col(value).cast("double")
-    q = lambda p: F.percentile(v, F.lit(p))
-    return df.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), q(0.25).alias("q1"), q(0.5).alias("median"), q(0.75).alias("q3"), F.max(v).alias("max"))
+    base = df.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+    out = join_back(base, exact_quantiles(df, by, value, [0.25, 0.5, 0.75]).drop("n"), by, "left")
+    q = [F.col("quantiles")[i].alias(name) for i, name in enumerate(("q1", "median", "q3"))]
+    return out.select(*by, "n", "mean", "std", "min", *q, "max")
 
 
 def correlation(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from quern.operators.aggregates import duplicates
 from quern.operators.match import join_back
+from quern.operators.quantiles import exact_quantiles
+from quern.sources.store import scratch_table
 
 NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -73,7 +75,9 @@ def numeric_profile(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     """Per group: parse failures, negatives, numbers, quartiles, and outliers beyond 1.5 spreads of them, for groups of
     at least 8 numbers with a positive spread."""
     v = F.col(value).try_cast("double")
-    q = df.groupBy(*by).agg(F.count(v).alias("n"), F.count_if(F.col(value).isNotNull() & v.isNull()).alias("parse_failures"), F.count_if(v < 0).alias("negatives"), F.percentile(v, F.lit(0.25)).alias("q1"), F.percentile(v, F.lit(0.75)).alias("q3"))
+    q = df.groupBy(*by).agg(F.count(v).alias("n"), F.count_if(F.col(value).isNotNull() & v.isNull()).alias("parse_failures"), F.count_if(v < 0).alias("negatives"))
+    quartiles = exact_quantiles(df, by, v, [0.25, 0.75]).select(*by, F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("q3"))
+    q = scratch_table(join_back(q, quartiles, by, "left"), "quartiles")
     spread = F.col("q3") - F.col("q1")
     out = (v < F.col("q1") - 1.5 * spread) | (v > F.col("q3") + 1.5 * spread)
     flagged = join_back(df, q, by).filter((F.col("n") >= 8) & (spread > 0) & out).groupBy(*by).agg(F.count("*").alias("outliers"))
@@ -129,7 +133,9 @@ def issue_ledger(*issues: DataFrame) -> DataFrame:
 
 def metric_sanity(df: DataFrame, metric: str, value: str) -> DataFrame:
     v = F.col(value).cast("double")
-    return df.groupBy(metric).agg(F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.percentile(v, F.lit(0.5)).alias("median"), F.count_if(v == 0).alias("zeros"), F.count_if(v < 0).alias("negatives"))
+    base = df.groupBy(metric).agg(F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.count_if(v == 0).alias("zeros"), F.count_if(v < 0).alias("negatives"))
+    out = join_back(base, exact_quantiles(df, [metric], value, [0.5]).drop("n"), [metric], "left")
+    return out.select(metric, "n", "min", "max", "mean", F.col("quantiles")[0].alias("median"), "zeros", "negatives")
 
 
 def flag_shares(df: DataFrame, by: list[str], flag: str, value: str) -> DataFrame:

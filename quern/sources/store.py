@@ -29,6 +29,13 @@ def scratch_store(spark: SparkSession) -> TableStore:
     return store
 
 
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """df, written to a store of its own in the shared folder and read back: what follows starts from there, also when
+    executors are lost, and Spark knows its size."""
+    store = scratch_store(df.sparkSession)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{store.root}/{name}/{store.write_part(name, df)}")
+
+
 class TableStore:
     """Tables under one root: <root>/<table>/part-<id>/, and per published version a file that lists its parts."""
 
