@@ -54,6 +54,9 @@ class TableStore:
         except Exception:  # the JVM may be gone already
             pass
 
+    def remove(self, *at: str) -> None:
+        self._fs().delete(self._path(*at), True)
+
     def versions(self, table: str) -> list[int]:
         fs, at = self._fs(), self._path(table, "_published")
         return sorted(int(s.getPath().getName()) for s in fs.listStatus(at)) if fs.exists(at) else []
@@ -162,21 +165,51 @@ def bronze_append(store: TableStore, table: str, df: DataFrame, **lineage) -> in
 
 def upsert_table(store: TableStore, table: str, incoming: DataFrame, keys: list[str], ts: str, partitions: tuple[str, ...] = ()) -> int:
     """A version after the upsert, or the current one if the upsert would change nothing. Parts that hold a row to be
-    replaced are written anew, others stay; rows of new keys make part of the same new part."""
+    replaced are written anew, others stay; rows of new keys make part of the same new part. Only parts that may hold a
+    key of the batch, by the bounds and Bloom filters beside them, are read; new parts get theirs."""
     from quern.operators.upsert import judged, upsert
+    from quern.sources.index import index_part, parts_that_may_hold
+
+    def written(df: DataFrame) -> str:
+        part = store.write_part(table, df, partitions)
+        index_part(store, table, part, keys)
+        return part
 
     now = store.current(table)
     if now is None:
-        return store.write(table, incoming, partitions)
-    target = store.read(table, now)
-    verdict = judged(target.withColumn("_part", store.part_of()), incoming, keys, ts)
-    plan = store.read_parts("_plans", [store.write_part("_plans", verdict)])
-    touched = [r._part for r in plan.filter("_take AND _part IS NOT NULL").select("_part").distinct().collect()]  # of the version's parts
-    rows = plan.filter(F.col("_take") | F.col("_part").isin(touched)).drop("_part", "_take")
-    if not touched and rows.isEmpty():
-        return now
-    made = upsert(store.read_parts(table, touched), rows, keys, ts) if touched else rows
-    return store.replace(table, touched, [store.write_part(table, made, partitions)])
+        return store.replace(table, [], [written(incoming)], keep=False)
+    parts = store.parts(table, now)
+    near = parts_that_may_hold(store, table, parts, incoming, keys)
+    if near:
+        target = store.read_parts(table, near).withColumn("_part", store.part_of())
+        verdict = judged(target, incoming, keys, ts)
+    else:
+        verdict = incoming.withColumns({"_take": F.lit(True), "_part": F.lit(None).cast("string")})
+    name = store.write_part("_plans", verdict)
+    try:
+        plan = store.read_parts("_plans", [name])
+        touched = [r._part for r in plan.filter("_take AND _part IS NOT NULL").select("_part").distinct().collect()]  # of the version's parts
+        rows = plan.filter(F.col("_take") | F.col("_part").isin(touched)).drop("_part", "_take")
+        if not touched and rows.isEmpty():
+            return now
+        made = upsert(store.read_parts(table, touched), rows, keys, ts) if touched else rows
+        return store.replace(table, touched, [written(made)])
+    finally:
+        store.remove("_plans", name)
+
+
+def clean_up(store: TableStore, table: str, keep: int = 1) -> list[str]:
+    """Removes all but the newest `keep` versions of a table, then the parts, with what stands beside them, that no
+    version left names; returns these parts. Readers of removed versions must be done."""
+    versions = store.versions(table)
+    for v in versions[:-keep]:
+        store.remove(table, "_published", str(v))
+    used = {p for v in versions[-keep:] for p in store.parts(table, v)}
+    gone = [s.getPath().getName() for s in store._fs().listStatus(store._path(table)) if s.getPath().getName().startswith("part-") and s.getPath().getName() not in used]
+    for part in gone:
+        for at in ((part,), ("_keys", part), ("_trees", part)):
+            store.remove(table, *at)
+    return sorted(gone)
 
 
 def new_artifacts(manifest: DataFrame, loaded: DataFrame) -> DataFrame:

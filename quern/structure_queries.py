@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from quern.operators.quantiles import exact_quantiles
 from quern.queries import query, r, table
+from quern.sources import index
+from quern.sources import store as st
 
 # --- ranks ----------------------------------------------------------------------------------------------------------
 
@@ -20,3 +22,43 @@ def quartiles_of_lines(spark, d):
     out = exact_quantiles(li, [], "l_extendedprice", [0.25, 0.5, 0.75, 0.999]).withColumn("scope", F.lit("all"))
     out = out.unionByName(exact_quantiles(li, ["l_returnflag"], "l_extendedprice", [0.25, 0.5, 0.75, 0.999]).withColumnRenamed("l_returnflag", "scope"))
     return out.select("scope", "n", *(r(F.col("quantiles")[i]).alias(c) for i, c in enumerate(("q1", "median", "q3", "top"))))
+
+
+# --- stored tables --------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS price, CAST(4 AS BIGINT) AS parts, CAST(1 AS BIGINT) AS parts_read FROM orders
+ WHERE o_orderkey % 4 <> 3 UNION ALL SELECT o_orderkey, o_totalprice, 4, 1 FROM orders WHERE o_orderkey % 4 = 3""")
+def upsert_near_parts(spark, d):
+    """Orders in four stored parts; a batch with new prices for the keys of one part reads that part alone."""
+    store = st.scratch_store(spark)
+    o = table(spark, d, "orders").select((F.col("o_orderkey") % 4).alias("shard"), "o_orderkey", F.col("o_totalprice").alias("price"), F.lit(1).alias("ts"))
+    keys = ["shard", "o_orderkey"]
+    for i in range(4):
+        st.upsert_table(store, "orders", o.filter(F.col("shard") == i), keys, "ts")
+    parts = store.parts("orders")
+    batch = o.filter("shard = 1").withColumns({"price": F.col("price") + 1, "ts": F.lit(2)})
+    read = len(index.parts_that_may_hold(store, "orders", parts, batch, keys))
+    st.upsert_table(store, "orders", batch, keys, "ts")
+    st.clean_up(store, "orders")
+    return store.read("orders").select("o_orderkey", "price", F.lit(len(parts)).cast("long").alias("parts"), F.lit(read).cast("long").alias("parts_read"))
+
+
+@query("""WITH f AS (SELECT min(l_orderkey * 10 + l_linenumber) AS k FROM lineitem), one AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem, f WHERE l_orderkey * 10 + l_linenumber = k GROUP BY ALL)
+ SELECT 'same' AS pair, CAST(0 AS BIGINT) AS leaves_read, CAST(0 AS BIGINT) AS more, CAST(0 AS BIGINT) AS fewer UNION ALL SELECT 'changed', 1, CAST(sum(n) AS BIGINT), CAST(sum(n) AS BIGINT) FROM one""")
+def hash_tree_reconcile(spark, d):
+    """Lines stored twice, in other orders and partitions, are equal by the roots of their trees; where one line was
+    changed one leaf is read to find it."""
+    store = st.scratch_store(spark)
+    li, keys = table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"]
+    place = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    first = li.agg(F.min(place)).first()[0]
+    index.write_with_tree(store, "one", li, keys)
+    index.write_with_tree(store, "two", li.repartition(7, "l_partkey"), keys)
+    index.write_with_tree(store, "changed", li.withColumn("l_tax", F.when(place == first, F.col("l_tax") + 1).otherwise(F.col("l_tax"))), keys)
+    out = []
+    for name, other in (("same", "two"), ("changed", "changed")):
+        rows, leaves = index.differing_rows(store, "one", other)
+        count = lambda s: F.coalesce(F.sum(F.when(s > 0, s)), F.lit(0)).cast("long")
+        out.append(rows.agg(count(F.col("surplus")).alias("more"), count(-F.col("surplus")).alias("fewer")).select(F.lit(name).alias("pair"), F.lit(len(leaves)).cast("long").alias("leaves_read"), "more", "fewer"))
+    return out[0].unionByName(out[1])

@@ -38,3 +38,52 @@ def test_no_task_of_a_quantile_holds_a_group(spark):
     plan = quantiles.exact_quantiles(df, [], "v", [0.5])._jdf.queryExecution().toString()
     assert "percentile" not in plan.lower()
     assert quantiles.exact_quantiles(df, [], "v", [0.25, 0.5]).first().quantiles == [99999.75, 199999.5]
+
+
+def test_index_of_parts(spark, tmp_path):
+    from quern.sources import index, store
+
+    tables = store.TableStore(spark, str(tmp_path / "tables"))
+    frame = lambda lo, hi, step, ts: spark.range(lo, hi, step).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"), F.lit(ts).alias("ts"))
+    for df in (frame(0, 5000, 2, 1), frame(1, 5000, 2, 1), frame(10_000, 12_000, 1, 1)):
+        store.upsert_table(tables, "t", df, ["k", "name"], "ts")
+    parts = tables.parts("t")
+    assert len(parts) == 3
+    near = lambda df: index.parts_that_may_hold(tables, "t", parts, df, ["k", "name"])
+    assert near(frame(11_000, 11_010, 1, 2)) == parts[2:] and near(frame(20_000, 20_010, 1, 2)) == [] and near(frame(-9, -1, 1, 2)) == []
+    for i in (0, 1):  # every key of a part leads to it, also one at a time
+        assert parts[i] in near(frame(i, 5000, 2, 2))
+    for k in (0, 1, 2498, 4999):
+        assert parts[k % 2] in near(frame(k, k + 1, 1, 2))
+    misses = sum(len(near(frame(6000 + k, 6001 + k, 1, 2))) for k in range(3))
+    assert misses == 0  # within no part's bounds
+    wrong = [(2 * k, f"n{2 * k + 1}") for k in range(200)]  # keys of no part, within the bounds of two
+    assert len(near(spark.createDataFrame(wrong[:3], "k long, name string"))) <= 1
+    assert near(spark.createDataFrame([(None, "n1")], "k long, name string")) == []
+    tables.replace("t", [], [tables.write_part("t", frame(7000, 7010, 1, 1))])  # without an index: always read
+    assert index.parts_that_may_hold(tables, "t", tables.parts("t"), frame(20_000, 20_001, 1, 2), ["k", "name"]) == tables.parts("t")[3:]
+    version = store.upsert_table(tables, "t", frame(4998, 7002, 1, 2), ["k", "name"], "ts")
+    got = tables.read("t", version)
+    assert got.count() == 5000 + 2000 + 10 + 2000 and got.filter("ts = 2").count() == 2004
+    gone = store.clean_up(tables, "t")
+    assert gone and tables.versions("t") == [version] and tables.read("t").count() == 9010
+    assert not tables._fs().exists(tables._path("_plans", "x")) and not [s for s in tables._fs().listStatus(tables._path("_plans"))]
+
+
+def test_trees_find_what_differs(spark, tmp_path):
+    from quern.sources import index, store
+
+    tables = store.TableStore(spark, str(tmp_path / "tables"))
+    df = spark.range(2000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("a"), F.when(F.col("id") % 3 == 0, F.col("id")).alias("b"), F.array("id").alias("list"))
+    index.write_with_tree(tables, "t", df, ["k"])
+    for name, other, want in (
+        ("moved", df.withColumns({"a": F.when(F.col("k") == 30, F.col("b")).otherwise(F.col("a")), "b": F.when(F.col("k") == 30, F.lit(None)).otherwise(F.col("b"))}), [(30, -1), (30, 1)]),
+        ("gone", df.filter("k <> 7 AND k <> 8"), [(7, 1), (8, 1)]), ("twice", df.unionByName(df.filter("k = 9")), [(9, -1)]), ("equal", df.repartition(5), []),
+    ):
+        index.write_with_tree(tables, name, other, ["k"])
+        rows, leaves = index.differing_rows(tables, "t", name)
+        assert sorted((r.k, r.surplus) for r in rows.collect()) == want and len(leaves) == len({k for k, _ in want})
+        found, seen = index.differing_leaves(index.tree(tables, "t"), index.tree(tables, name))
+        assert found == leaves and seen == 1 if not want else seen <= 1 + 2 * index.LEVELS * index.FAN
+    index.write_with_tree(tables, "empty", df.limit(0), ["k"])
+    assert index.differing_rows(tables, "empty", "t")[0].count() == 2000
