@@ -987,20 +987,6 @@ def html_tables(spark, d):
     return rows.withColumn("cells", F.array_join("cells", "|"))
 
 
-@query()
-def file_manifest(spark, d):
-    from quern.sources.files import file_manifest as manifest
-
-    return manifest(spark, f"{d}/*.parquet").select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "bytes", "sha256")
-
-
-@query()
-def file_formats(spark, d):
-    from quern.sources.files import classify_files
-
-    return classify_files(spark, f"{d}/*.parquet").groupBy("format").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
-
-
 # --- the flagship ---------------------------------------------------------------------------------------------------
 
 

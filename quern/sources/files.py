@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.clean import sanitize
+from quern.sources.ranges import file_ranges, read_layouts
 from quern.sources.store import LINEAGE, same_rows
 
 
@@ -27,9 +28,8 @@ def read_csv(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8"
 
 
 def read_union(spark: SparkSession, paths: list[str], **options) -> DataFrame:
-    """Files of different headers as one table of text, absent columns NULL, with _source_file."""
-    frames = [read_csv(spark, p, **options).withColumn("_source_file", F.input_file_name()) for p in paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """Files of different headers as one table of text, absent columns NULL, with _source_file; see ranges.read_layouts."""
+    return read_layouts(spark, paths, **options)
 
 
 def flatten_two_row_header(grid: DataFrame, number: str, name_row: int, unit_row: int, first_data_row: int) -> DataFrame:
@@ -44,26 +44,7 @@ def flatten_two_row_header(grid: DataFrame, number: str, name_row: int, unit_row
     return grid.filter(F.col(number) >= first_data_row).select(*cells).toDF(*(sanitize(n) for n in names))
 
 
-def _binary(spark: SparkSession, glob: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(glob)
-
-
-def list_files(spark: SparkSession, glob: str) -> DataFrame:
-    """(path, length) of the files that a glob names, of folders all files below them; also empty ones, which file scans
-    leave out. Names that begin with _ or . are left out, as scans do."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(glob)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = []
-    for hit in fs.globStatus(at) or []:
-        below = fs.listFiles(hit.getPath(), True)
-        while below.hasNext():
-            f = below.next()
-            if f.getPath().getName()[0] not in "_.":
-                found.append((f.getPath().toString(), f.getLen()))
-    return spark.createDataFrame(found, "path string, length long")
-
-
-def classify_files(spark: SparkSession, glob: str) -> DataFrame:
+def classify_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, length, format) by leading bytes: EMPTY, ZIP, OLE2, HTML, CSV or UNSUPPORTED."""
     head = F.col("head")
     text = F.lower(F.ltrim(F.regexp_replace(F.decode(head, "ISO-8859-1"), "^ï»¿", "")))
@@ -72,15 +53,12 @@ def classify_files(spark: SparkSession, glob: str) -> DataFrame:
         .when(text.startswith("<!doctype html") | text.startswith("<html") | text.startswith("<table") | text.contains("<table"), "HTML")
         .when(F.hex(head).rlike("^(..)*00"), "UNSUPPORTED").when(F.regexp_extract(text, "^[^\r\n]*", 0).rlike("[,;\t|]"), "CSV").otherwise("UNSUPPORTED")
     )
-    heads = _binary(spark, glob).select("path", F.substring("content", 1, 1024).alias("head"))
-    return list_files(spark, glob).join(heads, "path", "left").select("path", "length", kind.alias("format"))
+    return file_ranges(spark, paths).select("path", "length", kind.alias("format"))
 
 
-def file_manifest(spark: SparkSession, glob: str) -> DataFrame:
-    """(path, bytes, sha256) of every file."""
-    hashes = _binary(spark, glob).select("path", F.sha2("content", 256).alias("sha256"))
-    empty = F.when(F.col("length") == 0, F.sha2(F.lit("").cast("binary"), 256))
-    return list_files(spark, glob).join(hashes, "path", "left").select("path", F.col("length").alias("bytes"), F.coalesce("sha256", empty).alias("sha256"))
+def file_manifest(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, bytes, sha256) of every file; the digest streams through files of any size."""
+    return file_ranges(spark, paths, "digest").select("path", F.col("length").alias("bytes"), "sha256")
 
 
 def same_content(manifest: DataFrame) -> DataFrame:
@@ -162,7 +140,7 @@ class _FirstTable(HTMLParser):
         if self.cell is not None:
             if not self.rows:
                 self.rows.append([])
-            self.rows[-1] += [" ".join("".join(self.cell).split())] * min(self.span, 1000)  # a page cannot ask for more
+            self.rows[-1] += [" ".join("".join(self.cell).split())] * min(self.span, 1000)  # as the standard has it: no cell spans more
             self.cell = None
 
 
@@ -240,4 +218,4 @@ def export_mart(df: DataFrame, path: str, schema: str | None = None) -> DataFram
     back = spark.read.options(**nulls).schema(schema or df.schema).csv(path)
     if not same_rows(df, back):
         raise IOError(f"{path} does not read back as written")
-    return file_manifest(spark, f"{path}/*.csv").withColumn("rows", F.lit(df.count()))
+    return file_manifest(spark, path).withColumn("rows", F.lit(df.count()))

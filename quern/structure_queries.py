@@ -4,11 +4,13 @@ same rows."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quern.operators.quantiles import exact_quantiles
 from quern.queries import query, r, table
-from quern.sources import index
+from quern.sources import files, index, ranges
 from quern.sources import store as st
 
 # --- ranks ----------------------------------------------------------------------------------------------------------
@@ -62,3 +64,48 @@ def hash_tree_reconcile(spark, d):
         count = lambda s: F.coalesce(F.sum(F.when(s > 0, s)), F.lit(0)).cast("long")
         out.append(rows.agg(count(F.col("surplus")).alias("more"), count(-F.col("surplus")).alias("fewer")).select(F.lit(name).alias("pair"), F.lit(len(leaves)).cast("long").alias("leaves_read"), "more", "fewer"))
     return out[0].unionByName(out[1])
+
+
+# --- files ----------------------------------------------------------------------------------------------------------
+
+
+def _text_files(spark, lines, by: str) -> str:
+    """Writes (by, place, value) as one text file per value of `by`, its lines in order of place."""
+    path = f"{st.scratch_store(spark).root}/text-{uuid.uuid4().hex}"
+    lines.repartition(by).sortWithinPartitions(by, "place").select(by, "value").write.partitionBy(by).text(path)
+    return path
+
+
+@query("""SELECT strftime(o_orderdate, '%Y-%m') AS month, CAST(sum(strlen(o_orderkey || ',' || o_orderstatus) + 1) AS BIGINT) AS bytes,
+ sha256(string_agg(o_orderkey || ',' || o_orderstatus, chr(10) ORDER BY o_orderkey) || chr(10)) AS sha256, count(*) AS newlines FROM orders GROUP BY 1""")
+def file_manifest(spark, d):
+    """A text file of each month's orders: sizes and digests, and line feeds by ranges of a thousand bytes."""
+    o = table(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.col("o_orderkey").alias("place"), F.concat_ws(",", "o_orderkey", "o_orderstatus").alias("value"))
+    path = _text_files(spark, o, "month")
+    month = F.regexp_extract("path", "month=([^/]+)/", 1).alias("month")
+    parts = ranges.file_ranges(spark, path, "ranges", rangeBytes=1000).groupBy(month).agg(F.sum("newlines").alias("newlines"))
+    return files.file_manifest(spark, path).select(month, "bytes", "sha256").join(parts, "month")
+
+
+@query("""WITH o AS (SELECT year(o_orderdate) * 12 + month(o_orderdate) AS month, o_orderkey AS k FROM orders), f AS (SELECT month, ['CSV', 'HTML', 'ZIP', 'UNSUPPORTED'][CAST(month % 4 + 1 AS INTEGER)] AS format,
+ sum(strlen(CASE month % 4 WHEN 0 THEN k || ',' || k WHEN 1 THEN '<html><td>' || k WHEN 2 THEN 'PK..' || k ELSE CAST(k AS VARCHAR) END) + 1) AS bytes FROM o GROUP BY ALL)
+ SELECT format, count(*) AS files, CAST(sum(bytes) AS BIGINT) AS bytes FROM f GROUP BY 1""")
+def file_formats(spark, d):
+    """A file of each month's orders, of four formats in turn, told apart by leading bytes."""
+    month, k = F.year("o_orderdate") * 12 + F.month("o_orderdate"), F.col("o_orderkey").cast("string")
+    kinds = (F.concat_ws(",", k, k), F.concat(F.lit("<html><td>"), k), F.concat(F.lit("PK\x03\x04"), k), k)
+    o = table(spark, d, "orders").select(month.alias("month"), F.col("o_orderkey").alias("place"), F.coalesce(*(F.when(month % 4 == i, v) for i, v in enumerate(kinds))).alias("value"))
+    return files.classify_files(spark, _text_files(spark, o, "month")).groupBy("format").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS o_orderpriority,
+ CAST(3 AS BIGINT) AS layouts FROM orders""")
+def many_file_scan(spark, d):
+    """Orders in 120 files of three layouts, read as one table: one pass over the headers, one scan per layout."""
+    o = table(spark, d, "orders").withColumn("file", F.pmod(F.xxhash64("o_orderkey"), F.lit(40)))
+    paths = []
+    for i, cols in enumerate((["o_orderkey", "o_orderstatus"], ["o_orderkey", "o_orderstatus", "o_orderpriority"], ["o_orderpriority", "o_orderkey"])):
+        paths.append(f"{st.scratch_store(spark).root}/csv-{uuid.uuid4().hex}")
+        o.filter(F.col("o_orderkey") % 3 == i).select("file", *cols).repartition("file").write.option("header", True).partitionBy("file").csv(paths[-1])
+    layouts = ranges.headers(spark, paths).select("columns").distinct().count()
+    return ranges.read_layouts(spark, paths).select("o_orderkey", "o_orderstatus", "o_orderpriority", F.lit(layouts).cast("long").alias("layouts"))

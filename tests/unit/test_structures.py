@@ -87,3 +87,57 @@ def test_trees_find_what_differs(spark, tmp_path):
         assert found == leaves and seen == 1 if not want else seen <= 1 + 2 * index.LEVELS * index.FAN
     index.write_with_tree(tables, "empty", df.limit(0), ["k"])
     assert index.differing_rows(tables, "empty", "t")[0].count() == 2000
+
+
+def test_ranges_of_files(spark, tmp_path):
+    import hashlib
+
+    from quern.sources import files, ranges
+
+    folder = tmp_path / "files"
+    (folder / "sub").mkdir(parents=True)
+    content = {"a.bin": b"x\n" * 3000, "sub/b.bin": bytes(range(256)) * 9, "empty": b"", "sub/_hidden": b"no", ".also": b"no"}
+    for name, data in content.items():
+        (folder / name).write_bytes(data)
+    shown = {k: v for k, v in content.items() if "_" not in k and "." != k[0]}
+    got = {r.path.removeprefix(f"{folder}/"): (r.bytes, r.sha256) for r in files.file_manifest(spark, str(folder)).collect()}
+    assert got == {k: (len(v), hashlib.sha256(v).hexdigest()) for k, v in shown.items()}
+    parts = ranges.file_ranges(spark, f"file:{folder}", "ranges", rangeBytes=1000, taskBytes=100_000).collect()
+    assert sorted(r.start for r in parts if r.path.endswith("a.bin")) == [0, 1000, 2000, 3000, 4000, 5000] and sum(r.newlines for r in parts) == sum(v.count(b"\n") for v in shown.values())
+    assert {r.path.rsplit("/", 1)[1] for r in ranges.file_ranges(spark, f"{folder}/*/*.bin").collect()} == {"b.bin"}
+    assert {r.path.rsplit("/", 1)[1] for r in ranges.file_ranges(spark, f"{folder}/s*").collect()} == {"b.bin"}
+    assert ranges.file_ranges(spark, f"{folder}/none").count() == 0
+    big = tmp_path / "big"
+    with open(big, "wb") as f:  # a hole of over 2 GB: not held, and read in pieces
+        f.truncate((1 << 31) + 5)
+    row = ranges.file_ranges(spark, str(big)).first()
+    assert row.length == (1 << 31) + 5 and row.head == bytes(1024)
+    whole = hashlib.sha256()
+    for _ in range(2048):
+        whole.update(bytes(1 << 20))
+    whole.update(bytes(5))
+    assert files.file_manifest(spark, str(big)).first().sha256 == whole.hexdigest()
+
+
+def test_a_thousand_files_in_few_jobs(spark, tmp_path):
+    from quern.sources import ranges
+
+    heads = ['a,"b, ""quoted""\nname"', "a,c", "﻿c,d"]
+    for i in range(1000):
+        (tmp_path / f"{i}.csv").write_text(f"{heads[i % 3]}\n{i},x\n", encoding="utf-8")
+    (tmp_path / "blank.csv").write_text("")
+    spark.sparkContext.setJobGroup("layouts", "")
+    got = ranges.read_layouts(spark, str(tmp_path)).collect()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("layouts")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(got) == 1000 and len(jobs) <= 5
+    assert {c for c in got[0].asDict()} == {"a", 'b, "quoted"\nname', "c", "d", "_source_file"}
+    for r in got:
+        i = int(r._source_file.rsplit("/", 1)[1][:-4])
+        want = [{"a": str(i), heads[0][3:-1].replace('""', '"'): "x"}, {"a": str(i), "c": "x"}, {"c": str(i), "d": "x"}][i % 3]
+        assert {k: v for k, v in r.asDict().items() if v is not None and k != "_source_file"} == want
+    (tmp_path / "clash.csv").write_text("a,a\n1,2\n")
+    with pytest.raises(ValueError, match="collide"):
+        ranges.read_layouts(spark, str(tmp_path))
+    with pytest.raises(Exception, match="longer than 4 bytes"):
+        ranges.headers(spark, str(tmp_path), head=4).collect()
