@@ -8,8 +8,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from quern.operators import ledger
+from quern.operators import timeseries as ts
 from quern.operators.quantiles import exact_quantiles
-from quern.queries import query, r, table
+from quern.operators.segments import over_segments
+from quern.plans.measures import Growth, LastNonEmpty, Rank, Ratio, Sum, YearBefore, evaluate
+from quern.queries import money, query, r, table
 from quern.sources import files, index, ranges
 from quern.sources import store as st
 
@@ -109,3 +113,86 @@ def many_file_scan(spark, d):
         o.filter(F.col("o_orderkey") % 3 == i).select("file", *cols).repartition("file").write.option("header", True).partitionBy("file").csv(paths[-1])
     layouts = ranges.headers(spark, paths).select("columns").distinct().count()
     return ranges.read_layouts(spark, paths).select("o_orderkey", "o_orderstatus", "o_orderpriority", F.lit(layouts).cast("long").alias("layouts"))
+
+
+# --- series ---------------------------------------------------------------------------------------------------------
+
+
+@query("""WITH o AS (SELECT o_orderdate, o_orderkey, CAST(o_totalprice AS DECIMAL(18,4)) AS p FROM orders), l AS (SELECT *, ln(CAST(p AS DOUBLE)) - ln(CAST(lag(p) OVER w AS DOUBLE)) AS x FROM o WINDOW w AS (ORDER BY o_orderdate, o_orderkey))
+ SELECT o_orderkey, round(CASE WHEN count(p) OVER w = 12 THEN avg(CAST(p AS DOUBLE)) OVER w END, 4) AS rolling_mean_12, round(CASE WHEN count(x) OVER w = 12 THEN stddev_samp(x) OVER w * 100 END, 4) AS volatility_12 FROM l
+ WINDOW w AS (ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)""")
+def windows_of_one_series(spark, d):
+    """Mean and volatility over twelve orders of one series, all orders by date, in segments of a thousand rows."""
+    o = table(spark, d, "orders").select("o_orderdate", "o_orderkey", money("o_totalprice").alias("price"))
+    both = lambda df, by, period: ts.log_volatility(ts.rolling_mean(df, by, period, "price"), by, period, "price")
+    out = over_segments(o, [], ["o_orderdate", "o_orderkey"], 12, both, rows=1000)
+    return out.select("o_orderkey", r("rolling_mean_12", 4).alias("rolling_mean_12"), r("volatility_12", 4).alias("volatility_12"))
+
+
+# --- measures -------------------------------------------------------------------------------------------------------
+
+_FACT = """b AS (SELECT n_regionkey AS region, s_nationkey AS nation, CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_extendedprice AS DECIMAL(18,4)) AS amount, CAST(l_quantity AS DECIMAL(18,4)) AS quantity
+ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)"""
+_SETS = [(), ("region",), ("year",), ("region", "year"), ("region", "nation", "year")]
+
+
+def _fact(spark, d):
+    s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    s = s.select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_regionkey").alias("region"), F.col("s_nationkey").alias("nation"))
+    return table(spark, d, "lineitem").join(s, "l_suppkey").select("region", "nation", F.year("l_shipdate").alias("year"), money("l_extendedprice").alias("amount"), money("l_quantity").alias("quantity"))
+
+
+@query(f"""WITH {_FACT}, g AS (SELECT concat_ws(',', CASE WHEN grouping(region) = 0 THEN 'region' END, CASE WHEN grouping(nation) = 0 THEN 'nation' END, CASE WHEN grouping(year) = 0 THEN 'year' END) AS scope, region, nation, year,
+ sum(amount) AS amount, sum(quantity) AS quantity FROM b GROUP BY GROUPING SETS ((), (region), (year), (region, year), (region, nation, year))),
+ l AS (SELECT scope, region, nation, year, CASE WHEN scope IN ('', 'region') THEN (SELECT arg_max(h.amount, h.year) FROM g h WHERE h.scope = CASE g.scope WHEN '' THEN 'year' ELSE 'region,year' END AND h.region IS NOT DISTINCT FROM g.region) ELSE amount END AS last_amount, amount, quantity FROM g)
+ SELECT l.scope, l.region, l.nation, l.year, CAST(l.amount AS DOUBLE) AS amount, round(1000 * CAST(l.amount AS DOUBLE) / CAST(l.quantity AS DOUBLE), 6) AS unit_value, CAST(l.last_amount AS DOUBLE) AS last_amount, CAST(p.amount AS DOUBLE) AS year_before,
+ round((CAST(l.amount AS DOUBLE) / CAST(p.amount AS DOUBLE) - 1) * 100, 6) AS growth_pct, CAST(dense_rank() OVER (PARTITION BY l.scope, l.year ORDER BY l.amount DESC) AS INTEGER) AS rank_in_year
+ FROM l LEFT JOIN g p ON p.scope = l.scope AND p.region IS NOT DISTINCT FROM l.region AND p.nation IS NOT DISTINCT FROM l.nation AND p.year = l.year - 1""")
+def measures_in_context(spark, d):
+    """Four groups of measures over subtotals: sums and weighted ratios, the last value, the year before, ranks."""
+    amount = Sum("amount")
+    measures = {"amount": amount, "unit_value": Ratio(amount, Sum("quantity"), 1000), "last_amount": LastNonEmpty("amount"), "year_before": YearBefore(amount), "growth_pct": Growth(amount), "rank_in_year": Rank(amount, ("year",))}
+    out = evaluate(_fact(spark, d), measures, _SETS, ["region", "nation", "year"], "year")
+    return out.withColumns({c: F.col(c).cast("double") for c in ("amount", "last_amount", "year_before")} | {c: r(c) for c in ("unit_value", "growth_pct")})
+
+
+@query("""SELECT 'quantity' AS measure, 'refused' AS over_products, CAST(sum(l_quantity) AS DOUBLE) AS by_product FROM lineitem""")
+def additivity_of_measures(spark, d):
+    """A sum that mixes products is refused, before anything is read; by product it is given."""
+    li = table(spark, d, "lineitem").select("l_partkey", F.year("l_shipdate").alias("year"), money("l_quantity").alias("q"))
+    quantity = {"quantity": Sum("q", never_over=("l_partkey",))}
+    try:
+        evaluate(li, quantity, [("year",)], ["l_partkey", "year"], "year")
+        outcome = "given"
+    except ValueError as error:
+        outcome = "refused" if "l_partkey" in str(error) else str(error)
+    out = evaluate(li, quantity, [("l_partkey",)], ["l_partkey", "year"], "year")
+    return out.agg(F.lit("quantity").alias("measure"), F.lit(outcome).alias("over_products"), F.sum("quantity").cast("double").alias("by_product"))
+
+
+# --- intervals and the ledger of sources ----------------------------------------------------------------------------
+
+
+@query("""WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS a, round(l_extendedprice / l_quantity, 2) AS u, l_quantity AS q FROM lineitem),
+ c AS (SELECT count(*) AS n, count(*) FILTER (abs(a - u * q) > q * 0.005 + abs(u) * 0.5 + 0.0025 + 0.0005 + 1e-6) AS o FROM l), k AS (SELECT count(*) AS n FROM (SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem GROUP BY ALL HAVING count(*) > 1)),
+ s AS (SELECT o_orderkey, o_totalprice AS t, round(o_totalprice) AS w FROM orders)
+ SELECT 'amount = quantity * price' AS relation, CASE WHEN k.n = 0 THEN 'DIAGNOSTIC' ELSE 'INCOMPATIBLE' END AS status, CASE WHEN k.n = 0 THEN c.n ELSE 0 END AS matched, CASE WHEN k.n = 0 THEN c.o END AS outside, CASE WHEN k.n > 0 THEN 'not compared' WHEN c.o = 0 THEN 'agrees within its digits' ELSE 'differs beyond its digits' END AS finding FROM c, k
+ UNION ALL SELECT 'orders = orders in whole units', 'DIAGNOSTIC', count(*), 0, 'agrees within its digits' FROM s
+ UNION ALL SELECT 'orders = orders with a tenth more', 'DIAGNOSTIC', count(*), count(*) FILTER (abs(t * 0.1) > 0.01 + 1e-9), CASE WHEN count(*) FILTER (abs(t * 0.1) > 0.01 + 1e-9) = 0 THEN 'agrees within its digits' ELSE 'differs beyond its digits' END FROM s
+ UNION ALL SELECT 'orders = customers', 'INCOMPATIBLE', 0, NULL, 'not compared' UNION ALL SELECT 'orders = quotes', 'PENDING_PERIOD_REVIEW', 0, NULL, 'not compared'""")
+def cross_source_ledger(spark, d):
+    """Sources compared within the digits that they give: a product of rounded numbers, totals in whole units, totals
+    that differ, a key that is not unique, and a pair that waits for a review."""
+    two = lambda c: F.col(c).cast("decimal(18,2)").cast("string")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("decimal(18,0)").cast("string").alias("quantity"), F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).cast("decimal(18,2)").cast("string").alias("price"), F.col("l_extendedprice").cast("decimal(18,3)").cast("string").alias("amount"))
+    o = table(spark, d, "orders")
+    exact = o.select("o_orderkey", "o_custkey", two("o_totalprice").alias("total"))
+    whole = o.select("o_orderkey", F.round("o_totalprice").cast("decimal(18,0)").cast("string").alias("total"))
+    more = o.select("o_orderkey", (F.col("o_totalprice").cast("decimal(18,2)") * F.lit("1.1").cast("decimal(2,1)")).cast("decimal(18,2)").cast("string").alias("total"))
+    out = ledger.cross_source_ledger(
+        ledger.product_identity("amount = quantity * price", li, ["l_orderkey", "l_linenumber", "l_partkey"], ("quantity", "price"), "amount"),
+        ledger.equal_values("orders = orders in whole units", exact, whole, ["o_orderkey"], "total"), ledger.equal_values("orders = orders with a tenth more", exact, more, ["o_orderkey"], "total"),
+        ledger.equal_values("orders = customers", exact, table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.lit("1").alias("total")), ["o_custkey"], "total"),
+        ledger.not_comparable(spark, "orders = quotes", "quotes are by month", "PENDING_PERIOD_REVIEW"),
+    )
+    return out.select("relation", "status", "matched", "outside", "finding")

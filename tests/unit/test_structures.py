@@ -141,3 +141,80 @@ def test_a_thousand_files_in_few_jobs(spark, tmp_path):
         ranges.read_layouts(spark, str(tmp_path))
     with pytest.raises(Exception, match="longer than 4 bytes"):
         ranges.headers(spark, str(tmp_path), head=4).collect()
+
+
+def test_segments_equal_whole_series(spark):
+    from pyspark.sql import Window
+
+    from quern.operators import segments
+
+    rng = random.Random(5)
+    rows = [(g, i, rng.random() * 10 if rng.random() > 0.1 else None) for g, n in (("a", 1000), ("b", 7), (None, 60), ("c", 1)) for i in range(n)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, at int, v double").repartition(5)
+    w = Window.partitionBy("g").orderBy("at").rowsBetween(-4, 0)
+    whole = {(r.g, r.at): (r.s, r.n) for r in df.select("g", "at", F.sum("v").over(w).alias("s"), F.count("v").over(w).alias("n")).collect()}
+
+    def compute(part, by, period):
+        own = Window.partitionBy(*by).orderBy(period).rowsBetween(-4, 0)
+        return part.withColumns({"s": F.sum("v").over(own), "n": F.count("v").over(own)})
+
+    for size in (4, 16, 100, 5000):
+        got = segments.over_segments(df, ["g"], ["at"], 4, compute, size)
+        assert got.columns == ["g", "at", "v", "s", "n"]
+        assert {(r.g, r.at): (r.s, r.n) for r in got.collect()} == whole
+    cut_ = segments.in_segments(df, ["g"], ["at"], 4, 16)
+    assert max(r["count"] for r in cut_.groupBy("g", "_segment").count().collect()) <= 20
+    with pytest.raises(ValueError):
+        segments.in_segments(df, ["g"], ["at"], 5, 4)
+    assert segments.over_segments(df.limit(0), [], ["at"], 2, lambda p, by, at: p, 10).count() == 0
+
+
+def test_measures_and_their_rules(spark):
+    from quern.plans.measures import Count, Growth, LastNonEmpty, Rank, Ratio, Sum, YearBefore, evaluate
+
+    rows = [("x", "p", 2000, 10.0, 2.0), ("x", "p", 2001, None, 1.0), ("x", "q", 2000, 5.0, 0.0), ("y", "p", 2000, 1.0, 1.0), ("y", "p", 2001, 4.0, 1.0), (None, "q", 2001, 7.0, None)]
+    df = spark.createDataFrame(rows, "g string, item string, year int, v double, w double")
+    measures = {"v": Sum("v"), "n": Count("v"), "last": LastNonEmpty("v"), "ratio": Ratio(Sum("v"), Sum("w"), 10), "before": YearBefore(Sum("v")), "growth": Growth(LastNonEmpty("v")), "rank": Rank(Sum("v"), ("year",))}
+    got = {(r.scope, r.g, r.item, r.year): tuple(r)[4:] for r in evaluate(df, measures, [(), ("g",), ("year", "g")], ["g", "item", "year"], "year").collect()}
+    assert got == {
+        ("", None, None, None): (27.0, 5, 11.0, 54.0, None, None, 1),
+        ("g", "x", None, None): (15.0, 2, 15.0, 50.0, None, None, 1), ("g", "y", None, None): (5.0, 2, 4.0, 25.0, None, None, 3), ("g", None, None, None): (7.0, 1, 7.0, None, None, None, 2),
+        ("g,year", "x", None, 2000): (15.0, 2, 15.0, 75.0, None, None, 1), ("g,year", "x", None, 2001): (None, 0, None, None, 15.0, None, None),
+        ("g,year", "y", None, 2000): (1.0, 1, 1.0, 10.0, None, None, 2), ("g,year", "y", None, 2001): (4.0, 1, 4.0, 40.0, 1.0, 300.0, 2), ("g,year", None, None, 2001): (7.0, 1, 7.0, None, None, None, 1),
+    }
+    level = {"stock": LastNonEmpty("v", never_over=("item", "year"))}
+    with pytest.raises(ValueError, match="stock must not be summed over item"):
+        evaluate(df, level, [("g",)], ["g", "item", "year"], "year")
+    assert evaluate(df, level, [("g", "item")], ["g", "item", "year"], "year").count() == 4  # a level goes by its last year
+    with pytest.raises(ValueError, match="summed over year"):
+        evaluate(df, {"v": Sum("v", ("year",))}, [("g", "year"), ("g",)], ["g", "item", "year"], "year")
+    with pytest.raises(ValueError, match="unknown"):
+        evaluate(df, {"v": Sum("v")}, [("z",)], ["g", "item", "year"], "year")
+
+
+def test_intervals_and_ledger(spark):
+    from quern.functions import intervals as iv
+    from quern.operators import ledger
+
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    near = lambda x, low, high: x is not None and abs(x.low - low) < 1e-9 and abs(x.high - high) < 1e-9
+    text = lambda s: iv.interval(F.lit(s))
+    assert near(one(text("1.20")), 1.195, 1.205) and near(one(text(" -7 ")), -7.5, -6.5) and one(text("1e3")).low is None and one(text("")).high is None
+    assert near(one(iv.plus(text("1"), text("2.0"))), 2.45, 3.55) and near(one(iv.minus(text("1"), text("2.0"))), -1.55, -0.45)
+    assert near(one(iv.times(text("-1"), text("2"))), -3.75, -0.75) and near(one(iv.hull(text("1"), text("4"))), 0.5, 4.5)
+    assert one(iv.meets(text("1.2"), text("1.3"))) and not one(iv.meets(text("1.2"), text("1.31"))) and one(iv.times(text("x"), text("2"))).low is None and one(iv.hull(text("x"), text("2"))).low is None and near(one(iv.scaled(text("1"), -2)), -3, -1)
+    assert abs(one(iv.distance(text("1.0"), text("2.0"))) - 0.9) < 1e-9
+    left = spark.createDataFrame([(1, "2.0"), (2, "5"), (3, None), (4, "9.99")], "k int, v string")
+    right = spark.createDataFrame([(1, "2.04"), (2, "6.5"), (3, "1"), (5, "1")], "k int, v string")
+    parts = spark.createDataFrame([(1, "1.0"), (1, "1.0"), (2, "2.0"), (2, "2.5"), (4, "9")], "k int, v string")
+    rows = ledger.cross_source_ledger(
+        ledger.equal_values("a", left, right, ["k"], "v"), ledger.equal_values("b", left, right.union(right), ["k"], "v"), ledger.parts_and_total("c", parts, left, ["k"], "v", 2),
+        ledger.equal_values("d", left, right.limit(0), ["k"], "v", "VERIFIED_ENCODING"),
+    ).collect()
+    assert [(r.relation, r.status, r.matched, r.outside, r.finding) for r in rows] == [
+        ("a", "DIAGNOSTIC", 2, 1, "differs beyond its digits"), ("b", "INCOMPATIBLE", 0, None, "not compared"), ("c", "DIAGNOSTIC", 2, 0, "agrees within its digits"), ("d", "VERIFIED_ENCODING", 0, 0, "nothing matched"),
+    ]
+    assert abs(rows[0].max_distance - 0.95) < 1e-9
+    with pytest.raises(ValueError):
+        ledger.equal_values("e", left, right, ["k"], "v", "FINE")
