@@ -17,8 +17,9 @@ def _entry(name: str, matched: DataFrame, repeated: DataFrame, one: Column, two:
     """matched: pairs of observations; repeated: one row with the number of keys that are not unique (_bad)."""
     if status not in STATUSES:
         raise ValueError(f"status must be one of {STATUSES}")
-    both = matched.select(one.alias("_one"), two.alias("_two")).filter("_one.low IS NOT NULL AND _two.low IS NOT NULL")
-    a, b = F.col("_one"), F.col("_two")
+    # plain columns, which are computed once however often they are used
+    both = matched.select(one["low"].alias("a0"), one["high"].alias("a1"), two["low"].alias("b0"), two["high"].alias("b1")).filter("a0 IS NOT NULL AND b0 IS NOT NULL")
+    a, b = ({"low": F.col(f"{c}0"), "high": F.col(f"{c}1")} for c in "ab")
     row = both.agg(F.count("*").alias("n"), F.count_if(~intervals.meets(a, b)).alias("out"), F.max(intervals.distance(a, b)).alias("far")).join(repeated, F.lit(True))  # one row each
     bad = F.col("_bad") > 0
     return row.select(
