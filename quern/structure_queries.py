@@ -8,12 +8,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from quern.operators import ledger
+from quern.operators import ledger, quality
 from quern.operators import timeseries as ts
 from quern.operators.quantiles import exact_quantiles
-from quern.operators.segments import over_segments
+from quern.operators.joins import fk_orphans
+from quern.operators.segments import numbered, over_segments
+from quern.plans import facts, marts
 from quern.plans.measures import Growth, LastNonEmpty, Rank, Ratio, Sum, YearBefore, evaluate
-from quern.queries import money, query, r, table
+from quern.queries import NATION, money, nation_year, query, r, table
 from quern.sources import files, index, ranges
 from quern.sources import store as st
 
@@ -196,3 +198,91 @@ def cross_source_ledger(spark, d):
         ledger.not_comparable(spark, "orders = quotes", "quotes are by month", "PENDING_PERIOD_REVIEW"),
     )
     return out.select("relation", "status", "matched", "outside", "finding")
+
+
+# --- the star as bound tables ---------------------------------------------------------------------------------------
+
+
+def _nations(spark, d, role: str):
+    n = table(spark, d, "nation")
+    label = F.col("n_name") if role == "reporter" else F.lower("n_name")
+    return n.select(F.lit("tpch").alias("namespace"), F.lit("nation").alias("scope"), F.col("n_nationkey").cast("string").alias("identity"), F.lit(role).alias("role"), label.alias("label"))
+
+
+@query("""SELECT 'tpch' AS namespace, 'nation' AS scope, CAST(n_nationkey AS VARCHAR) AS identity, 'tpch_nation_' || n_nationkey || '_' || left(sha256('["K1","geography",["tpch","nation","' || n_nationkey || '"]]'), 6) AS longer, '[{"role":"partner","label":"' || lower(n_name) || '"},{"role":"reporter","label":"' || n_name || '"}]' AS labels_json, true AS found FROM nation
+ UNION ALL SELECT '__technical__', 'not_geographic', 'not_applicable', 'not_geographic', '[{"role":"technical","label":"not_applicable"}]', true""")
+def geography_dim(spark, d):
+    """Nations as reporters and partners, each role with labels of its own, and the member for what is none."""
+    dim = facts.geography_dim(spark, [_nations(spark, d, "reporter"), _nations(spark, d, "partner")])
+    digest = F.sha2(F.concat(F.lit('["K1","geography",["tpch","nation","'), "identity", F.lit('"]]')).cast("binary"), 256)
+    longer = F.when(F.col("namespace") == "tpch", F.concat_ws("_", "namespace", "scope", "identity", F.substring(digest, 1, 6))).otherwise(F.col("geography_key"))
+    # a key of clean parts is the parts themselves; others end in their digest
+    found = F.col("geography_key").isin("not_geographic") | F.col("geography_key").eqNullSafe(F.concat_ws("_", "namespace", "scope", "identity"))
+    return dim.select("namespace", "scope", "identity", longer.alias("longer"), "labels_json", found.alias("found"))
+
+
+_SOURCE = """s AS (SELECT l_shipdate AS day, p_type AS product, l_returnflag AS kind, l_linestatus AS measure, s_nationkey AS reporter, CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS partner, o_orderpriority AS season, CAST(l_extendedprice AS DECIMAL(18,2)) AS v,
+ year(l_shipdate) AS y, month(l_shipdate) AS m, year(o_orderdate) AS oy FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey)"""
+
+
+@query("WITH " + _SOURCE + ", f AS (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS fact, count(*) AS n, count(DISTINCT ({cells})) AS cells, CAST(sum(v) AS DOUBLE) AS total FROM s" for name, cells in (
+        ("production", "y, reporter, product, kind"), ("supply_use", "y, reporter, product, kind"), ("trade", "y, reporter, coalesce(partner, -1), product, kind"), ("balance", "reporter, product, kind, y, oy"),
+        ("national_statistics", "y, reporter, measure, season"), ("price_month", "y, m, product, measure"), ("price_day", "day, product, measure"), ("price_year", "y, product, measure"), ("price_reference", "product, measure, y, m"),
+    )
+) + ") SELECT *, CAST(0 AS BIGINT) AS orphans FROM f")
+def nine_facts(spark, d):
+    """The nine facts over lines, orders, customers, suppliers and parts: rows, different cells (keys and direct columns),
+    totals, and geography keys that the dimension lacks. Partners without a good account have no geography."""
+    li, o, c = table(spark, d, "lineitem"), table(spark, d, "orders"), table(spark, d, "customer")
+    s, p = table(spark, d, "supplier").select("s_suppkey", "s_nationkey"), table(spark, d, "part").select("p_partkey", "p_type")
+    rows = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(c, F.col("o_custkey") == F.col("c_custkey")).join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(p, F.col("l_partkey") == F.col("p_partkey"))
+    nation = F.col("s_nationkey").cast("string")
+    source = rows.select(
+        F.col("l_shipdate").alias("day"), F.col("p_type").alias("product"), F.col("l_returnflag").alias("kind"), F.col("l_linestatus").alias("measure"), nation.alias("reporter"), nation.alias("geography"), F.when(F.col("c_acctbal") >= 0, F.col("c_nationkey").cast("string")).alias("partner"),
+        F.col("o_orderpriority").alias("season"), F.lit("t").alias("unit"), F.year("l_shipdate").alias("market_year"), F.year("o_orderdate").alias("crop_year"), F.year("l_shipdate").alias("reference_year"), F.month("l_shipdate").cast("string").alias("reference_period"), F.col("l_extendedprice").cast("decimal(18,2)").alias("value"),
+    )
+    source = st.scratch_table(source, "source")
+    dim = facts.geography_dim(spark, [_nations(spark, d, "reporter")])
+    out = None
+    for shape in facts.SHAPES:
+        fact = facts.bind_fact(source, shape, "tpch", "nation")
+        spec = facts.shape_spec(shape)
+        cells = fact.groupBy(*(x for x in fact.columns if x != "value")).agg(F.count("*").alias("n"), F.sum("value").alias("v"))  # a row per cell
+        one = cells.agg(F.lit(shape.name).alias("fact"), F.sum("n").alias("n"), F.count("*").alias("cells"), F.sum("v").cast("double").alias("total"))
+        for key, (_, name) in spec.fks.items():
+            lost = fk_orphans(fact, key, dim, name).agg(F.count("*").alias(f"_{key}"))
+            one = one.join(lost, F.lit(True))  # one row each
+        one = one.withColumn("orphans", sum((F.col(f"_{k}") for k in spec.fks), F.lit(0).cast("long"))).drop(*(f"_{k}" for k in spec.fks))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# --- order, series and dead letters as checked properties -----------------------------------------------------------
+
+
+@query(f"WITH {NATION} SELECT nation, year, metric, CAST(row_number() OVER (ORDER BY metric, year, nation) - 1 AS BIGINT) AS row_no FROM ny")
+def ordered_report(spark, d):
+    """The rows of a report with their numbers in its order."""
+    return numbered(nation_year(spark, d), ["metric", "year", "nation"]).select("nation", "year", "metric", "row_no")
+
+
+@query("""WITH q AS (SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events) SELECT 'grain' AS "check", CAST(0 AS BIGINT) AS violations UNION ALL SELECT 'gap:gap_days', 0 UNION ALL SELECT 'gap:bad_gap', count(*) FILTER (user_id % 5 = 0) FROM q""")
+def gap_verifier(spark, d):
+    """Days since a series' last observation confirm themselves; a copy that is wrong for every fifth user does not."""
+    e = table(spark, d, "events").select("user_id", "event_type", F.to_date("ts").alias("day")).distinct()
+    mart = ts.observation_gap(e, ["user_id", "event_type"], "day")
+    mart = mart.withColumn("bad_gap", F.when(F.col("user_id") % 5 == 0, F.coalesce("gap_days", F.lit(0)) + 1).otherwise(F.col("gap_days")))
+    return marts.verify_mart(mart, ["user_id", "event_type", "day"], series={c: ("gap", ["user_id", "event_type"], "day", "day") for c in ("gap_days", "bad_gap")})
+
+
+@query("""SELECT sha256('orders' || chr(31) || '{"o_orderkey":"' || o_orderkey || '","o_orderstatus":"' || o_orderstatus || '"}') AS id, sha256('{"o_orderkey":"' || o_orderkey || '"}') AS key_hash,
+ CASE WHEN o_orderkey % 2 = 0 THEN 'run-1' ELSE 'run-2' END AS run_id, CASE WHEN o_orderkey % 2 = 0 THEN '2024-01-01' ELSE '2024-01-02' END AS detected, 1 AS errors, CAST(0 AS BIGINT) AS mismatches FROM orders WHERE o_orderstatus = 'F'""")
+def quarantine_replay(spark, d):
+    """Dead letters of half the orders, then of all: known ids keep their first run and time, and no id stands for two
+    payloads."""
+    o = table(spark, d, "orders").withColumn("dq_errors", F.when(F.col("o_orderstatus") == "F", F.array(F.lit("closed"))).otherwise(F.array().cast("array<string>")))
+    made = [quality.route_quarantine(o.filter(rows), "orders", run, ["o_orderkey"], ["o_orderkey", "o_orderstatus"], F.lit(day).cast("timestamp")) for rows, run, day in (("o_orderkey % 2 = 0", "run-1", "2024-01-01"), ("true", "run-2", "2024-01-02"))]
+    wrong = quality.quarantine_mismatch(*made).agg(F.count("*").alias("mismatches"))
+    merged = quality.merge_quarantine(*made).join(wrong, F.lit(True))  # one row
+    return merged.select("id", "key_hash", "run_id", F.date_format("detected_at", "yyyy-MM-dd").alias("detected"), F.size("errors").alias("errors"), "mismatches")
