@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from quern.llm.shared import slices
 
-#: Words whose ids a Python worker keeps, and their longest; beyond that it starts its memory anew (results don't
-#: depend on it).
-KEPT_WORDS = 200_000
+#: Words whose ids a Python worker keeps, pairs of tokens that it knows to fit or not, and the longest word kept; beyond
+#: that it starts its memory anew (results don't depend on it).
+KEPT_WORDS = 80_000
+KEPT_PAIRS = 500_000
 KEPT_CHARS = 200
 #: Python's white space that the pattern's \\s does not count.
 _ODD_SPACE = regex.compile("[\\x1c-\\x1f]")
@@ -125,7 +126,7 @@ class Bpe:
                 limit = (rb, 1)
                 b = self.parts[b][0]
         if below == 1 << 60:
-            if len(self.fits) > 4_000_000:
+            if len(self.fits) > KEPT_PAIRS:
                 self.fits.clear()
             self.fits[key] = ok
         return ok
