@@ -18,7 +18,7 @@ from quern.llm.shared import slices
 
 #: Words whose ids a Python worker keeps, pairs of tokens that it knows to fit or not, and the longest word kept; beyond
 #: that it starts its memory anew (results don't depend on it).
-KEPT_WORDS = 80_000
+KEPT_WORDS = 200_000
 KEPT_PAIRS = 500_000
 KEPT_CHARS = 200
 #: Python's white space that the pattern's \\s does not count.
@@ -85,6 +85,7 @@ class Bpe:
             if parts is None and len(form) == 1 or parts is not None and self.compatible(*parts, below=self.rank[i]):
                 self.automaton.add_word(form, (i, len(form)))
         self.automaton.make_automaton()
+        self.kept = KEPT_WORDS
         self.known: dict[str, tuple[str, str, int]] = {}
         self.chunks: dict[str, tuple[str, str, int]] = {}
 
@@ -159,7 +160,7 @@ class Bpe:
         ids = self.encode_word(word)
         made = (" ".join(map(str, ids)), " ".join([self.token[i] for i in ids]), len(ids))
         if len(word) <= KEPT_CHARS:
-            if len(self.known) >= KEPT_WORDS:
+            if len(self.known) >= self.kept:
                 self.known.clear()
             self.known[word] = made
         return made
@@ -203,7 +204,7 @@ class Bpe:
         words = [self.known.get(w) or self._word(w) for w in self.words(chunk)]
         made = (" ".join([w[0] for w in words]), " ".join([w[1] for w in words]), sum([w[2] for w in words]))
         if len(chunk) <= KEPT_CHARS:
-            if len(self.chunks) >= KEPT_WORDS:
+            if len(self.chunks) >= self.kept:
                 self.chunks.clear()
             self.chunks[chunk] = made
         return made
@@ -224,8 +225,10 @@ class Bpe:
 
 
 @lru_cache(maxsize=2)
-def _loaded(spec: str) -> Bpe:
-    return Bpe(spec)
+def _loaded(spec: str, kept: int = KEPT_WORDS) -> Bpe:
+    made = Bpe(spec)
+    made.kept = kept
+    return made
 
 
 def _spec(docs: DataFrame, vocabulary: str):
@@ -247,14 +250,15 @@ def encode_ids(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
-def encode_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", kept_words: int = KEPT_WORDS) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) for every row, repeated ones and null ids included.
 
-    Null and empty texts have no ids: n_tokens 0 and the digest of the empty string. Other columns are ignored."""
+    Null and empty texts have no ids: n_tokens 0 and the digest of the empty string. Other columns are ignored.
+    kept_words: what a worker remembers; fewer take less memory and more time, and give the same results."""
     spec = _spec(docs, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(spec.value)
+        bpe = _loaded(spec.value, kept_words)
         for batch in slices(batches):
             made = [bpe.digest(t or "") for t in batch.column(1).to_pylist()]
             n, ids, decoded = zip(*made) if made else ((), (), ())
