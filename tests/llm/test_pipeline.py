@@ -71,7 +71,7 @@ def test_empty_tables(spark, tmp_path):
 def test_registered():
     names = list(__spark_entry__.queries())
     assert [n for n in names if n.startswith("op")] == sorted((n for n in names if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
-    assert sum(n.startswith("op") for n in names) == 10 and "pipeline" in names
+    assert sum(n.startswith("op") for n in names) == 13 and "pipeline" in names
 
 
 def test_top_k_against_sql(spark):
@@ -87,7 +87,7 @@ def test_every_query_gives_a_row_per_document(spark):
 
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    for name in ("op2_language_id", "op3_simhash_near_dedup", "op4_secret_scan", "op5_class_lm_score", "op7_suffix_dedup", "op9_bpe_encode_decode"):
+    for name in ("op2_language_id", "op3_simhash_near_dedup", "op4_secret_scan", "op5_class_lm_score", "op7_suffix_dedup", "op9_bpe_encode_decode", "op12_periodic_runs", "op13_token_alignment"):
         got = queries.QUERIES[name](spark, folder).select("doc_id")
         assert got.exceptAll(docs.select("doc_id")).isEmpty() and docs.select("doc_id").exceptAll(got).isEmpty(), name
     held = queries.op2_language_id(spark, folder).filter("held_out").join(docs, "doc_id").filter("lang is not null")
