@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quern.operators.aggregates import duplicates
 from quern.operators.match import join_back
 from quern.operators.quantiles import exact_quantiles
+from quern.operators.sets import CHUNK, set_chunks
 from quern.sources.store import scratch_table
 
 NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -120,6 +121,11 @@ def layout_groups(headers: DataFrame, file: str, columns: str) -> DataFrame:
     return headers.groupBy(key.alias("fingerprint")).agg(F.sort_array(F.collect_set(file)).alias("files"), F.first(columns).alias("columns"))
 
 
+def layout_chunks(headers: DataFrame, file: str, columns: str, size: int = CHUNK) -> DataFrame:
+    """(fingerprint, chunk, n, items, digest): the same for layouts that any number of files have, their names in chunks."""
+    return set_chunks(headers.withColumn("_fingerprint", F.sha2(F.to_json(columns), 256)), ["_fingerprint"], file, size).withColumnRenamed("_fingerprint", "fingerprint")
+
+
 def issue(df: DataFrame, dataset: str, field: str, name: str, example: str, handling: str) -> DataFrame:
     """One ledger row for the rows of df, or none if it has none: count, and the least and the greatest example."""
     e = F.col(example).cast("string")

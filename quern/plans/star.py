@@ -12,6 +12,7 @@ from quern.functions.keys import spark_key
 from quern.operators.aggregates import duplicates, label_sets
 from quern.operators.match import join_back
 from quern.operators.joins import attribution_mismatch, fk_orphans, multiset_diff
+from quern.operators.sets import CHUNK, set_chunks
 
 #: Which sums a metric allows. Fixed values.
 ADDITIVITY = ("AREA_OR_FLOW_NONOVERLAP", "NEVER_SUM", "NO_SUM_OVER_TIME", "NO_SUM_WITH_COMPONENTS", "SIGNED_FLOW", "MY_FLOW", "TY_FLOW", "TY_SUBSET")
@@ -56,6 +57,13 @@ def identity_dim(parts: list[DataFrame], domain: str, natural: list[str], label:
     return ids.select(spark_key(domain, *(F.col(c) for c in natural)).alias(key), *natural, F.coalesce("labels_json", F.lit("[]")).alias("labels_json"))
 
 
+def identity_labels(parts: list[DataFrame], domain: str, natural: list[str], label: str, key: str, size: int = CHUNK) -> DataFrame:
+    """(key, natural, chunk, n, items, digest): the labels beside a dimension whose identities may have any number of
+    them; `key` is the dimension's own."""
+    rows = reduce(DataFrame.unionByName, (p.select(*natural, label) for p in parts))
+    return set_chunks(rows, natural, label, size).select(spark_key(domain, *(F.col(c) for c in natural)).alias(key), *natural, "chunk", "n", "items", "digest")
+
+
 def technical_member(spark: SparkSession, dim: DataFrame, values: dict) -> DataFrame:
     """dim with one more row for what has no identity; columns not named are NULL."""
     row = spark.range(1).select(*(F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in dim.schema))

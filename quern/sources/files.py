@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions.clean import sanitize
+from quern.operators.sets import CHUNK, shared_members
 from quern.sources.ranges import file_ranges, read_layouts
 from quern.sources.store import LINEAGE, same_rows
 
@@ -66,6 +67,11 @@ def same_content(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("sha256").agg(F.count("*").alias("files"), F.sort_array(F.collect_set("path")).alias("paths")).filter("files > 1")
 
 
+def same_content_chunks(manifest: DataFrame, size: int = CHUNK) -> DataFrame:
+    """(sha256, chunk, n, items, digest): the same for contents that any number of files have, their paths in chunks."""
+    return shared_members(manifest, ["sha256"], "path", size)
+
+
 def check_readiness(manifest: DataFrame, sources: DataFrame) -> DataFrame:
     """Per source (source_id, pattern, min_bytes): files, bytes, and ready if there are files, none empty, enough bytes."""
     hit = sources.join(manifest, F.rlike(manifest["path"], sources["pattern"]), "left")

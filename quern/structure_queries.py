@@ -8,14 +8,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from quern.operators import ledger, quality
+from quern.operators import ledger, profile, quality, sets
 from quern.operators import timeseries as ts
 from quern.operators.quantiles import exact_quantiles
 from quern.operators.joins import fk_orphans
 from quern.operators.segments import numbered, over_segments
-from quern.plans import facts, marts
+from quern.plans import facts, marts, star
 from quern.plans.measures import Growth, LastNonEmpty, Rank, Ratio, Sum, YearBefore, evaluate
-from quern.queries import NATION, money, nation_year, query, r, table
+from quern.queries import _KEY, NATION, money, nation_year, query, r, table
 from quern.sources import files, index, ranges
 from quern.sources import store as st
 
@@ -258,6 +258,52 @@ def nine_facts(spark, d):
     return out
 
 
+# --- sets of any size -----------------------------------------------------------------------------------------------
+
+_NET = "string_agg(strlen({0}) || ':' || {0}, '' ORDER BY {0})"
+
+
+def _chunk_sql(members: str, by: str, size: int) -> str:
+    """CTEs m, p and c: members (by, item), their chunks' numbers, and the chunks."""
+    return f"""m AS (SELECT DISTINCT * FROM ({members}) WHERE item IS NOT NULL), p AS (SELECT *, (row_number() OVER (PARTITION BY {by} ORDER BY item) - 1) // {size} AS chunk FROM m),
+ c AS (SELECT {by}, chunk, count(*) AS n, min(item) AS first_item, max(item) AS last_item, sha256({_NET.format("item")}) AS digest FROM p GROUP BY {by}, chunk)"""
+
+
+@query(f"""WITH RECURSIVE {_chunk_sql("SELECT 'all' AS scope, p_name AS item FROM part UNION ALL SELECT p_brand, p_name FROM part", "scope", 64)},
+ l AS (SELECT 0 AS level, scope, chunk AS place, n, 1 AS chunks, digest FROM c
+  UNION ALL SELECT level + 1, scope, place // 64, sum(n), sum(chunks), CASE WHEN count(*) = 1 THEN min(digest) ELSE sha256('+' || string_agg('64:' || digest, '' ORDER BY place)) END FROM l WHERE level < 6 GROUP BY level, scope, place // 64)
+ SELECT scope, CAST(n AS BIGINT) AS n, CAST(chunks AS BIGINT) AS chunks, digest FROM l WHERE level = 6""")
+def set_digests(spark, d):
+    """The names of all parts as one set, and of each brand's: how many, in how many chunks of 64, and the set's digest."""
+    p = table(spark, d, "part")
+    rows = p.select(F.lit("all").alias("scope"), "p_name").unionByName(p.select(F.col("p_brand").alias("scope"), "p_name"))
+    return sets.set_digests(sets.set_chunks(rows, ["scope"], "p_name", 64), ["scope"], 64)
+
+
+@query(f"""WITH {_chunk_sql("SELECT p_brand, p_name AS item FROM part", "p_brand", 16)} SELECT {_KEY.format("p_brand", "brand")} AS brand_key, p_brand, chunk, n, first_item, last_item, digest FROM c""")
+def label_chunks(spark, d):
+    """The names of each brand's parts beside the brand's dimension, 16 to a row."""
+    p = table(spark, d, "part")
+    out = star.identity_labels([p.filter("p_size < 20"), p.filter("p_size >= 20")], "brand", ["p_brand"], "p_name", "brand_key", 16)
+    return out.select("brand_key", "p_brand", "chunk", "n", F.col("items")[0].alias("first_item"), F.element_at("items", -1).alias("last_item"), "digest")
+
+
+@query(f"""WITH {_chunk_sql("SELECT 'c' || o_custkey AS sha256, CAST(o_orderkey AS VARCHAR) AS item FROM orders", "sha256", 4)} SELECT sha256, chunk, n, first_item, last_item, digest FROM c WHERE sha256 IN (SELECT sha256 FROM m GROUP BY 1 HAVING count(*) > 1)""")
+def same_content_chunks(spark, d):
+    """Orders as files whose content is their customer: contents that several files have, their paths four to a row."""
+    manifest = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("path"), F.concat(F.lit("c"), "o_custkey").alias("sha256"))
+    return files.same_content_chunks(manifest, 4).select("sha256", "chunk", "n", F.col("items")[0].alias("first_item"), F.element_at("items", -1).alias("last_item"), "digest")
+
+
+@query(f"""WITH {_chunk_sql("""SELECT sha256('["' || l_returnflag || '","' || l_linenumber || '"]') AS fingerprint, l_orderkey || '-' || l_linenumber AS item FROM lineitem""", "fingerprint", 1024)} SELECT * FROM c""")
+def layout_chunks(spark, d):
+    """Lines as files whose header is their flag and number: the names of each layout's files, 1024 to a row."""
+    header = F.array(F.col("l_returnflag"), F.col("l_linenumber").cast("string"))
+    li = table(spark, d, "lineitem").select(header.alias("header"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("file"))
+    out = profile.layout_chunks(li, "file", "header", 1024)
+    return out.select("fingerprint", "chunk", "n", F.col("items")[0].alias("first_item"), F.element_at("items", -1).alias("last_item"), "digest")
+
+
 # --- order, series and dead letters as checked properties -----------------------------------------------------------
 
 

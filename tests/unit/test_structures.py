@@ -1,10 +1,11 @@
+import hashlib
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quern.operators import quantiles
+from quern.operators import quantiles, sets
 
 
 def test_quantiles_of_awkward_numbers(spark):
@@ -218,3 +219,59 @@ def test_intervals_and_ledger(spark):
     assert abs(rows[0].max_distance - 0.95) < 1e-9
     with pytest.raises(ValueError):
         ledger.equal_values("e", left, right, ["k"], "v", "FINE")
+
+
+def net_digest(parts, mark=""):
+    return hashlib.sha256((mark + "".join(f"{len(p.encode())}:{p}" for p in parts)).encode()).hexdigest()
+
+
+def tree_digest(items, size):
+    level = [net_digest(items[i : i + size]) for i in range(0, len(items), size)]
+    n = len(level)
+    while len(level) > 1:
+        level = [net_digest(level[i : i + size], "+") if i + 1 < len(level) else level[i] for i in range(0, len(level), size)]
+    return n, level[0]
+
+
+@pytest.mark.parametrize("size", [2, 3, 50])
+def test_sets_in_chunks(spark, size):
+    rng = random.Random(size)
+    groups = {"many": [f"{rng.randrange(60)}" for _ in range(400)], "odd": ["", "é", "\U0001f600", "z", "\uffff", "1:a", "a" * 70_000, "", None], "one": ["x", "x", None], None: ["b", "a"], "none": [None, None]}
+    rows = [(g, v) for g, vs in groups.items() for v in vs]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "chunk string, digest string").withColumns({"_item": F.lit("clash"), "items": F.lit(1)})
+    made = sets.set_chunks(df, ["chunk"], "digest", size).toDF("g", "chunk", "n", "items", "digest")
+    got = {}
+    for r in sorted(made.collect(), key=lambda r: r.chunk):
+        assert r.n == len(r["items"]) <= size and r.digest == net_digest(r["items"])
+        got.setdefault(r.g, []).append(r)
+    want = {g: sorted({v for v in vs if v is not None}, key=str.encode) for g, vs in groups.items()}
+    assert set(got) == {g for g, vs in want.items() if vs}
+    for g, chunks in got.items():
+        assert [r.chunk for r in chunks] == list(range(len(chunks))) and all(r.n == size for r in chunks[:-1])
+        assert [v for r in chunks for v in r["items"]] == want[g]
+    totals = {r.g: (r.n, r.chunks, r.digest) for r in sets.set_digests(made, ["g"], size).collect()}
+    for g in got:
+        n, digest = tree_digest(want[g], size)
+        assert totals[g] == (len(want[g]), n, digest)
+    shared = sets.shared_members(df, ["chunk"], "digest", size).toDF("g", "chunk", "n", "items", "digest")
+    assert {r.g for r in shared.collect()} == {g for g in got if len(want[g]) > 1}
+
+
+def test_sets_of_nothing_and_of_all(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "v string")
+    assert [(r.chunk, r["items"]) for r in sets.set_chunks(df, [], "v", 2).collect()] == [(0, ["a", "b"])]
+    assert sets.set_digests(sets.set_chunks(df, [], "v", 2), [], 2).first().n == 2
+    for by in ([], ["v"]):
+        none = sets.set_chunks(df.limit(0), by, "v")
+        assert none.count() == 0 and sets.set_digests(none, by).count() == 0
+    with pytest.raises(ValueError, match="two"):
+        sets.set_chunks(df, [], "v", 1)
+
+
+def test_equal_sets_have_equal_digests_however_they_lie(spark):
+    a = spark.range(3000).select(F.concat(F.lit("i"), F.col("id").cast("string")).alias("v"))
+    one = sets.set_digests(sets.set_chunks(a.repartition(7), [], "v", 32), [], 32).first()
+    two = sets.set_digests(sets.set_chunks(a.unionByName(a.filter("v < 'i5'")).repartition(3), [], "v", 32), [], 32).first()
+    less = sets.set_digests(sets.set_chunks(a.filter("v <> 'i77'"), [], "v", 32), [], 32).first()
+    assert one == two and one.digest != less.digest and one.chunks == 94
