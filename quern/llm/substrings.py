@@ -180,7 +180,8 @@ def suffix_sort(buffer: np.ndarray, start: np.ndarray, size: np.ndarray, group:
     before it (-1 at a group's first).
 
     A mergesort whose comparisons are binary searches over prefix hashes, done for all groups of like size at once.
-    Neighbours are then compared byte by byte; a group where a hash was wrong is sorted anew by its bytes."""
+    Neighbours are then compared byte by byte, and must ascend; a group where a hash was wrong is sorted anew by its
+    bytes."""
     hashes = PrefixHashes(buffer)
     n = len(start)
     code = np.append(buffer, 0).astype(np.int64)
@@ -217,7 +218,9 @@ def suffix_sort(buffer: np.ndarray, start: np.ndarray, size: np.ndarray, group:
         last = len(code) - 1
         differ = (code[np.minimum(start[a][:, None] + step, last)] != code[np.minimum(start[b][:, None] + step, last)]) | (step >= most[:, None])
         common[some] = np.where(differ.any(axis=1), differ.argmax(axis=1), most) if len(step) else 0
-        wrong[number[some[common[some] != hashes.common(start[a], start[b], most)]]] = True
+        same = common[some]
+        ca, cb = np.where(same < size[a], code[np.minimum(start[a] + same, last)], -1), np.where(same < size[b], code[np.minimum(start[b] + same, last)], -1)
+        wrong[number[some[(same != hashes.common(start[a], start[b], most)) | (ca > cb)]]] = True  # a hash misled some comparison
     for w in np.flatnonzero(wrong):
         own = slice(begins[w], begins[w] + counts[w])
         data = buffer.tobytes()
