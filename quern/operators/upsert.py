@@ -30,17 +30,36 @@ def _falling(df: DataFrame, c: str) -> Column | None:
 
 def deduplicate(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the most recent by `order` (descending, NULLs last), ties by all other columns ascending with
-    NULLs first; nested columns count as JSON. One aggregation of the least row in that order, so that a hot key is
-    reduced before the shuffle rather than sorted in one task; only text as `order` needs a window."""
+    NULLs first; nested columns count as JSON. One aggregation of the least row in that order over one read of df, so
+    that a hot key is reduced before the shuffle rather than sorted in one task (Spark sorts each task's rows by key to
+    aggregate structs); only text as `order` needs a window. An empty table gives an empty result."""
     rest = [c for c in df.columns if c not in keys and c not in order]
-    recency = [_falling(df, c) for c in order]
-    if any(c is None for c in recency):
-        return deduplicate_by_window(df, keys, order)
     nested = lambda c: df.schema[c].dataType.typeName() in ("struct", "array", "map")
-    plain = [F.to_json(c) if nested(c) else F.col(f"`{c}`") for c in rest]
-    place = F.struct(*recency, *(F.struct(c.isNotNull(), c) for c in plain), F.lit(0))
+    if any(_falling(df, c) is None for c in order):
+        return deduplicate_by_window(df, keys, order)
+    plain = [F.to_json(f"`{c}`") if nested(c) else F.col(f"`{c}`") for c in rest]
+    place = F.struct(*(_falling(df, c) for c in order), *(F.struct(c.isNotNull(), c) for c in plain), F.lit(0))
     by = [F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]
-    return df.groupBy(*by).agg(F.min_by(F.struct(*(f"`{c}`" for c in df.columns)), place).alias("_row")).select("_row.*")
+    least = df.groupBy(*by).agg(F.min_by(F.struct(*(f"`{c}`" for c in df.columns)), place).alias("_row"))
+    return least.filter("_row is not null").select("_row.*")
+
+
+def deduplicate_in_phases(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The same without a sort of the whole table: for stored tables, above all those with many rows a key.
+
+    A hash aggregation of keys and the first order column says how recent each key's latest row is; a join by both takes
+    the latest rows out, so that a hot key's rows are spread by their recency, and only those of keys with several rows
+    are reduced by `deduplicate`. df is read three times, so an input that is costly or not deterministic is to be
+    written first, and a pass over computed rows is better left to `deduplicate`."""
+    if not order or any(_falling(df, c) is None for c in order):
+        return deduplicate(df, keys, order)
+    free = "_" * (1 + max(len(c) for c in df.columns))  # longer than any name of df
+    by = [F.col(f"`{k}`").alias(f"{free}k{i}") for i, k in enumerate(keys)]
+    latest = df.groupBy(*by).agg(F.max(f"`{order[0]}`").alias(f"{free}latest"), F.count("*").alias(f"{free}rows"))
+    pairs = [(k, f"{free}k{i}") for i, k in enumerate(keys)] + [(order[0], f"{free}latest")]
+    same = reduce(lambda a, b: a & b, (F.col(f"`{a}`").eqNullSafe(F.col(b)) for a, b in pairs))
+    alone = df.join(latest.filter(F.col(f"{free}rows") == 1), same, "left_semi")
+    return alone.unionByName(deduplicate(df.join(latest.filter(F.col(f"{free}rows") > 1), same, "left_semi"), keys, order))
 
 
 def deduplicate_by_window(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -207,10 +207,19 @@ def sign_policy(spark, d):
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, CAST(l_shipdate AS VARCHAR) AS shipped FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST,
  l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) AS n FROM lineitem) WHERE n = 1""")
 def dedup_latest(spark, d):
-    one = upsert.deduplicate(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    one = upsert.deduplicate_in_phases(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
     return one.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("shipped"))
 
 
+@query("""SELECT l_returnflag, l_linestatus, l_orderkey, l_linenumber, CAST(l_shipdate AS VARCHAR) AS shipped FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY l_shipdate DESC NULLS LAST,
+ l_quantity DESC NULLS LAST, l_orderkey NULLS FIRST, l_linenumber NULLS FIRST) AS n FROM lineitem) WHERE n = 1""")
+def latest_of_hot_keys(spark, d):
+    """A handful of keys hold all rows: each is reduced in many tasks."""
+    lines = table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    one = upsert.deduplicate_in_phases(lines, ["l_returnflag", "l_linestatus"], ["l_shipdate", "l_quantity"])
+    return one.select("l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("shipped"))
+
+
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 0 THEN 'X' ELSE o_orderstatus END AS status, CAST(o_orderkey % 5 AS BIGINT) + CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS version FROM orders WHERE o_orderkey % 11 <> 0
  UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'X' ELSE o_orderstatus END, CAST(o_orderkey % 5 AS BIGINT) + CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE -1 END FROM orders WHERE o_orderkey % 11 = 0 AND o_orderkey % 3 = 0""")
 def upsert_fresh(spark, d):

@@ -56,7 +56,26 @@ def test_deduplicate_prefers_recency_then_nulls_first(spark):
     assert rows(upsert.deduplicate_by_window(df, ["k"], ["ts"]), "k") == want
     many = spark.range(400).selectExpr("id % 40 AS k", "nullif(id * 7 % 11, 3) AS a", "timestamp_micros(id * 13 % 5) AS t", "date_add(date'2024-01-01', int(id % 3)) AS d", "if(id % 17 = 0, double('NaN'), id * 5 % 4) AS x", "cast(id * 3 % 7 AS decimal(5,2)) AS p", "id % 2 = 0 AS b", "array(id % 9) AS l", "cast(id AS string) AS s")
     for order in (["a"], ["t", "a"], ["d"], ["x", "t"], ["p"], ["b"], ["s"], []):
-        assert rows(upsert.deduplicate(many, ["k"], order).select("k", "s"), "k") == rows(upsert.deduplicate_by_window(many, ["k"], order).select("k", "s"), "k"), order
+        want = rows(upsert.deduplicate_by_window(many, ["k"], order).select("k", "s"), "k")
+        assert rows(upsert.deduplicate(many, ["k"], order).select("k", "s"), "k") == want, order
+        assert rows(upsert.deduplicate_in_phases(many, ["k"], order).select("k", "s"), "k") == want, order
+
+
+def test_deduplicate_sorts_no_whole_table(spark):
+    """A hot key with half of all rows, copies, ties, NULL keys, odd column names, equal zeros; and the plan."""
+    many = spark.range(600).selectExpr("if(id % 2 = 0, 7, nullif(id % 300, 5)) AS `a.k`", "id % 3 AS _k0", "if(id % 50 = 1, -0.0D, double(id % 4)) AS _latest", "id % 5 AS _row", "cast(id % 20 AS string) AS s")
+    many = many.union(many)
+    for keys, order in ((["a.k"], ["_latest"]), (["a.k", "_k0"], ["_row", "_latest"]), ([], ["_latest"])):
+        quoted = [f"`{k}`" for k in keys]
+        got = upsert.deduplicate_in_phases(many, keys, order)
+        assert got.columns == many.columns
+        want = upsert.deduplicate(many, keys, order)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        assert got.count() == (many.select(*quoted).distinct().count() if keys else 1)
+        assert upsert.deduplicate_in_phases(many.limit(0), keys, order).count() == 0 == upsert.deduplicate(many.limit(0), keys, order).count()
+    plan = upsert.deduplicate_in_phases(many, ["a.k"], ["_latest"])._jdf.queryExecution().sparkPlan().toString()
+    alone = plan[: plan.index("min_by")]
+    assert "HashAggregate" in alone and "functions=[max(" in alone and "Sort " not in alone
 
 
 def test_upsert(spark):
