@@ -3,27 +3,24 @@
 from __future__ import annotations
 
 import json
-import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def _folded_letters() -> dict[str, str]:
-    """Vietnamese vowels with every tone in both cases, by composition, and some letters of other languages."""
-    table = {}
-    for vowel in "aăâeêioôơuưy":
-        for tone in ("", "̀", "́", "̉", "̃", "̣"):
-            for c in (vowel, vowel.upper()):
-                letter = unicodedata.normalize("NFC", c + tone)
-                table[letter] = unicodedata.normalize("NFD", vowel)[0]
-    # fixed values: further letters that keys fold, and what they become
-    table |= dict(zip("äåæëîïöøüûÿđĐçÇñÑ", "aaaeiioouuyddccnn"))
-    return {k: v for k, v in table.items() if not k.isascii()}
-
-
-FOLDED = _folded_letters()
+# Letters that keys fold, by what they become; no other letters are folded.
+FOLDED_TO = {
+    "a": "ÀÁÂÃàáâãäåæĂăẠạẢảẤấẦầẨẩẪẫẬậẮắẰằẲẳẴẵẶặ",
+    "c": "Çç",
+    "d": "Đđ",
+    "e": "ÈÉÊèéêëẸẹẺẻẼẽẾếỀềỂểỄễỆệ",
+    "i": "ÌÍìíîïĨĩỈỉỊị",
+    "n": "Ññ",
+    "o": "ÒÓÔÕòóôõöøƠơỌọỎỏỐốỒồỔổỖỗỘộỚớỜờỞởỠỡỢợ",
+    "u": "ÙÚùúûüŨũƯưỤụỦủỨứỪừỬửỮữỰự",
+    "y": "ÝýÿỲỳỴỵỶỷỸỹ",
+}
+FOLDED = {letter: plain for plain, letters in FOLDED_TO.items() for letter in letters}
 _FROM, _TO = "".join(FOLDED), "".join(FOLDED.values())
 CLEAN = "^[a-z0-9]+(?:_[a-z0-9]+)*$"
 
