@@ -4,6 +4,8 @@ DataFrame and SQL functions only: no Python runs on the executors."""
 
 from __future__ import annotations
 
+from zlib import crc32
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,30 +14,88 @@ from quern.llm.shared import cut, remove
 #: (verdict, host and path prefix): a rule fits its host and all subdomains.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 
-#: Words of unwanted hosts and paths, of plain ones, and plain words that look like unwanted ones.
-UNWANTED = "adult porn xxx nude escort webcam hookup casino poker roulette slots jackpot bets betting lottery prize pills viagra meds steroids payday loans spam clickbait popup tracker warez torrent cracked replica".split()
-PLAIN = "library museum school garden recipes weather history science travel music kitchen bicycle forest river railway theatre research support manual archive journal council village bakery painting astronomy grammar pottery harbour orchard lantern meadow carpenter language physics chemistry geology".split()
-CLOSE = "sussex adulthood alphabet better pillow caterpillar nudge escorial jackdaw lotus surprise slotted torrential casing spanish loaned crackers medieval pokey trackside".split()
-_HOSTS = ("{a}.org", "www.{a}-{b}.com", "{b}{a}.net", "{a}-{b}.example.org", "blog.{b}-{a}.info", "m.{a}{b}.co.uk", "{b}.{a}.example.com", "{a}.example.net")
-_PATHS = ("", "/", "/{a}", "/{a}/{b}.html", "/2021/05/{b}-{a}", "/{b}/{a}?id=7", "/en/{a}/12", "/{b}_{a}/#top", "/?page=2")
-
-
-def labelled_rows() -> list[tuple[str, int]]:
-    """The small labelled table (url, label), made by rule from the words above: 1 is unwanted. A url is unwanted by its
-    host, by its path or by both, so that neither tells everything; hosts and paths have the same shapes either way."""
-    plain = [w for pair in zip(PLAIN, [*CLOSE, *PLAIN]) for w in pair]
-    out: dict[str, int] = {}
-    for i in range(12 * len(UNWANTED)):
-        bad, b, c, d = UNWANTED[i % len(UNWANTED)], plain[(7 * i) % len(plain)], plain[(11 * i + 3) % len(plain)], plain[(13 * i + 5) % len(plain)]
-        host, path = _HOSTS[(i // len(UNWANTED) + i) % len(_HOSTS)], _PATHS[(i // 5 + i) % len(_PATHS)]
-        own = path if "{a}" in path else _PATHS[2 + i % 5]
-        for label, x, y, p in ((1, bad, c, path), (1, b, bad, own), (1, bad, bad, own), (0, b, c, path), (0, c, d, own), (0, d, b, path)):
-            if label == 0 or i % 3:  # every third unwanted one is left to the others
-                out["https://" + host.format(a=x, b=d) + p.format(a=y, b=b)] = label
-    return list(out.items())
-
-
-BUCKETS = 1 << 12
+#: Word stems of unwanted urls, words that push, plain word stems, and plain words that look like unwanted ones.
+UNWANTED = """adult porn xxx nude escort webcam hookup fetish erotic milf stripper swinger casino poker roulette slots jackpot bets betting
+lottery bingo blackjack baccarat sportsbook wager gambling prize giveaway pills viagra cialis meds steroids pharmacy tramadol xanax valium
+botox slimming detox payday loans credit debt mortgage refinance forex bitcoin airdrop trading invest spam clickbait popup tracker adserver
+warez torrent cracked keygen serial nulled replica counterfeit rolex handbag followers likes seo backlinks dating singles brides""".split()
+PUSHY = "free best cheap buy online win bonus hot live vip instant easy fast deal discount sale now offer real sexy top cash guaranteed secret".split()
+PLAIN = """library museum school garden recipes weather history science travel music kitchen bicycle forest river railway theatre research support
+manual archive journal council village bakery painting astronomy grammar pottery harbour orchard lantern meadow carpenter language physics
+chemistry geology parish choir rowing football walking cycling sailing bridge castle abbey market farm nursery clinic hospital dentist
+engineer lecture student teacher college faculty poetry novel reading letters maps atlas climate birds insects botany fishing weaving knitting
+sewing cooking bread cheese honey tea coffee timber stone copper glass paper printing software compiler network database kernel python
+gardening films townhall books blog news forum""".split()
+CLOSE = """sussex adulthood alphabet better pillow caterpillar nudge escorial jackdaw lotus surprise slotted torrential casing spanish loaned
+crackers medieval pokey trackside accredited traded seoul serialised dated investigate pharmacology""".split()
+#: Syllables of invented names, which are plain: most hosts carry names that no list has.
+SYLLABLES = "ba the ro lin the tion mar ka sel ver ing to den an er ist on mi th or na".split()
+#: Tails of hosts. Each kind of url has those of the other at times, so that none tells everything.
+TAILS = "com org net example.org example.com example.net co.uk edu de fr eu".split()
+ODD_TAILS = "xyz top click bid icu biz info loan".split()
+
+# s, t: stem (inflected) and host's tail; m, k: pushing words; a, b: plain words; n: digits; x: hexadecimal digits
+_BAD_HOSTS = "{m}-{s}.{t} {s}{m}.{t} {s}-{m}-{k}.{t} www.{m}{s}{n}.{t} {s}{n}.{t} {m}-{k}-{s}.{t} {s}.{t} www.{s}-{b}.{t} {b}{s}.{t} m.{s}-{m}{n}.{t} blog.{b}-{s}.{t} {s}4u.{t}".split()
+_BAD_PATHS = "/{m}-{s} /go/{s}/{n} /{m}-{s}-{k}-{n}.html /{s}/{m}.php /aff/{n}/{s} /promo/{m}/{s} /{b}/{m}-{s}-{k} /out/{x}/{s}{n} /{s}_{m}_{k}".split()
+_ANY_PATHS = ["", "/", "/en/{n}", "/{b}/{n}.html", "/{b}/", "/de/{n}/", "/?page=2"]
+_GOOD_HOSTS = "{a}.{t} www.{a}-{b}.{t} {b}{a}.{t} {a}-{b}.{t} blog.{b}-{a}.{t} m.{a}{b}.{t} {b}.{a}.{t} www.{a}.{t} {a}{n}.{t}".split()
+_GOOD_PATHS = "/{a} /{a}/{b}.html /2021/05/{b}-{a} /{b}/{a}?id=7 /en/{a}/{n} /{b}_{a}/#top /wiki/{a}_{b} /docs/{a}/{x} /{a}-{b}-and-{b}-{n}.html /fr/{n} /search/{a}".split()
+
+
+def _pick(choices, *place):
+    """One of the choices, by a hash of the place alone."""
+    return choices[crc32(repr(place).encode()) % len(choices)]
+
+
+def _plain_word(*place) -> str:
+    kind = _pick(range(4), "kind", *place)
+    if kind == 0:  # an invented name
+        return "".join(_pick(SYLLABLES, "syllable", j, *place) for j in range(2 + crc32(repr(place).encode()) // 7 % 2))
+    return _pick(CLOSE if kind == 1 else PLAIN, "word", *place)
+
+
+def _inflected(stem: str, *place) -> str:
+    """A stem as it stands, with an ending, or with digits for letters."""
+    return _pick((stem, stem, stem + "s", stem + "z", stem + "er", stem.replace("o", "0").replace("e", "3")), "form", *place)
+
+
+def labelled_rows(per_stem: int = 24) -> list[tuple[str, int, str]]:
+    """The small labelled table (url, label, stem), made by rule from the parts above: 1 is unwanted; the stem is what a
+    url was made from, for tests that hold stems out.
+
+    An unwanted url is so by its host, its path or both. Most, not all, unwanted ones also push, carry digits, chains of
+    hyphens or odd tails, and some plain ones do, so that neither the stem nor the shape tells everything."""
+    out: dict[str, tuple[int, str]] = {}
+
+    def parts(stem: str, i: int, label: int) -> dict[str, str]:
+        place = (stem, i, label)
+        odd = _pick(range(16), "odd", *place) < (6 if label else 1)
+        word = lambda name: _pick(PUSHY, name, *place) if _pick(range(4), "pushing", *place) else _plain_word(name, *place)
+        return {
+            "s": _inflected(stem, *place), "a": stem, "b": _plain_word("b", *place), "m": word("m"), "k": _pick(PUSHY, "k", *place),
+            "n": str(crc32(repr(("n", *place)).encode()) % _pick((10, 100, 1000, 100000), "size", *place)), "x": f"{crc32(repr(('x', *place)).encode()):08x}",
+            "t": _pick(ODD_TAILS if odd else TAILS, "tail", *place),
+        }
+
+    for stem in UNWANTED:
+        for i in range(per_stem):
+            values = parts(stem, i, 1)
+            where = _pick(("host", "host", "both", "path"), "where", stem, i)
+            host = _pick(_GOOD_HOSTS if where == "path" else _BAD_HOSTS, "host", stem, i)
+            path = _pick(_ANY_PATHS if where == "host" else _BAD_PATHS, "path", stem, i)
+            values |= {"a": _plain_word("a", stem, i), "t": _pick(TAILS, "tail", stem, i)} if where == "path" else {}
+            out["https://" + (host + path).format(**values)] = (1, stem)
+    for i in range(per_stem * len(UNWANTED) * 3 // 2):
+        stem = _plain_word("stem", i)
+        values = parts(stem, i, 0)
+        if _pick(range(12), "pushes", i) == 0:  # plain urls that push
+            values["b"] = values["k"]
+        url = "https://" + (_pick(_GOOD_HOSTS, "host", i) + _pick([*_GOOD_PATHS, *_ANY_PATHS], "path", i)).format(**values)
+        out.setdefault(url, (0, stem))
+    return [(url, *told) for url, told in out.items()]
+
+
+BUCKETS = 1 << 14
 NGRAMS = (3, 4)
 #: Labelled rows used at most; the table is meant to be small, and a larger one is sampled by the hash of its url.
 MAX_LABELLED = 20_000
@@ -89,7 +149,7 @@ def _margin(grams: Column, weights: list[float], bias: float) -> Column:
     return F.lit(bias) + total / F.sqrt(F.greatest(F.size(grams), F.lit(1)).cast("double"))
 
 
-def train(labelled: DataFrame, buckets: int = BUCKETS, ngrams: tuple[int, ...] = NGRAMS, rounds: int = 25, rate: float = 0.5, l2: float = 1e-4, max_rows: int = MAX_LABELLED) -> tuple[list[float], float, float]:
+def train(labelled: DataFrame, buckets: int = BUCKETS, ngrams: tuple[int, ...] = NGRAMS, rounds: int = 25, rate: float = 1.0, l2: float = 1e-6, max_rows: int = MAX_LABELLED) -> tuple[list[float], float, float]:
     """Weights, bias and threshold of a logistic regression over a small table (url, label 0 or 1), by full gradient steps
     whose rate falls in each bucket with the gradients seen there. A quarter of the hosts is left out of the steps; the
     threshold is what tells its labels best, a wrong block counting more than a miss (F 0.5).
@@ -135,7 +195,8 @@ def _best_threshold(rows: DataFrame, weights: list[float], bias: float) -> float
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(labelled_rows(), "url string, label int")
+    """(url, label, stem) of `labelled_rows`."""
+    return spark.createDataFrame(labelled_rows(), "url string, label int, stem string")
 
 
 def judge_urls(pages: DataFrame, labelled: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url", threshold: float | None = None, **training) -> DataFrame:

@@ -69,12 +69,30 @@ def test_hosts_left_out_of_the_training(spark):
     assert len(by_path) > 20 and sum(got[i] == "block" for i in by_path) / len(by_path) > 0.7
 
 
+def test_stems_left_out_of_the_training(spark):
+    """Urls made from stems that no training url was made from: their shapes and the words around must tell."""
+    rows = urls.labelled_urls(spark).withColumn("out", F.crc32(F.col("stem").cast("binary")) % 4 == 0)
+    kept, out = rows.filter("not out"), rows.filter("out").collect()
+    assert sum(r.label for r in out) > 300
+    pages = spark.createDataFrame([(i, r.url) for i, r in enumerate(out)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urls.judge_urls(pages, kept, rules=()).collect()}
+    hit = sum(r.label == 1 and got[i] == "block" for i, r in enumerate(out))
+    assert hit / sum(v == "block" for v in got.values()) > 0.85 and hit / sum(r.label for r in out) > 0.5
+
+
+def test_labelled_table_is_made_by_rule():
+    rows = urls.labelled_rows()
+    assert rows == urls.labelled_rows() and len({r[0] for r in rows}) == len(rows)
+    assert {r[2] for r in rows if r[1]} == set(urls.UNWANTED) and 0.3 < sum(r[1] for r in rows) / len(rows) < 0.5
+    assert not any("{" in r[0] for r in rows)
+
+
 def test_training_against_brute_force(spark):
     """N-grams, gradient steps and scores, one url and one weight at a time."""
     buckets, rounds = 64, 3
     rows = left_out(spark).orderBy(F.xxhash64("url")).limit(60).collect()
     labelled = spark.createDataFrame([(r.url, r.label) for r in rows], "url string, label int")
-    weights, bias, threshold = urls.train(labelled, buckets=buckets, rounds=rounds)
+    weights, bias, threshold = urls.train(labelled, buckets=buckets, rounds=rounds, rate=0.5, l2=1e-4)
 
     def grams(url):
         found = []
@@ -102,5 +120,5 @@ def test_training_against_brute_force(spark):
             w[b] -= 0.5 * step / (math.sqrt(sq[b]) + 1e-12)
     assert all(math.isclose(a, b, abs_tol=1e-6) for a, b in zip([*weights, bias], w)) and 0 < threshold < 1
     pages = spark.createDataFrame([(i, r.url) for i, r in enumerate(rows)], "page_id long, url string")
-    for r in urls.judge_urls(pages, labelled, rules=(), buckets=buckets, rounds=rounds).collect():
+    for r in urls.judge_urls(pages, labelled, rules=(), buckets=buckets, rounds=rounds, rate=0.5, l2=1e-4).collect():
         assert math.isclose(r.score, score(sets[r.page_id]), abs_tol=2e-6) and (r.verdict == "block") == (r.score >= threshold)
