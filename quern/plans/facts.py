@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.keys import spark_key
+from quern.operators.match import join_back
 from quern.plans.star import TableSpec, identity_dim, technical_member
+from quern.sources.store import scratch_table
 
 #: Key of the geography that stands for none.
 NO_GEOGRAPHY = "not_geographic"
@@ -75,18 +78,39 @@ def shape_spec(shape: FactShape) -> TableSpec:
     return TableSpec(shape.name, columns, keys, not_null=keys, fks=fks)
 
 
-def bind_fact(df: DataFrame, shape: FactShape, namespace: str, scope: str, day: str = "day", product: str = "product", kind: str = "kind", value: Column | str = "value") -> DataFrame:
-    """Projects a cleaned source to its fact. Geographies are identities in columns named by role (`geography` for the only
-    one) and may be NULL; series are told apart by the namespace and the shape's columns."""
-    out = [period_key(shape.period, F.col(day)).cast("int").alias(f"{shape.period}_key")] if shape.period else []
-    for role in shape.geographies:
-        out.append(geography_key(F.lit(namespace), F.lit(scope), F.col(role or "geography")).alias(f"{role}_geography_key" if role else "geography_key"))
+def _key_columns(shape: FactShape, namespace: str, scope: str, product: str, kind: str) -> list[tuple[str, tuple[str, ...], Column]]:
+    """(key, the source's columns that it is made of, the key made of them) of a shape."""
+    out = [(f"{role}_geography_key" if role else "geography_key", (role or "geography",), geography_key(F.lit(namespace), F.lit(scope), F.col(role or "geography"))) for role in shape.geographies]
     if shape.product:
-        out.append(spark_key("product", F.lit(namespace), F.col(product)).alias("product_key"))
+        out.append(("product_key", (product,), spark_key("product", F.lit(namespace), F.col(product))))
     if shape.kind:
-        out.append(spark_key("observation_type", F.lit(namespace), F.col(kind)).alias("type_key"))
+        out.append(("type_key", (kind,), spark_key("observation_type", F.lit(namespace), F.col(kind))))
     if shape.series:
-        out.append(spark_key("series", F.lit(namespace), *(F.col(c) for c in shape.series)).alias("series_key"))
-    out += [F.col(c) for c, _ in shape.direct]
-    out.append((F.col(value) if isinstance(value, str) else value).alias("value"))
-    return shape_spec(shape).project(df.select(*out))
+        out.append(("series_key", shape.series, spark_key("series", F.lit(namespace), *(F.col(c) for c in shape.series))))
+    return out
+
+
+def bind_facts(df: DataFrame, shapes: Sequence[FactShape], namespace: str, scope: str, day: str = "day", product: str = "product", kind: str = "kind", value: Column | str = "value") -> dict[str, DataFrame]:
+    """Projects a cleaned source to its facts, by name. Geographies are identities in columns named by role (`geography` for
+    the only one) and may be NULL; series are told apart by the namespace and the shape's columns. A key is made once for
+    all rows and facts that share it: of the different values in the source, which is read for it, and joined on them."""
+    made: dict[tuple[str, tuple[str, ...]], DataFrame] = {}
+    for shape in shapes:
+        for name, columns, key in _key_columns(shape, namespace, scope, product, kind):
+            if (name, columns) not in made:
+                made[name, columns] = scratch_table(df.select(*columns).distinct().select(*columns, key.alias("_made")), "keys")
+    facts = {}
+    for shape in shapes:
+        rows = df.withColumn("_value", F.col(value) if isinstance(value, str) else value)
+        out = [period_key(shape.period, F.col(day)).cast("int").alias(f"{shape.period}_key")] if shape.period else []
+        for i, (name, columns, _) in enumerate(_key_columns(shape, namespace, scope, product, kind)):
+            rows = join_back(rows, made[name, columns].withColumnRenamed("_made", f"_made{i}"), list(columns))
+            out.append(F.col(f"_made{i}").alias(name))
+        out += [F.col(c) for c, _ in shape.direct]
+        facts[shape.name] = shape_spec(shape).project(rows.select(*out, F.col("_value").alias("value")))
+    return facts
+
+
+def bind_fact(df: DataFrame, shape: FactShape, namespace: str, scope: str, day: str = "day", product: str = "product", kind: str = "kind", value: Column | str = "value") -> DataFrame:
+    """One fact of a source; see bind_facts."""
+    return bind_facts(df, (shape,), namespace, scope, day, product, kind, value)[shape.name]

@@ -245,13 +245,14 @@ def nine_facts(spark, d):
     source = st.scratch_table(source, "source")
     dim = facts.geography_dim(spark, [_nations(spark, d, "reporter")])
     out = None
+    bound = facts.bind_facts(source, facts.SHAPES, "tpch", "nation")
     for shape in facts.SHAPES:
-        fact = facts.bind_fact(source, shape, "tpch", "nation")
-        spec = facts.shape_spec(shape)
+        fact, spec = bound[shape.name], facts.shape_spec(shape)
         cells = fact.groupBy(*(x for x in fact.columns if x != "value")).agg(F.count("*").alias("n"), F.sum("value").alias("v"))  # a row per cell
+        cells = st.scratch_table(cells, "cells") if spec.fks else cells  # read again for each geography: a cell has its row's
         one = cells.agg(F.lit(shape.name).alias("fact"), F.sum("n").alias("n"), F.count("*").alias("cells"), F.sum("v").cast("double").alias("total"))
         for key, (_, name) in spec.fks.items():
-            lost = fk_orphans(fact, key, dim, name).agg(F.count("*").alias(f"_{key}"))
+            lost = fk_orphans(cells, key, dim, name).agg(F.count("*").alias(f"_{key}"))
             one = one.join(lost, F.lit(True))  # one row each
         one = one.withColumn("orphans", sum((F.col(f"_{k}") for k in spec.fks), F.lit(0).cast("long"))).drop(*(f"_{k}" for k in spec.fks))
         out = one if out is None else out.unionByName(one)
