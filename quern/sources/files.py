@@ -81,12 +81,13 @@ def check_readiness(manifest: DataFrame, sources: DataFrame) -> DataFrame:
 
 def validate_files(spark: SparkSession, specs: list[dict]) -> DataFrame:
     """(path, problem, detail) per problem found in files {path, format csv|json, sha256, min_rows, columns}: EMPTY,
-    CHECKSUM_MISMATCH, PARSE_FAILURE, TOO_FEW_RECORDS, MISSING_COLUMNS."""
+    CHECKSUM_MISMATCH, PARSE_FAILURE, TOO_FEW_RECORDS, MISSING_COLUMNS. A path may be a folder, which is empty if all its
+    files are: Spark writes a file without a byte where its first task had no rows."""
     out = []
     for s in specs:
         path = F.lit(s["path"]).alias("path")
         facts = file_manifest(spark, s["path"])
-        out.append(facts.filter("bytes = 0").select(path, F.lit("EMPTY").alias("problem"), F.lit("").alias("detail")))
+        out.append(facts.agg(F.sum("bytes").alias("bytes")).filter("bytes = 0").select(path, F.lit("EMPTY").alias("problem"), F.lit("").alias("detail")))
         if s.get("sha256"):
             out.append(facts.filter(F.col("sha256") != s["sha256"]).select(path, F.lit("CHECKSUM_MISMATCH").alias("problem"), F.col("sha256").alias("detail")))
         if s["format"] == "csv":

@@ -30,3 +30,13 @@ def test_mart_relationships_with_suppliers_beyond_990(spark, tmp_path):
     spark.createDataFrame([(989, 1, 5.0), (990, 2, 5.0), (2000, 3, 5.0), (2001, 3, -5.0)], "s_suppkey long, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
     spark.createDataFrame([(989,), (990,), (2000,), (2001,), (3000,)], "l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
     assert {tuple(r) for r in core.QUERIES["mart_relationships"](spark, str(tmp_path)).collect()} == {("lineitem", 2), ("nations", 3)}
+
+
+def test_a_folder_with_an_empty_file_is_not_empty(spark, tmp_path):
+    for name, lines in (("some", ['{"a":1}\n', ""]), ("none", ["", ""])):
+        os.mkdir(tmp_path / name)
+        for i, text in enumerate(lines):
+            (tmp_path / name / f"part-{i}.txt").write_text(text)
+    found = lambda name: [r.problem for r in files.validate_files(spark, [{"path": f"{tmp_path}/{name}", "format": "json", "columns": ["a"]}]).collect()]
+    assert found("some") == []
+    assert sorted(found("none")) == ["EMPTY", "MISSING_COLUMNS", "TOO_FEW_RECORDS"]
