@@ -16,7 +16,8 @@ def _of(low: Column, high: Column) -> Column:
 def interval(text: Column) -> Column:
     """'1.20' is 1.195 to 1.205, '7' is 6.5 to 7.5; numbers with an exponent, and what is no number, are unknown."""
     t = F.trim(text.cast("string"))
-    half = F.pow(F.lit(10.0), -F.length(F.regexp_extract(t, r"\.([0-9]+)$", 1))) / 2
+    point = F.instr(t, ".")  # one regular expression per number is enough
+    half = F.pow(F.lit(10.0), F.when(point > 0, point - F.length(t)).otherwise(0)) / 2
     v = F.when(t.rlike(_NUMBER), t.try_cast("double"))
     return _of(v - half, v + half)
 

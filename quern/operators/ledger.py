@@ -17,10 +17,12 @@ def _entry(name: str, matched: DataFrame, repeated: DataFrame, one: Column, two:
     """matched: pairs of observations; repeated: one row with the number of keys that are not unique (_bad)."""
     if status not in STATUSES:
         raise ValueError(f"status must be one of {STATUSES}")
-    # plain columns, which are computed once however often they are used
-    both = matched.select(one["low"].alias("a0"), one["high"].alias("a1"), two["low"].alias("b0"), two["high"].alias("b1")).filter("a0 IS NOT NULL AND b0 IS NOT NULL")
+    # plain columns, which are computed once however often they are used; a filter of them would be computed below them,
+    # with all that they are made of anew for each of its parts
+    both = matched.select(one["low"].alias("a0"), one["high"].alias("a1"), two["low"].alias("b0"), two["high"].alias("b1"))
     a, b = ({"low": F.col(f"{c}0"), "high": F.col(f"{c}1")} for c in "ab")
-    row = both.agg(F.count("*").alias("n"), F.count_if(~intervals.meets(a, b)).alias("out"), F.max(intervals.distance(a, b)).alias("far")).join(repeated, F.lit(True))  # one row each
+    known = F.col("a0").isNotNull() & F.col("b0").isNotNull()
+    row = both.agg(F.count_if(known).alias("n"), F.count_if(known & ~intervals.meets(a, b)).alias("out"), F.max(F.when(known, intervals.distance(a, b))).alias("far")).join(repeated, F.lit(True))  # one row each
     bad = F.col("_bad") > 0
     return row.select(
         F.lit(name).alias("relation"), F.when(bad, "INCOMPATIBLE").otherwise(status).alias("status"), F.when(bad, 0).otherwise(F.col("n")).cast("long").alias("matched"), F.when(~bad, F.col("out")).alias("outside"),

@@ -40,3 +40,11 @@ def test_a_folder_with_an_empty_file_is_not_empty(spark, tmp_path):
     found = lambda name: [r.problem for r in files.validate_files(spark, [{"path": f"{tmp_path}/{name}", "format": "json", "columns": ["a"]}]).collect()]
     assert found("some") == []
     assert sorted(found("none")) == ["EMPTY", "MISSING_COLUMNS", "TOO_FEW_RECORDS"]
+
+
+def test_intervals_are_not_made_anew_in_a_filter(spark):
+    rows = spark.createDataFrame([(1, "2", "1.50", "3.0"), (2, "2", "x", "3.0"), (3, "3", "2.0", "9"), (4, None, "1", "1")], "k int, q string, p string, a string")
+    out = ledger.product_identity("r", rows, ["k"], ("q", "p"), "a")
+    assert "RLIKE" not in "".join(line for line in plan(out).splitlines() if "Filter" in line)
+    row = out.first()
+    assert (row.matched, row.outside) == (2, 1) and row.max_distance > 0.5
