@@ -48,3 +48,15 @@ def test_intervals_are_not_made_anew_in_a_filter(spark):
     assert "RLIKE" not in "".join(line for line in plan(out).splitlines() if "Filter" in line)
     row = out.first()
     assert (row.matched, row.outside) == (2, 1) and row.max_distance > 0.5
+
+
+def test_rows_dealt_anew_take_partitions_by_size(spark):
+    rows = spark.range(0, 200_000, 1, 16).select("id", (F.col("id") % 1000).alias("k"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        assert core.dealt_anew(rows, "k").rdd.getNumPartitions() > 7  # with 4 shuffle partitions
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert core.dealt_anew(rows, "k").agg(F.count("*"), F.sum("id")).first() == rows.agg(F.count("*"), F.sum("id")).first()
+    for query in (source_queries.checksum_of_any_order, structure_queries.hash_tree_reconcile):
+        assert "dealt_anew" in query.__code__.co_names
