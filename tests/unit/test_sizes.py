@@ -60,3 +60,11 @@ def test_rows_dealt_anew_take_partitions_by_size(spark):
     assert core.dealt_anew(rows, "k").agg(F.count("*"), F.sum("id")).first() == rows.agg(F.count("*"), F.sum("id")).first()
     for query in (source_queries.checksum_of_any_order, structure_queries.hash_tree_reconcile):
         assert "dealt_anew" in query.__code__.co_names
+
+
+def test_key_profile_holds_a_row_per_key(spark):
+    nan = float("nan")
+    rows = spark.createDataFrame([(1, 0.0), (1, -0.0), (2, nan), (2, nan), (3, 1.0), (3, None), (4, 1.0), (4, nan), (5, 2.0), (None, 1.0), (None, 2.0)], "k int, v double")
+    out = profile.key_profile(rows, ["k"], "v")
+    assert out.first().asDict() == {"missing_keys": 2, "duplicate_excess": 5, "duplicate_keys": 5, "value_conflicts": 2}
+    assert plan(out).count("Aggregate") == 2 and "distinct" not in plan(out)
