@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from quern.llm.shared import slices
 
-#: Words whose ids a Python worker keeps, pairs of tokens that it knows to fit or not, and the longest word kept; beyond
-#: that it starts its memory anew (results don't depend on it).
+#: Words whose ids a Python worker keeps, pairs of tokens that it knows to fit or not, and the longest word kept. When half
+#: of the words are new it forgets those of the other half that it did not meet since; of pairs it starts anew (results
+#: don't depend on it).
 KEPT_WORDS = 200_000
 KEPT_PAIRS = 500_000
 KEPT_CHARS = 200
@@ -88,6 +89,7 @@ class Bpe:
         self.kept = KEPT_WORDS
         self.known: dict[str, tuple[str, str, int]] = {}
         self.chunks: dict[str, tuple[str, str, int]] = {}
+        self.known_before, self.chunks_before = self.known, self.chunks
 
     @staticmethod
     def _check(model: dict) -> None:
@@ -157,11 +159,13 @@ class Bpe:
         return ids[::-1]
 
     def _word(self, word: str) -> tuple[str, str, int]:
-        ids = self.encode_word(word)
-        made = (" ".join(map(str, ids)), " ".join([self.token[i] for i in ids]), len(ids))
+        made = self.known_before.get(word)
+        if made is None:
+            ids = self.encode_word(word)
+            made = (" ".join(map(str, ids)), " ".join([self.token[i] for i in ids]), len(ids))
         if len(word) <= KEPT_CHARS:
-            if len(self.known) >= self.kept:
-                self.known.clear()
+            if len(self.known) >= self.kept // 2:
+                self.known_before, self.known = self.known, {}
             self.known[word] = made
         return made
 
@@ -201,11 +205,13 @@ class Bpe:
 
     def _chunk(self, chunk: str) -> tuple[str, str, int]:
         """Ids of what stands between white space, which no word of the pattern crosses."""
-        words = [self.known.get(w) or self._word(w) for w in self.words(chunk)]
-        made = (" ".join([w[0] for w in words]), " ".join([w[1] for w in words]), sum([w[2] for w in words]))
+        made = self.chunks.get(chunk) or self.chunks_before.get(chunk)
+        if made is None:
+            words = [self.known.get(w) or self._word(w) for w in self.words(chunk)]
+            made = words[0] if len(words) == 1 else (" ".join([w[0] for w in words]), " ".join([w[1] for w in words]), sum([w[2] for w in words]))
         if len(chunk) <= KEPT_CHARS:
-            if len(self.chunks) >= self.kept:
-                self.chunks.clear()
+            if len(self.chunks) >= self.kept // 2:
+                self.chunks_before, self.chunks = self.chunks, {}
             self.chunks[chunk] = made
         return made
 
